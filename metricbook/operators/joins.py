@@ -1,0 +1,20 @@
+"""Join helpers: broadcast only behind a proven size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest side (rows) we are willing to ship to every executor.
+MAX_BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when ``df`` provably has at most ``max_rows`` rows, else ``df``.
+
+    The bound is checked with a bounded count (``limit(max_rows + 1)``), so the
+    check itself stops early on a large input.  Above the bound the join stays
+    a shuffle join and AQE picks the strategy from runtime sizes.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

@@ -34,3 +34,50 @@ register("module_lineitem_month", lambda spark, base: TD.lineitem_module(spark,
 register("module_last_complete",
          lambda spark, base: TD.orders_module(spark, base, "week", TD.cfg("week", backfill=False)),
          O.orders_module("week", anchor=TD.ANCHOR))
+
+
+# ---------------------------------------------------------------- stage 2: repository
+def _mods_sql(period, anchor=None):
+    return {"orders_module": O.orders_module(period, anchor), "lineitem_module": O.lineitem_module(period, anchor)}
+
+
+register("repository_union", lambda spark, base: TD.repository(spark, base, "week"),
+         O.repository(_mods_sql("week")))
+register("repository_shadow_by_id",
+         lambda spark, base: TD.repository(spark, base, "week", TD.SHADOW_BY_ID + TD.SHADOW_NEW),
+         O.repository(_mods_sql("week"), O.shadow_values(TD.SHADOW_BY_ID + TD.SHADOW_NEW)))
+register("repository_shadow_by_coords",
+         lambda spark, base: TD.repository(spark, base, "week", TD.SHADOW_BY_COORDS),
+         O.repository(_mods_sql("week"), O.shadow_values(TD.SHADOW_BY_COORDS)))
+register("repository_incremental",
+         lambda spark, base: TD.repository(spark, base, "week", TD.SHADOW_BY_ID + TD.SHADOW_BY_COORDS,
+                                           TD.cfg("week", backfill=False)),
+         O.repository(_mods_sql("week"), O.shadow_values(TD.SHADOW_BY_ID + TD.SHADOW_BY_COORDS),
+                      period="week", anchor=TD.ANCHOR))
+
+
+# ---------------------------------------------------------------- stage 3: report
+def _report(period, spark, base, backfill=True, aop_scope=None):
+    from metricbook.operators.report import performance_report
+    repo = TD.repository(spark, base, period)
+    run = TD.cfg(period, backfill=backfill, **({"aop_scope": aop_scope} if aop_scope else {}))
+    aop = TD.aop_from(repo) if aop_scope else None
+    return performance_report(repo, TD.glossary(spark), aop, run)
+
+
+def _aop_sql(period):
+    return (f"SELECT cycle_timestamp, CAST(value * 1.05 AS DECIMAL(18,8)) AS plan, indicator, dimensions, cycle "
+            f"FROM ({O.repository(_mods_sql(period))}) r WHERE indicator = 'REVENUE'")
+
+
+for _p in ("day", "week", "bi-week", "month", "quarter", "year"):
+    register(f"report_{_p.replace('-', '')}", partial(_report, _p), O.report(O.repository(_mods_sql(_p)), _p))
+
+register("report_incremental_week", partial(_report, "week", backfill=False),
+         O.report(O.repository(_mods_sql("week")), "week", anchor=TD.ANCHOR))
+register("report_incremental_month", partial(_report, "month", backfill=False),
+         O.report(O.repository(_mods_sql("month")), "month", anchor=TD.ANCHOR))
+register("report_aop_all", partial(_report, "week", aop_scope="all"),
+         O.report(O.repository(_mods_sql("week")), "week", aop_sql=_aop_sql("week"), aop_scope="all"))
+register("report_aop_last_complete", partial(_report, "week", aop_scope="last_complete"),
+         O.report(O.repository(_mods_sql("week")), "week", aop_sql=_aop_sql("week"), aop_scope="last_complete"))

@@ -7,6 +7,8 @@ the columns it needs and hands them to :func:`kpi_module`.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,4 +91,39 @@ def events_module(spark: SparkSession, base: str, period: str, run: RunConfig |
                        Measure("ACTIVE_USERS", "count_distinct", "user_id")], cfg=run)
 
 
-EMPTY_SCHEMA = T.StructType([])
+def _sk(*parts) -> str:
+    return hashlib.md5("-".join(parts).encode()).hexdigest()
+
+
+# Seed: manual overrides for the weekly orders + lineitem repository.
+#  1. by id: takes the id of REVENUE {} 1998-01-05 but states other coordinates;
+#  2. by coordinates: ORDERS {segment BUILDING, status F} 1999-03-01 under a new id,
+#     with its keys in another order and with spaces (canonicalised on load);
+#  3. no match: a new row.
+SHADOW_BY_ID = [("REVENUE_ADJUSTED", "{}", dt.datetime(1998, 1, 5), "week", Decimal("12345.6789"),
+                 _sk("REVENUE", "{}", "week", "1998-01-05 00:00:00"))]
+SHADOW_BY_COORDS = [("ORDERS", '{"status": "F", "segment": "BUILDING"}', dt.datetime(1999, 3, 1), "week",
+                     Decimal("42.0000"), "override-0002")]
+SHADOW_NEW = [("UNITS", '{"returnflag": "X"}', dt.datetime(2000, 1, 3), "week", Decimal("1.5"), "override-0003")]
+
+
+def shadow(spark: SparkSession, rows) -> DataFrame:
+    return spark.createDataFrame(rows, SCHEMAS["repository_shadow"])
+
+
+def weekly_modules(spark: SparkSession, base: str, period: str = "week") -> dict[str, DataFrame]:
+    return {"orders_module": orders_module(spark, base, period),
+            "lineitem_module": lineitem_module(spark, base, period)}
+
+
+def repository(spark: SparkSession, base: str, period: str, shadow_rows=None, run: RunConfig | None = None):
+    from metricbook.operators.repository import build_repository
+    sh = shadow(spark, shadow_rows) if shadow_rows else None
+    return build_repository(spark, weekly_modules(spark, base, period), sh, run)
+
+
+def aop_from(repo: DataFrame) -> DataFrame:
+    """Plan targets derived from the data: 1.05 x REVENUE for every period and coordinate."""
+    return repo.where(F.col("indicator") == "REVENUE").select(
+        "cycle_timestamp", (F.col("value") * F.lit(Decimal("1.05"))).cast("decimal(18,8)").alias("plan"),
+        "indicator", "dimensions", "cycle")

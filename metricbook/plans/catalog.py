@@ -81,3 +81,34 @@ register("report_aop_all", partial(_report, "week", aop_scope="all"),
          O.report(O.repository(_mods_sql("week")), "week", aop_sql=_aop_sql("week"), aop_scope="all"))
 register("report_aop_last_complete", partial(_report, "week", aop_scope="last_complete"),
          O.report(O.repository(_mods_sql("week")), "week", aop_sql=_aop_sql("week"), aop_scope="last_complete"))
+
+
+# ---------------------------------------------------------------- stage 4: time series, robust baseline
+def _timeseries(period, spark, base, backfill=True):
+    from metricbook.operators.timeseries import timeseries_analysis
+    rep = _report(period, spark, base)
+    return timeseries_analysis(rep, TD.cfg(period, backfill=backfill))
+
+
+def _report_sql(period):
+    return O.report(O.repository(_mods_sql(period)), period)
+
+
+for _p in ("day", "week", "bi-week", "month", "quarter", "year"):
+    register(f"timeseries_{_p.replace('-', '')}", partial(_timeseries, _p),
+             O.timeseries(_report_sql(_p), _p, TD.SPINE_START, TD.AS_OF))
+
+register("timeseries_incremental", partial(_timeseries, "week", backfill=False),
+         O.timeseries(_report_sql("week"), "week", TD.SPINE_START, TD.AS_OF, anchor=TD.ANCHOR))
+
+
+def _robust(spark, base):
+    from pyspark.sql import functions as F
+    from metricbook.operators.robust import robust_baseline
+    rep = _report("week", spark, base).where(F.col("indicator") == "REVENUE")
+    return robust_baseline(rep, TD.cfg("week"))
+
+
+register("robust_baseline_week", _robust,
+         O.robust(f"SELECT * FROM ({_report_sql('week')}) rr WHERE indicator = 'REVENUE'", "week",
+                  TD.SPINE_START, TD.AS_OF))

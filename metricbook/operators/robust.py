@@ -28,26 +28,33 @@ DIGITS = 6
 
 
 def _mean(a: Column) -> Column:
-    return F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x) / F.size(a)
+    return F.try_divide(F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x), F.size(a))
 
 
-def _trim_step(a: Column) -> Column:
-    m = _mean(a)
-    sd = F.sqrt(F.aggregate(a, F.lit(0.0), lambda acc, x: acc + (x - m) * (x - m)) / F.size(a))
-    lo, hi = m - Z * sd, m + Z * sd
-    dist = F.transform(a, lambda x: F.when((x < lo) | (x > hi), F.abs(x - m)).otherwise(F.lit(-1.0)))
-    best = F.array_max(dist)
-    idx = F.array_position(dist, best) - 1  # first index of the largest distance
-    trimmed = F.filter(a, lambda x, i: i != idx)
-    # no outlier (best <= 0) or fewer than two points left: stop
-    return F.when((F.size(a) >= 2) & (best > 0), trimmed).otherwise(a)
+def trim_steps(df: DataFrame, col: str, steps: int = MAX_STEPS) -> tuple[DataFrame, str]:
+    """Apply the trimming step ``steps`` times; returns the frame and the final array column.
 
-
-def robust_mean(points: Column, steps: int = MAX_STEPS) -> Column:
-    a = points
-    for _ in range(steps):
-        a = _trim_step(a)
-    return _mean(a)
+    Each intermediate (mean, sigma, distances, array) is its own column, so
+    the optimizer keeps the steps as separate projections instead of inlining
+    one array expression into the next.
+    """
+    a = col
+    for k in range(steps):
+        m, sd, d, nxt = f"__m{k}", f"__sd{k}", f"__d{k}", f"__a{k + 1}"
+        df = df.withColumn(m, _mean(F.col(a)))
+        df = df.withColumn(sd, F.sqrt(F.try_divide(
+            F.aggregate(F.col(a), F.lit(0.0), lambda acc, x: acc + (x - F.col(m)) * (x - F.col(m))),
+            F.size(F.col(a)))))
+        lo, hi = F.col(m) - Z * F.col(sd), F.col(m) + Z * F.col(sd)
+        df = df.withColumn(d, F.transform(F.col(a), lambda x: F.when((x < lo) | (x > hi), F.abs(x - F.col(m)))
+                                          .otherwise(F.lit(-1.0))))
+        best = F.array_max(F.col(d))
+        idx = F.array_position(F.col(d), best) - 1  # first index of the largest distance
+        # no outlier (best <= 0) or fewer than two points left: keep the array
+        df = df.withColumn(nxt, F.when((F.size(F.col(a)) >= 2) & (best > 0),
+                                       F.filter(F.col(a), lambda x, i: i != idx)).otherwise(F.col(a)))
+        a = nxt
+    return df, a
 
 
 def robust_baseline(report: DataFrame, cfg: RunConfig, points: int = POINTS) -> DataFrame:
@@ -57,9 +64,12 @@ def robust_baseline(report: DataFrame, cfg: RunConfig, points: int = POINTS) ->
         period_index(report.sparkSession, p, cfg.spine_start, cfg.spine_end), on="cycle_timestamp")
     w = Window.partitionBy(*SERIES).orderBy("period_idx").rangeBetween(-points, -1)
     prev = F.collect_list(F.col("current_value").cast("double")).over(w)
-    out = rep.withColumn("__pts", prev)
-    full = F.size("__pts") == points
+    out = rep.withColumn("__a0", prev)
+    full = F.size("__a0") == points
+    out = out.withColumn("__full", full).withColumn(
+        "__a0", F.when(F.col("__full"), F.col("__a0")).otherwise(F.array().cast("array<double>")))
+    out, last = trim_steps(out, "__a0")
     return out.select(
         "indicator", "dimensions", "cycle", "cycle_timestamp", "current_value",
-        F.when(full, F.size("__pts")).otherwise(F.lit(0)).alias("baseline_points"),
-        F.round(F.when(full, robust_mean(F.col("__pts"))), DIGITS).alias("robust_mean"))
+        F.when(F.col("__full"), F.lit(points)).otherwise(F.lit(0)).alias("baseline_points"),
+        F.round(F.when(F.col("__full"), _mean(F.col(last))), DIGITS).alias("robust_mean"))

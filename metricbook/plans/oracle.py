@@ -306,9 +306,9 @@ def _trim_steps(src: str, steps: int = 3) -> tuple[str, str]:
     for k in range(steps):
         a = f"a{k}"
         ctes.append(f"""
-    s{k}m AS (SELECT *, list_reduce({a}, lambda acc, x: acc + x) / len({a}) AS m{k} FROM {prev}),
+    s{k}m AS (SELECT *, list_reduce({a}, lambda acc, x: acc + x, 0.0) / nullif(len({a}), 0) AS m{k} FROM {prev}),
     s{k}s AS (SELECT *, sqrt(list_reduce(list_transform({a}, lambda x: (x - m{k}) * (x - m{k})),
-                                         lambda acc, y: acc + y) / len({a})) AS sd{k} FROM s{k}m),
+                                         lambda acc, y: acc + y, 0.0) / nullif(len({a}), 0)) AS sd{k} FROM s{k}m),
     s{k}d AS (SELECT *, list_transform({a}, lambda x: CASE WHEN x < m{k} - 2 * sd{k} OR x > m{k} + 2 * sd{k}
                                                           THEN abs(x - m{k}) ELSE -1.0 END) AS d{k} FROM s{k}s),
     s{k}b AS (SELECT *, list_max(d{k}) AS b{k}, list_position(d{k}, list_max(d{k})) AS i{k} FROM s{k}d),
@@ -337,5 +337,5 @@ def robust(report_sql: str, period: str, spine_start, as_of, points: int = 6) ->
                   (SELECT (indicator, dimensions, cycle_timestamp) FROM repo)),{steps}
     SELECT indicator, dimensions, cycle, cycle_timestamp, current_value,
            CASE WHEN full_ THEN {points} ELSE 0 END AS baseline_points,
-           {r6('CASE WHEN full_ THEN list_reduce(a3, lambda acc, x: acc + x) / len(a3) END')} AS robust_mean
+           {r6('CASE WHEN full_ THEN list_reduce(a3, lambda acc, x: acc + x, 0.0) / len(a3) END')} AS robust_mean
     FROM {last}"""

@@ -112,3 +112,73 @@ def _robust(spark, base):
 register("robust_baseline_week", _robust,
          O.robust(f"SELECT * FROM ({_report_sql('week')}) rr WHERE indicator = 'REVENUE'", "week",
                   TD.SPINE_START, TD.AS_OF))
+
+
+# ---------------------------------------------------------------- stage 5: owners and checks
+def _owners(spark, base):
+    from pyspark.sql import functions as F
+    from metricbook.operators.owners import kpi_owners, owner_rules
+    present = TD.repository(spark, base, "week").select("indicator").distinct()
+    g = TD.glossary(spark).join(present, on="indicator", how="left_semi")
+    return kpi_owners(g, owner_rules(spark))
+
+
+_RULES_SQL = ("(SELECT * FROM (VALUES (DATE '2025-01-01', 'acquisition', 'John Doe', '', 'Jane Doe'), "
+              "(DATE '2025-01-01', 'conversion', 'Jose Sanchez', '', 'Josephine Sanchez'), "
+              "(DATE '2025-01-01', 'engagement', 'Ivan Petrov', '', 'Maria Petrova')) "
+              "AS r(effective_date, category, owner, lead_analyst, bi_pal))")
+register("owners", _owners, f"""
+    SELECT DISTINCT r.effective_date, g.indicator, r.owner, r.lead_analyst, r.bi_pal
+    FROM {O.glossary_values()} g JOIN {_RULES_SQL} r ON g.category = r.category
+    WHERE g.is_kpi = TRUE AND g.indicator IN (SELECT indicator FROM ({O.repository(_mods_sql("week"))}) x)""")
+
+
+def _check(fn):
+    def run(spark, base):
+        from metricbook.operators import checks as C
+        return fn(C, spark, base)
+    return run
+
+
+register("check_not_null", _check(lambda C, s, b: C.not_null(_report("week", s, b), "prior_value")
+                                  .select("id", "indicator", "dimensions", "cycle_timestamp")),
+         f"SELECT id, indicator, dimensions, cycle_timestamp FROM ({_report_sql('week')}) r WHERE prior_value IS NULL")
+register("check_unique", _check(lambda C, s, b: C.unique(
+            __import__("metricbook.sources.tables", fromlist=["x"]).read_table(s, b, "events", ["user_id"]), "user_id")),
+         "SELECT user_id AS unique_field, COUNT(*) AS n_records FROM events WHERE user_id IS NOT NULL "
+         "GROUP BY user_id HAVING COUNT(*) > 1")
+register("check_accepted_values", _check(lambda C, s, b: C.accepted_values(
+            __import__("metricbook.sources.tables", fromlist=["x"]).read_table(s, b, "orders", ["o_orderpriority"]),
+            "o_orderpriority", ["1-URGENT", "2-HIGH", "3-MEDIUM"])),
+         "SELECT CAST(o_orderpriority AS VARCHAR) AS value_field, COUNT(*) AS n_records FROM orders "
+         "WHERE o_orderpriority IS NOT NULL AND o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM') GROUP BY 1")
+_DOUBLE_MODULE = (lambda s, b: TD.orders_module(s, b, "week").unionByName(
+    TD.orders_module(s, b, "week").where("dimensions = '{}'")))
+register("check_unique_combination", _check(lambda C, s, b: C.unique_combination(
+            _DOUBLE_MODULE(s, b), ["indicator", "dimensions", "cycle", "cycle_timestamp"])),
+         f"SELECT indicator, dimensions, cycle, cycle_timestamp, COUNT(*) AS n_records FROM "
+         f"(SELECT * FROM ({O.orders_module('week')}) a UNION ALL SELECT * FROM ({O.orders_module('week')}) b "
+         f"WHERE dimensions = '{{}}') u GROUP BY ALL HAVING COUNT(*) > 1")
+register("check_values_in_other", _check(lambda C, s, b: C.values_in_other(
+            TD.repository(s, b, "week"), "indicator", TD.glossary(s).where("indicator <> 'NET_REVENUE'"), "indicator")),
+         f"SELECT r.indicator AS invalid_value FROM ({O.repository(_mods_sql('week'))}) r "
+         f"LEFT JOIN (SELECT indicator FROM {O.glossary_values()} g WHERE indicator <> 'NET_REVENUE') a "
+         f"ON r.indicator = a.indicator WHERE a.indicator IS NULL")
+register("check_freshness", _check(lambda C, s, b: C.freshness(
+            TD.orders_module(s, b, "week").where(
+                "NOT (dimensions LIKE '%segment%' AND dimensions NOT LIKE '%status%' "
+                "AND cycle_timestamp = timestamp_ntz'2001-06-04 00:00:00')"), "week", TD.ANCHOR)),
+         f"""WITH m AS (SELECT * FROM ({O.orders_module('week')}) x WHERE NOT (dimensions LIKE '%segment%'
+                AND dimensions NOT LIKE '%status%' AND cycle_timestamp = TIMESTAMP '2001-06-04 00:00:00')),
+             u AS (SELECT DISTINCT indicator, list_sort(json_keys(dimensions)) AS dimensions FROM m),
+             c AS (SELECT DISTINCT indicator, list_sort(json_keys(dimensions)) AS dimensions FROM m
+                   WHERE cycle = 'week' AND cycle_timestamp = TIMESTAMP '2001-06-04 00:00:00')
+             SELECT u.indicator, u.dimensions FROM u LEFT JOIN c USING (indicator, dimensions)
+             WHERE c.indicator IS NULL""")
+register("check_json_key_accepted_values", _check(lambda C, s, b: C.json_key_accepted_values(
+            TD.orders_module(s, b, "week"), "dimensions", "status", values=["F"],
+            relation=__import__("metricbook.sources.tables", fromlist=["x"]).read_table(s, b, "orders", ["o_orderstatus"])
+            .where("o_orderstatus <> 'P'"), relation_column="o_orderstatus")),
+         f"SELECT * FROM ({O.orders_module('week')}) m WHERE (dimensions->>'status') IS NOT NULL AND "
+         f"(dimensions->>'status') NOT IN (SELECT o_orderstatus FROM orders WHERE o_orderstatus <> 'P' "
+         f"UNION SELECT 'F')")

@@ -182,3 +182,21 @@ register("check_json_key_accepted_values", _check(lambda C, s, b: C.json_key_acc
          f"SELECT * FROM ({O.orders_module('week')}) m WHERE (dimensions->>'status') IS NOT NULL AND "
          f"(dimensions->>'status') NOT IN (SELECT o_orderstatus FROM orders WHERE o_orderstatus <> 'P' "
          f"UNION SELECT 'F')")
+
+
+# ---------------------------------------------------------------- stage 6: sinks
+def _upsert(spark, base):
+    """delete+insert of the last complete week (incremental run) into the full weekly module."""
+    from metricbook.sources.sink import merge_frames
+    target = TD.orders_module(spark, base, "week")
+    batch = TD.orders_module(spark, base, "week", TD.cfg("week", backfill=False))
+    from pyspark.sql import functions as F
+    batch = batch.withColumn("value", (F.col("value") + 1).cast("decimal(18,4)"))
+    return merge_frames(target, batch, ["id"], "delete_insert")
+
+
+register("upsert_delete_insert", _upsert, f"""
+    WITH t AS ({O.orders_module('week')}),
+         b AS (SELECT indicator, dimensions, cycle, cycle_timestamp, CAST(value + 1 AS DECIMAL(18,4)) AS value, id
+               FROM ({O.orders_module('week', anchor=TD.ANCHOR)}) x)
+    SELECT * FROM t WHERE id NOT IN (SELECT id FROM b) UNION ALL SELECT * FROM b""")

@@ -200,3 +200,62 @@ register("upsert_delete_insert", _upsert, f"""
          b AS (SELECT indicator, dimensions, cycle, cycle_timestamp, CAST(value + 1 AS DECIMAL(18,4)) AS value, id
                FROM ({O.orders_module('week', anchor=TD.ANCHOR)}) x)
     SELECT * FROM t WHERE id NOT IN (SELECT id FROM b) UNION ALL SELECT * FROM b""")
+
+
+# ---------------------------------------------------------------- stage 7: profile and downstream jobs
+def _profile(spark, base):
+    from metricbook.operators.profile import profile_tables
+    return profile_tables(spark, {"kpi__repository": TD.repository(spark, base, "week"),
+                                  "kpi__events": TD.events_module(spark, base, "day")})
+
+
+register("table_profile", _profile)
+
+
+def _yoy(spark, base):
+    from metricbook.operators.insights import yoy_pivot
+    return yoy_pivot(_report("week", spark, base), TD.cfg("week", backfill=False))
+
+
+def _yoy_sql():
+    lc = O.last_complete("week", TD.ANCHOR)
+    weeks = [O.shift(lc, "week", -k) for k in range(4)]
+    case = " ".join(f"WHEN cycle_timestamp = {O.ts_lit(w)} THEN {i}" for i, w in enumerate(weeks))
+    cols = ", ".join(f"max(CASE WHEN k = {i} THEN current_value END) AS value_w{i}, "
+                     f"max(CASE WHEN k = {i} THEN yoy END) AS yoy_w{i}" for i in range(4))
+    yoy = O.r6("CAST(current_value AS DOUBLE) / CAST(prior_value AS DOUBLE) - 1.0")
+    return (f"SELECT indicator, dimensions, metric, coordinates, {cols} FROM ("
+            f"SELECT *, CASE {case} END AS k, {yoy} AS yoy FROM ({_report_sql('week')}) r "
+            f"WHERE cycle = 'week' AND cycle_timestamp IN ({', '.join(O.ts_lit(w) for w in weeks)})) x "
+            f"GROUP BY indicator, dimensions, metric, coordinates")
+
+
+register("yoy_pivot", _yoy, _yoy_sql())
+
+
+def _region(spark, base):
+    from metricbook.operators.insights import region_rollup
+    from metricbook.operators.pyramid import Measure, kpi_module
+    from metricbook.sources.tables import read_table
+    nation = read_table(spark, base, "nation", ["n_nationkey", "n_name", "n_regionkey"])
+    region = read_table(spark, base, "region", ["r_regionkey", "r_name"])
+    cust = read_table(spark, base, "customer", ["c_custkey", "c_nationkey"]).join(
+        nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    orders = read_table(spark, base, "orders", ["o_custkey", "o_totalprice", "o_orderdate"])
+    facts = orders.join(cust, F.col("o_custkey") == F.col("c_custkey"), "left")
+    mod = kpi_module(facts, "o_orderdate", "month", {"country": "n_name"},
+                     [Measure("ORDERS", "count"), Measure("REVENUE", "sum", "o_totalprice")])
+    mapping = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.col("n_name").alias("country_code"), F.col("r_name").alias("region"))
+    return region_rollup(mod, mapping)
+
+
+from pyspark.sql import functions as F  # noqa: E402
+
+register("region_rollup", _region, f"""
+    SELECT m.indicator, m.cycle, m.cycle_timestamp, r.r_name AS region, CAST(SUM(m.value) AS DECIMAL(18,4)) AS value
+    FROM ({O.module("orders o LEFT JOIN (SELECT c.c_custkey, n.n_name FROM customer c LEFT JOIN nation n "
+                    "ON c.c_nationkey = n.n_nationkey) cn ON o.o_custkey = cn.c_custkey", "o.o_orderdate", "month",
+                    {"country": "cn.n_name"}, [("ORDERS", "count", None), ("REVENUE", "sum", "o.o_totalprice")])}) m
+    JOIN nation n ON (m.dimensions->>'country') = n.n_name JOIN region r ON n.n_regionkey = r.r_regionkey
+    GROUP BY m.indicator, m.cycle, m.cycle_timestamp, r.r_name""")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from metricbook.config import RunConfig
@@ -45,3 +45,25 @@ def region_rollup(module: DataFrame, mapping: DataFrame, key: str = "country",
     return (rows.join(m, on="__code", how="inner")
             .groupBy("indicator", "cycle", "cycle_timestamp", "region")
             .agg(F.sum("value").cast("decimal(18,4)").alias("value")))
+
+
+def top_movers(report: DataFrame, cfg: RunConfig, k: int = 5) -> DataFrame:
+    """Largest year-over-year moves of the last complete period, ``k`` per indicator, with a sentence.
+
+    ``row_number() <= k`` is planned as a WindowGroupLimit, which keeps only
+    the top ``k`` per indicator inside each task before the shuffle, so a hot
+    indicator never lands whole in one task.
+    """
+    lc = F.lit(cfg.last_complete).cast("timestamp_ntz")
+    rows = (report.where((F.col("cycle") == cfg.reporting_period) & (F.col("cycle_timestamp") == lc)
+                         & F.col("prior_value").isNotNull() & (F.col("prior_value") != 0))
+            .withColumn("delta", F.col("current_value").cast("double") / F.col("prior_value").cast("double") - 1.0))
+    w = Window.partitionBy("indicator").orderBy(F.abs("delta").desc(), F.col("dimensions").asc())
+    top = rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    pct = F.round(F.abs(F.col("delta")) * 100, 1).cast("string")
+    sentence = F.concat(F.col("metric_display_name"), F.lit(" "),
+                        F.when(F.col("delta") >= 0, F.lit("up")).otherwise(F.lit("down")),
+                        F.lit(" "), pct, F.lit("% vs the same period last year"))
+    return top.select("indicator", "dimensions", "cycle_timestamp", F.col("rank").cast("long").alias("rank"),
+                      "current_value", "prior_value",
+                      F.round("delta", 6).alias("delta"), sentence.alias("sentence"))

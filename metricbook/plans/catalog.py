@@ -259,3 +259,26 @@ register("region_rollup", _region, f"""
                     {"country": "cn.n_name"}, [("ORDERS", "count", None), ("REVENUE", "sum", "o.o_totalprice")])}) m
     JOIN nation n ON (m.dimensions->>'country') = n.n_name JOIN region r ON n.n_regionkey = r.r_regionkey
     GROUP BY m.indicator, m.cycle, m.cycle_timestamp, r.r_name""")
+
+
+def _movers(spark, base):
+    from metricbook.operators.insights import top_movers
+    return top_movers(_report("week", spark, base), TD.cfg("week", backfill=False))
+
+
+def _movers_sql():
+    lc = O.ts_lit(O.last_complete("week", TD.ANCHOR))
+    d = "(CAST(current_value AS DOUBLE) / CAST(prior_value AS DOUBLE) - 1.0)"
+    pct = f"CAST(CAST(round(CAST(CAST(abs({d}) * 100 AS VARCHAR) AS DECIMAL(38,12)), 1) AS DOUBLE) AS VARCHAR)"
+    return f"""
+    SELECT indicator, dimensions, cycle_timestamp, rank, current_value, prior_value, {O.r6('delta')} AS delta,
+           metric_display_name || ' ' || CASE WHEN delta >= 0 THEN 'up' ELSE 'down' END || ' ' || pct
+             || '% vs the same period last year' AS sentence
+    FROM (SELECT *, {d} AS delta, {pct} AS pct,
+                 ROW_NUMBER() OVER (PARTITION BY indicator ORDER BY abs({d}) DESC, dimensions ASC) AS rank
+          FROM ({_report_sql('week')}) r
+          WHERE cycle = 'week' AND cycle_timestamp = {lc} AND prior_value IS NOT NULL AND prior_value <> 0) x
+    WHERE rank <= 5"""
+
+
+register("top_movers", _movers, _movers_sql())

@@ -282,3 +282,28 @@ def _movers_sql():
 
 
 register("top_movers", _movers, _movers_sql())
+
+
+def _split(spark, base):
+    from metricbook.operators.plan_split import split_monthly_plan
+    return split_monthly_plan(TD.aop_from(TD.repository(spark, base, "month")), "week")
+
+
+def _split_sql():
+    aop = (f"SELECT cycle_timestamp, CAST(value * 1.05 AS DECIMAL(18,8)) AS plan, indicator, dimensions, cycle "
+           f"FROM ({O.repository(_mods_sql('month'))}) r WHERE indicator = 'REVENUE'")
+    return f"""
+    WITH a AS (SELECT indicator, dimensions, plan, CAST(cycle_timestamp AS DATE) AS m,
+                      CAST(CAST(plan AS DECIMAL(38,8)) * 100000000 AS HUGEINT) AS p8, day(last_day(CAST(cycle_timestamp AS DATE))) AS n
+               FROM ({aop}) x WHERE cycle = 'month'),
+         d AS (SELECT a.*, CAST(g.d AS DATE) AS day FROM a, generate_series(a.m, CAST(last_day(a.m) AS DATE),
+                                                                              INTERVAL 1 DAY) g(d)),
+         s AS (SELECT *, (p8 * 2 + n) // (2 * n) AS s8 FROM d),
+         dp AS (SELECT indicator, dimensions, {O.period_start('day', 'week')} AS cycle_timestamp,
+                       CAST(CASE WHEN day = last_day(m) THEN p8 - s8 * (n - 1) ELSE s8 END AS DECIMAL(38,0))
+                         / 100000000 AS plan FROM s)
+    SELECT cycle_timestamp, CAST(SUM(plan) AS DECIMAL(18,8)) AS plan, indicator, dimensions, 'week' AS cycle
+    FROM dp GROUP BY indicator, dimensions, cycle_timestamp"""
+
+
+register("aop_split_week", _split, _split_sql())

@@ -138,3 +138,19 @@ def test_upsert_versions(spark, tmp_path):
     upsert(spark, a, str(tmp_path), 0, ["id"])
     out = upsert(spark, b, str(tmp_path), 1, ["id"])
     assert sorted(tuple(r) for r in spark.read.parquet(out).collect()) == [("1", 1), ("2", 20), ("3", 30)]
+
+
+def test_plan_split_day_shares_sum_to_month(spark):
+    from metricbook.operators.plan_split import split_monthly_plan
+    aop = spark.createDataFrame([
+        (dt.datetime(2024, 2, 1), Decimal("100.00000001"), "A", "{}", "month"),
+        (dt.datetime(2024, 3, 1), Decimal("7"), "A", "{}", "month")], SCHEMAS["aop_targets"])
+    days = split_monthly_plan(aop, "day")
+    tot = {r[0]: r[1] for r in days.groupBy(F.trunc(F.to_date("cycle_timestamp"), "month"))
+           .agg(F.sum("plan")).collect()}
+    assert tot[dt.date(2024, 2, 1)] == Decimal("100.00000001") and tot[dt.date(2024, 3, 1)] == Decimal("7")
+    assert days.count() == 29 + 31
+    weeks = split_monthly_plan(aop, "week")
+    # the week of 2024-02-26 spans February and March
+    wk = weeks.where(F.col("cycle_timestamp") == dt.datetime(2024, 2, 26)).first()
+    assert wk is not None and wk.plan > 0

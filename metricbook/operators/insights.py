@@ -67,3 +67,47 @@ def top_movers(report: DataFrame, cfg: RunConfig, k: int = 5) -> DataFrame:
     return top.select("indicator", "dimensions", "cycle_timestamp", F.col("rank").cast("long").alias("rank"),
                       "current_value", "prior_value",
                       F.round("delta", 6).alias("delta"), sentence.alias("sentence"))
+
+
+# Societal generations (name, first birth year, last birth year).
+GENERATIONS = [
+    ("Beta", 2025, 2039), ("Alpha", 2010, 2024), ("Gen Z", 1997, 2009), ("Millennials", 1981, 1996),
+    ("Gen X", 1965, 1980), ("Boomers II", 1955, 1964), ("Boomers I", 1946, 1954), ("Post War", 1928, 1945),
+    ("WWII", 1922, 1927),
+]
+
+
+def generation_years(spark, generations=None) -> DataFrame:
+    """One row per birth year -> generation (at most a few hundred rows: a bounded broadcast)."""
+    g = spark.createDataFrame(generations or GENERATIONS, "generation string, from_year int, upto_year int")
+    return g.select("generation", F.explode(F.sequence("from_year", "upto_year")).alias("birth_year"))
+
+
+def generation_cohort(df: DataFrame, birth_year_col: str, generations: DataFrame) -> DataFrame:
+    """Add ``generation`` from a birth year: the range join becomes an equi-join on the exploded years."""
+    years = broadcast_if_small(generations)
+    return df.join(years, F.col(birth_year_col) == years.birth_year, "left").drop(years.birth_year)
+
+
+def fixed_date_holidays(spark, country: str, rules: list[tuple[int, int, str]], first_year: int,
+                        last_year: int) -> DataFrame:
+    """Holiday table built from fixed-date rules over a range of years: ``country, date, holiday``."""
+    rule_array = F.array(*[F.struct(F.lit(m).alias("m"), F.lit(d).alias("d"), F.lit(n).alias("holiday"))
+                           for m, d, n in rules])
+    years = spark.range(first_year, last_year + 1).select(F.col("id").cast("int").alias("y"),
+                                                           F.explode(rule_array).alias("r"))
+    return years.select(F.lit(country).alias("country"), F.make_date("y", "r.m", "r.d").alias("date"),
+                        F.col("r.holiday").alias("holiday"))
+
+
+def holiday_flag(daily: DataFrame, holidays: DataFrame, default_country: str | None = None,
+                 key: str = "country") -> DataFrame:
+    """Flag daily KPI rows falling on a holiday of their ``country`` dimension (or a default country)."""
+    h = broadcast_if_small(holidays.groupBy("country", "date").agg(
+        F.array_join(F.array_sort(F.collect_set("holiday")), ", ").alias("holiday")))
+    c = D.get_key("dimensions", key)
+    if default_country is not None:
+        c = F.coalesce(c, F.lit(default_country))
+    rows = daily.withColumn("__c", c).withColumn("__d", F.to_date("cycle_timestamp"))
+    out = rows.join(h, (rows.__c == h.country) & (rows.__d == h.date), "left")
+    return out.select(*daily.columns, h.holiday.isNotNull().alias("is_holiday"), h.holiday)

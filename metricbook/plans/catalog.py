@@ -307,3 +307,29 @@ def _split_sql():
 
 
 register("aop_split_week", _split, _split_sql())
+
+
+# Fixed holiday rules for the test query (month, day, name).
+US_FIXED_HOLIDAYS = [(1, 1, "New Year's Day"), (7, 4, "Independence Day"), (12, 25, "Christmas Day")]
+
+
+def _holiday(spark, base):
+    from metricbook.operators.insights import fixed_date_holidays, holiday_flag
+    hol = fixed_date_holidays(spark, "US", US_FIXED_HOLIDAYS, TD.SPINE_START.year, TD.AS_OF.year)
+    return holiday_flag(TD.orders_module(spark, base, "day"), hol, default_country="US")
+
+
+def _holiday_sql():
+    rules = ", ".join(f"({m}, {d}, {O.q(n)})" for m, d, n in US_FIXED_HOLIDAYS)
+    return f"""
+    WITH h AS (SELECT 'US' AS country, make_date(CAST(y AS INTEGER), m, d) AS date, holiday
+               FROM range({TD.SPINE_START.year}, {TD.AS_OF.year + 1}) t(y), (VALUES {rules}) r(m, d, holiday)),
+         hh AS (SELECT country, date, array_to_string(list_sort(list(DISTINCT holiday)), ', ') AS holiday
+                FROM h GROUP BY country, date),
+         m AS ({O.orders_module('day')})
+    SELECT m.*, hh.holiday IS NOT NULL AS is_holiday, hh.holiday
+    FROM m LEFT JOIN hh ON coalesce(m.dimensions->>'country', 'US') = hh.country
+                       AND CAST(m.cycle_timestamp AS DATE) = hh.date"""
+
+
+register("holiday_flag", _holiday, _holiday_sql())

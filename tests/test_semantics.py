@@ -154,3 +154,16 @@ def test_plan_split_day_shares_sum_to_month(spark):
     # the week of 2024-02-26 spans February and March
     wk = weeks.where(F.col("cycle_timestamp") == dt.datetime(2024, 2, 26)).first()
     assert wk is not None and wk.plan > 0
+
+
+def test_generation_cohort_boundaries(spark):
+    from metricbook.operators.insights import generation_cohort, generation_years
+    people = spark.createDataFrame([(1, 1996), (2, 1997), (3, 1921), (4, 2039), (5, None)], "pid int, born int")
+    out = {r.pid: r.generation for r in generation_cohort(people, "born", generation_years(spark)).collect()}
+    assert out == {1: "Millennials", 2: "Gen Z", 3: None, 4: "Beta", 5: None}
+
+
+def test_holiday_rules(spark):
+    from metricbook.operators.insights import fixed_date_holidays
+    h = fixed_date_holidays(spark, "US", [(7, 4, "Independence Day")], 2000, 2001)
+    assert sorted(r.date for r in h.collect()) == [dt.date(2000, 7, 4), dt.date(2001, 7, 4)]

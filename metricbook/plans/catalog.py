@@ -333,3 +333,40 @@ def _holiday_sql():
 
 
 register("holiday_flag", _holiday, _holiday_sql())
+
+
+def _decompose(spark, base):
+    from metricbook.operators.decompose import decompose
+    return decompose(_report("month", spark, base), TD.cfg("month"))
+
+
+def _decompose_sql():
+    def half_up(s, n, scale):
+        return (f"CAST(sign({s}) * ((abs({s}) * 2 * 1000000 // {10 ** scale} + {n}) // (2 * {n})) AS DOUBLE) / 1000000")
+    return f"""
+    WITH report AS ({_report_sql('month')}),
+    {O._spines('report', 'month', TD.SPINE_START, TD.AS_OF)},
+    idx AS (SELECT cycle_timestamp, ROW_NUMBER() OVER (ORDER BY cycle_timestamp) - 1 AS period_idx
+            FROM reporting_spine),
+    r AS (SELECT report.*, idx.period_idx, month(report.cycle_timestamp) AS slot
+          FROM report JOIN idx USING (cycle_timestamp) WHERE cycle = 'month'),
+    t AS (SELECT *,
+            COUNT(current_value) OVER (PARTITION BY indicator, cycle, dimensions ORDER BY period_idx
+                                       RANGE BETWEEN 6 PRECEDING AND 6 FOLLOWING) AS cnt,
+            SUM(CAST(current_value * 10000 AS HUGEINT)) OVER (PARTITION BY indicator, cycle, dimensions
+                ORDER BY period_idx RANGE BETWEEN 6 PRECEDING AND 6 FOLLOWING) AS s1,
+            MAX(current_value) OVER (PARTITION BY indicator, cycle, dimensions ORDER BY period_idx
+                                     RANGE BETWEEN 12 PRECEDING AND 12 PRECEDING) AS seasonal_naive
+          FROM r),
+    t2 AS (SELECT *, CASE WHEN cnt = 13 THEN sign(s1) * ((abs(s1) * 200 + cnt) // (2 * cnt)) END AS trend6 FROM t),
+    t3 AS (SELECT *, CAST(current_value * 1000000 AS HUGEINT) - trend6 AS det6 FROM t2),
+    t4 AS (SELECT *, SUM(det6) OVER (PARTITION BY indicator, cycle, dimensions, slot) AS ds,
+                     COUNT(det6) OVER (PARTITION BY indicator, cycle, dimensions, slot) AS dn FROM t3)
+    SELECT indicator, dimensions, cycle, cycle_timestamp, current_value,
+           CAST(trend6 AS DOUBLE) / 1000000 AS trend,
+           CASE WHEN dn > 0 THEN CAST(sign(ds) * ((abs(ds) * 2 + dn) // (2 * dn)) AS DOUBLE) / 1000000 END AS seasonal,
+           seasonal_naive
+    FROM t4"""
+
+
+register("decompose_month", _decompose, _decompose_sql())

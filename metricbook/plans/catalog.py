@@ -370,3 +370,11 @@ def _decompose_sql():
 
 
 register("decompose_month", _decompose, _decompose_sql())
+
+
+def _pca(spark, base):
+    from metricbook.operators.pca import kpi_pca
+    return kpi_pca(_report("week", spark, base), ["ORDERS", "REVENUE", "UNITS", "NET_REVENUE"], "week")
+
+
+register("kpi_pca_week", _pca)  # iterative numeric fit: rows-only check

@@ -26,3 +26,10 @@ def test_entry(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "aop_value" in df.columns
+
+
+def test_pca_components_are_centred(spark):
+    from pyspark.sql import functions as F
+    df = E.queries()["kpi_pca_week"](spark, SF)
+    r = df.agg(F.count("*"), F.avg("pc1"), F.avg("pc2")).first()
+    assert r[0] > 0 and abs(r[1]) < 1e-5 and abs(r[2]) < 1e-5

@@ -109,6 +109,13 @@ def minus_one_year(ts: dt.datetime) -> dt.datetime:
         return ts.replace(year=ts.year - 1, day=28)
 
 
+def ntz(t: dt.datetime | dt.date) -> Column:
+    """Timestamp literal as ``timestamp_ntz`` via its text (no session or process time zone involved)."""
+    if not isinstance(t, dt.datetime):
+        t = dt.datetime(t.year, t.month, t.day)
+    return F.lit(t.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+
+
 def as_date(anchor) -> dt.date:
     if isinstance(anchor, dt.datetime):
         return anchor.date()
@@ -127,7 +134,7 @@ def in_last_complete(ts, period: str, anchor) -> Column:
     start = last_complete(period, anchor)
     end = start_of(as_date(anchor), period)
     c = _col(ts)
-    return (c >= F.lit(start).cast("timestamp_ntz")) & (c < F.lit(end).cast("timestamp_ntz"))
+    return (c >= ntz(start)) & (c < ntz(end))
 
 
 # ---------------------------------------------------------------- labels

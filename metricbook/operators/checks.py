@@ -50,7 +50,7 @@ def freshness(df: DataFrame, period: str, anchor) -> DataFrame:
     """(indicator, key shape) combinations with no row in the last complete ``period``."""
     shapes = df.select("indicator", D.keys("dimensions").alias("dimensions"))
     lc = cycles.last_complete(period, anchor)
-    fresh = (df.where((F.col("cycle") == period) & (F.col("cycle_timestamp") == F.lit(lc).cast("timestamp_ntz")))
+    fresh = (df.where((F.col("cycle") == period) & (F.col("cycle_timestamp") == cycles.ntz(lc)))
              .select("indicator", D.keys("dimensions").alias("dimensions")).distinct())
     return shapes.distinct().join(fresh, on=["indicator", "dimensions"], how="left_anti")
 

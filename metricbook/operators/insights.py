@@ -23,10 +23,10 @@ def yoy_pivot(report: DataFrame, cfg: RunConfig, periods: int = 4) -> DataFrame:
     starts = [cycles.shift(lc, p, -k) for k in range(periods)]
     k = None
     for i, s in enumerate(starts):
-        cond = F.col("cycle_timestamp") == F.lit(s).cast("timestamp_ntz")
+        cond = F.col("cycle_timestamp") == cycles.ntz(s)
         k = F.when(cond, F.lit(i)) if k is None else k.when(cond, F.lit(i))
     rep = (report.where((F.col("cycle") == p) & F.col("cycle_timestamp").isin(
-        *[F.lit(s).cast("timestamp_ntz") for s in starts])).withColumn("__k", k)
+        *[cycles.ntz(s) for s in starts])).withColumn("__k", k)
            .withColumn("__yoy", F.round(F.col("current_value").cast("double")
                                         / F.col("prior_value").cast("double") - 1.0, 6)))
     aggs = []
@@ -54,7 +54,7 @@ def top_movers(report: DataFrame, cfg: RunConfig, k: int = 5) -> DataFrame:
     the top ``k`` per indicator inside each task before the shuffle, so a hot
     indicator never lands whole in one task.
     """
-    lc = F.lit(cfg.last_complete).cast("timestamp_ntz")
+    lc = cycles.ntz(cfg.last_complete)
     rows = (report.where((F.col("cycle") == cfg.reporting_period) & (F.col("cycle_timestamp") == lc)
                          & F.col("prior_value").isNotNull() & (F.col("prior_value") != 0))
             .withColumn("delta", F.col("current_value").cast("double") / F.col("prior_value").cast("double") - 1.0))

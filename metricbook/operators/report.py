@@ -47,7 +47,7 @@ def _prior_filter(cfg: RunConfig):
             & (ts < F.lit(f"{y + 1}-01-01 00:00:00").cast("timestamp_ntz")) \
             & (F.weekofyear(ts) == lc.isocalendar()[1])
     else:
-        cond &= ts == F.lit(cycles.minus_one_year(lc)).cast("timestamp_ntz")
+        cond &= ts == cycles.ntz(cycles.minus_one_year(lc))
     return cond
 
 
@@ -60,7 +60,7 @@ def plan_targets(aop: DataFrame, cfg: RunConfig) -> DataFrame:
                    F.col("cycle").cast("string").alias("cycle"))
     if cfg.aop_scope == "last_complete":
         a = a.filter((F.col("cycle") == cfg.reporting_period)
-                     & (F.col("cycle_timestamp") == F.lit(cfg.last_complete).cast("timestamp_ntz")))
+                     & (F.col("cycle_timestamp") == cycles.ntz(cfg.last_complete)))
     return a.groupBy(*AOP_KEYS).agg(F.max("plan").alias("aop_value"))
 
 
@@ -72,7 +72,7 @@ def performance_report(repository: DataFrame, glossary: DataFrame, aop: DataFram
     cur, prior = repo, repo
     if cfg.incremental:
         cur = cur.filter((F.col("cycle") == cfg.reporting_period)
-                         & (F.col("cycle_timestamp") == F.lit(cfg.last_complete).cast("timestamp_ntz")))
+                         & (F.col("cycle_timestamp") == cycles.ntz(cfg.last_complete)))
         prior = prior.filter(_prior_filter(cfg))
 
     prior = (prior.withColumn("__pk", cycles.prior_match_key("cycle", "cycle_timestamp"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metricbook.config import RunConfig
-from metricbook.functions import dims as D
+from metricbook.functions import cycles, dims as D
 from metricbook.operators.joins import broadcast_if_small
 from metricbook.sources.refdata import REPOSITORY
 
@@ -59,7 +59,7 @@ def shadow_rows(shadow: DataFrame, name: str = "repository_shadow") -> DataFrame
 def only_last_complete(df: DataFrame, cfg: RunConfig) -> DataFrame:
     """rows of the last complete reporting period (literal filter, pushes down)."""
     return df.filter((F.col("cycle") == cfg.reporting_period)
-                     & (F.col("cycle_timestamp") == F.lit(cfg.last_complete).cast("timestamp_ntz")))
+                     & (F.col("cycle_timestamp") == cycles.ntz(cfg.last_complete)))
 
 
 def build_repository(spark: SparkSession, modules: dict[str, DataFrame] | None,

@@ -65,8 +65,8 @@ def _window_input(report: DataFrame, cfg: RunConfig, lookback: int) -> DataFrame
         # influence the rows this run emits: a literal range, pushed down.
         i = bisect.bisect_left(spine_ts, lc)
         lo = spine_ts[max(i - lookback, 0)] if spine_ts else lc
-        rep = rep.filter((F.col("cycle_timestamp") <= F.lit(lc).cast("timestamp_ntz"))
-                         & (F.col("cycle_timestamp") >= F.lit(lo).cast("timestamp_ntz")))
+        rep = rep.filter((F.col("cycle_timestamp") <= cycles.ntz(lc))
+                         & (F.col("cycle_timestamp") >= cycles.ntz(lo)))
     return rep.join(period_index(spark, p, cfg.spine_start, cfg.spine_end), on="cycle_timestamp", how="inner")
 
 
@@ -102,7 +102,7 @@ def timeseries_analysis(report: DataFrame, cfg: RunConfig) -> DataFrame:
     out = out.withColumn("in_alert", in_alert).withColumn(
         "alert", F.when(F.col("in_alert"), F.when(v < F.col("__lo"), F.lit("↓")).otherwise(F.lit("↑"))))
     if cfg.incremental:
-        out = out.filter(F.col("cycle_timestamp") == F.lit(cfg.last_complete).cast("timestamp_ntz"))
+        out = out.filter(F.col("cycle_timestamp") == cycles.ntz(cfg.last_complete))
     rest = [c for c in report.columns if c not in ("id", "indicator", "dimensions", "cycle", "cycle_timestamp")]
     res = out.select(
         "indicator", "dimensions", "cycle", "cycle_timestamp", *rest,

@@ -15,8 +15,8 @@ one computed key:
 The prior side is reduced per key with ``max_by(value, cycle_timestamp)``
 (which is "latest match wins" without a window), so the join is a pure
 equi-join whose build side is already hash-partitioned on the join keys:
-one shuffle per side, no window, no fan-out.  Plan and glossary are
-broadcast only behind a row-count bound.
+one shuffle per side, no window, no fan-out.  The glossary is broadcast only
+behind a row-count bound; the plan join is left to AQE's runtime sizes.
 """
 
 from __future__ import annotations
@@ -83,7 +83,10 @@ def performance_report(repository: DataFrame, glossary: DataFrame, aop: DataFram
     m = cur.join(prior, on=JOIN_KEYS, how="left").withColumnRenamed("value", "current_value")
 
     if aop is not None:
-        m = m.join(broadcast_if_small(plan_targets(aop, cfg)), on=AOP_KEYS, how="left")
+        # No hint: the plan may be derived from data, and counting it would
+        # recompute its lineage.  AQE turns this into a broadcast join only
+        # when the plan's measured runtime size is under the threshold.
+        m = m.join(plan_targets(aop, cfg), on=AOP_KEYS, how="left")
     else:
         m = m.withColumn("aop_value", F.lit(None).cast(PLAN_TYPE))
 

@@ -18,6 +18,8 @@ class RunConfig:
     (``as_of`` inclusive).  ``aop_scope`` is ``"all"`` (join every plan row) or
     ``"last_complete"`` (plan restricted to the last complete period, as in
     the original model, which leaves older plan values empty on a backfill).
+    ``strict_biweek`` keeps bi-weekly runs from coming out empty after a
+    53-week year (see :func:`cycles.last_complete`).
     """
 
     reporting_period: str = "week"
@@ -26,6 +28,7 @@ class RunConfig:
     spine_start: dt.date = dt.date(2018, 1, 1)
     as_of: dt.date | None = None
     aop_scope: str = "all"
+    strict_biweek: bool = False
 
     def __post_init__(self):
         cycles.check_cycle(self.reporting_period)
@@ -42,7 +45,7 @@ class RunConfig:
 
     @property
     def last_complete(self) -> dt.datetime:
-        return cycles.last_complete(self.reporting_period, self.anchor_date)
+        return cycles.last_complete(self.reporting_period, self.anchor_date, self.strict_biweek)
 
     @property
     def spine_end(self) -> dt.date:

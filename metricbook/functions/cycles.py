@@ -124,19 +124,80 @@ def as_date(anchor) -> dt.date:
     return dt.date.fromisoformat(str(anchor))
 
 
-def last_complete(period: str, anchor) -> dt.datetime:
-    """Start of the last complete period before ``anchor``: trunc(anchor) - 1 period."""
-    return shift(start_of(as_date(anchor), period), period, -1)
+def last_complete(period: str, anchor, strict_biweek: bool = False) -> dt.datetime:
+    """Start of the last complete period before ``anchor``: trunc(anchor) - 1 period.
+
+    After a 53-week year the plain rule steps back two weeks from a bi-week whose
+    predecessor lasts one, to a date where no bi-week starts, so such a run is
+    empty.  ``strict_biweek`` takes the start of the bi-week before instead.
+    """
+    current = start_of(as_date(anchor), period)
+    if strict_biweek and period == "bi-week":
+        return start_of(current - dt.timedelta(days=1), period)
+    return shift(current, period, -1)
 
 
-def in_last_complete(ts, period: str, anchor) -> Column:
+def in_last_complete(ts, period: str, anchor, strict_biweek: bool = False) -> Column:
     """Half-open event window ``[start, end)`` of the last complete period."""
-    start = last_complete(period, anchor)
+    start = last_complete(period, anchor, strict_biweek)
     end = start_of(as_date(anchor), period)
     c = _col(ts)
     return (c >= ntz(start)) & (c < ntz(end))
 
 
+def prior_starts(start: dt.datetime, period: str) -> list[dt.datetime]:
+    """Period starts that :func:`prior_lookup_key` of ``start`` can match."""
+    if period not in _WEEKLY:
+        return [minus_one_year(start)]
+    first = dt.date(start.year - 1, 1, 1)
+    days = (first + dt.timedelta(days=i) for i in range(366))
+    return sorted({start_of(d, period) for d in days
+                   if start_of(d, period).year == start.year - 1
+                   and start_of(d, period).isocalendar()[1] == start.isocalendar()[1]})
+
+
+def needed_starts(period: str, anchor, lookback: int = 0, periods: int = 1, prior: bool = False) -> list[dt.datetime]:
+    """Periods that an incremental run reads: the last ``periods`` complete ones, ``lookback`` more
+    before them, and (``prior``) what the former are compared with a year back."""
+    emitted, s = [], last_complete(period, anchor)
+    for _ in range(periods):
+        emitted.append(s)
+        s = start_of(s - dt.timedelta(days=1), period)
+    before = []
+    for _ in range(lookback):
+        before.append(s)
+        s = start_of(s - dt.timedelta(days=1), period)
+    out = set(emitted) | set(before)
+    if prior:
+        out |= {p for e in emitted for p in prior_starts(e, period)}
+    return sorted(out)
+
+
+def in_periods(ts, period: str, starts: list[dt.datetime]) -> Column:
+    """Events of the given periods: half-open literal ranges (neighbours joined), which reach the scan."""
+    ranges: list[list[dt.datetime]] = []
+    for s in starts:
+        end = next_start(s, period)
+        if ranges and ranges[-1][1] == s:
+            ranges[-1][1] = end
+        else:
+            ranges.append([s, end])
+    c = _col(ts)
+    out = F.lit(False)
+    for i, (a, b) in enumerate(ranges):
+        inside = (c >= ntz(a)) & (c < ntz(b))
+        out = inside if i == 0 else out | inside
+    return out
+
+
+def next_start(start: dt.datetime, period: str) -> dt.datetime:
+    """Start of the period after the one that starts at ``start`` (a bi-week may last one week)."""
+    if period != "bi-week":
+        return shift(start, period, 1)
+    week = start + dt.timedelta(weeks=1)
+    return week if start_of(week, period) == week else start + dt.timedelta(weeks=2)
+
+
 # ---------------------------------------------------------------- labels
 def sortkey(cycle, ts) -> Column:
     """Chart sort key: cycle rank * 10^10 + yyyymmddHH, as double (NULL for hour)."""

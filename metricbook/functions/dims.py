@@ -31,63 +31,87 @@ def from_columns(names: list[str] | tuple[str, ...], alias: dict[str, str] | Non
     return F.to_json(F.struct(*fields))
 
 
-def as_map(json_text) -> Column:
-    """JSON object text -> map<string,string> with null entries removed.
+def entries(json_text) -> Column:
+    """Sorted (key, value) entries of a JSON object, null values removed; parses the text once.
 
-    Not-an-object or unparsable text gives NULL.
+    A repeated key keeps its last value, as a JSON parser does.  Not-an-object
+    or unparsable text gives NULL.  Put it in a column of its own when several
+    of the functions below are applied to one row.
     """
-    m = F.from_json(_col(json_text), MAP_TYPE)
-    return F.map_filter(m, lambda k, v: v.isNotNull())
+    def last_of_each(all_: Column) -> Column:
+        return F.filter(all_, lambda e, i: ~F.exists(F.slice(all_, i + 2, F.size(all_)), lambda later: later.key == e.key)
+                        & e.value.isNotNull())
+    parsed = F.map_entries(F.from_json(_col(json_text), MAP_TYPE))
+    # transform over a one-element array: the parsed entries are used several times but computed once
+    return F.array_sort(F.element_at(F.transform(F.array(parsed), last_of_each), 1))
+
+
+def canonical_of(e: Column) -> Column:
+    """Canonical text of :func:`entries`."""
+    return F.when(e.isNotNull(), F.to_json(F.map_from_entries(e)))
 
 
 def canonical(json_text) -> Column:
     """Canonical text of a JSON object column (idempotent, key-order free)."""
-    m = as_map(json_text)
-    return F.when(m.isNotNull(), F.to_json(F.map_from_entries(F.array_sort(F.map_entries(m)))))
+    return F.element_at(F.transform(F.array(entries(json_text)), canonical_of), 1)
+
+
+#: Column metadata that says a dimensions column holds canonical text already.
+CANONICAL = {"canonical_dimensions": True}
+
 
+def canonical_any(c, field) -> Column:
+    """Canonicalise a dimensions column stored as text, map, struct or variant.
 
-def canonical_any(c, data_type) -> Column:
-    """Canonicalise a dimensions column stored as text, map or struct."""
-    name = data_type.simpleString()
-    if name.startswith("map") or name.startswith("struct"):
+    ``field`` is its StructField; text marked as canonical is passed through.
+    """
+    if field.metadata.get("canonical_dimensions"):
+        return _col(c)
+    if field.dataType.simpleString().split("<")[0] in ("map", "struct", "variant"):
         c = F.to_json(_col(c))
     return canonical(c)
 
 
+def keys_of(e: Column) -> Column:
+    return F.coalesce(F.transform(e, lambda x: x.key), F.array().cast("array<string>"))
+
+
+def values_of(e: Column) -> Column:
+    return F.transform(e, lambda x: x.value)
+
+
 def keys(json_text) -> Column:
     """Sorted keys (OBJECT_KEYS); NULL object -> empty array."""
-    m = as_map(json_text)
-    return F.coalesce(F.array_sort(F.map_keys(m)), F.array().cast("array<string>"))
+    return keys_of(entries(json_text))
 
 
 def values(json_text) -> Column:
     """Values in sorted-key order (OBJECT_VALUES)."""
-    m = as_map(json_text)
-    return F.transform(keys(json_text), lambda k: m[k])
+    return values_of(entries(json_text))
 
 
-def metric_name(indicator, json_text) -> Column:
+def metric_name(indicator, e: Column) -> Column:
     """``INDICATOR by k1 x k2``, or ``INDICATOR by *`` for the all-up coordinate."""
-    joined = F.array_join(keys(json_text), " x ")
+    joined = F.array_join(keys_of(e), " x ")
     return F.concat_ws(" ", _col(indicator), F.lit("by"),
                        F.coalesce(F.nullif(joined, F.lit("")), F.lit("*")))
 
 
-def coordinates(json_text) -> Column:
+def coordinates(e: Column) -> Column:
     """Values joined by ``,``; ``''`` when the object has none."""
-    return F.coalesce(F.array_join(values(json_text), ","), F.lit(""))
+    return F.coalesce(F.array_join(values_of(e), ","), F.lit(""))
 
 
-def display_name(readable, indicator, json_text) -> Column:
+def display_name(readable, indicator, e: Column) -> Column:
     """``Readable - v1, v2`` or ``Readable - Global``.
 
     A missing readable name falls back to the indicator.
     """
-    vals = F.array_join(values(json_text), ", ")
+    vals = F.array_join(values_of(e), ", ")
     dim = F.when(F.trim(F.coalesce(vals, F.lit(""))) == "", F.lit("Global")).otherwise(vals)
     return F.concat(F.coalesce(_col(readable), _col(indicator)), F.lit(" - "), dim)
 
 
 def get_key(json_text, key: str) -> Column:
     """Value of one key (JSON path ``col:key``)."""
-    return as_map(json_text)[key]
+    return F.get(F.filter(entries(json_text), lambda x: x.key == key), F.lit(0)).value

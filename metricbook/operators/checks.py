@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from metricbook.functions import cycles, dims as D
-from metricbook.operators.joins import broadcast_if_small
 
 
 def not_null(df: DataFrame, column: str) -> DataFrame:
@@ -72,7 +71,7 @@ def json_key_accepted_values(df: DataFrame, column: str, key: str, values: list[
         acc = lit_df if acc is None else acc.unionByName(lit_df)
     if acc is None:
         return rows.drop("__k")
-    acc = broadcast_if_small(acc.where(F.col("__a").isNotNull()).distinct())
+    acc = acc.where(F.col("__a").isNotNull()).distinct()
     return rows.join(acc, F.col("__k") == F.col("__a"), "left_anti").drop("__k")
 
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from metricbook.config import RunConfig
 from metricbook.functions import cycles, dims as D
-from metricbook.operators.joins import broadcast_if_small
 
 
 def yoy_pivot(report: DataFrame, cfg: RunConfig, periods: int = 4) -> DataFrame:
@@ -39,7 +38,7 @@ def yoy_pivot(report: DataFrame, cfg: RunConfig, periods: int = 4) -> DataFrame:
 def region_rollup(module: DataFrame, mapping: DataFrame, key: str = "country",
                   code_col: str = "country_code", region_col: str = "region") -> DataFrame:
     """Sum KPI rows whose only dimension is ``key`` up to regions (broadcast mapping, size-checked)."""
-    m = broadcast_if_small(mapping.select(F.col(code_col).alias("__code"), F.col(region_col).alias("region")))
+    m = mapping.select(F.col(code_col).alias("__code"), F.col(region_col).alias("region"))
     rows = module.where(F.size(D.keys("dimensions")) == 1).withColumn("__code", D.get_key("dimensions", key)) \
         .where(F.col("__code").isNotNull())
     return (rows.join(m, on="__code", how="inner")
@@ -85,7 +84,7 @@ def generation_years(spark, generations=None) -> DataFrame:
 
 def generation_cohort(df: DataFrame, birth_year_col: str, generations: DataFrame) -> DataFrame:
     """Add ``generation`` from a birth year: the range join becomes an equi-join on the exploded years."""
-    years = broadcast_if_small(generations)
+    years = generations
     return df.join(years, F.col(birth_year_col) == years.birth_year, "left").drop(years.birth_year)
 
 
@@ -103,8 +102,8 @@ def fixed_date_holidays(spark, country: str, rules: list[tuple[int, int, str]],
 def holiday_flag(daily: DataFrame, holidays: DataFrame, default_country: str | None = None,
                  key: str = "country") -> DataFrame:
     """Flag daily KPI rows falling on a holiday of their ``country`` dimension (or a default country)."""
-    h = broadcast_if_small(holidays.groupBy("country", "date").agg(
-        F.array_join(F.array_sort(F.collect_set("holiday")), ", ").alias("holiday")))
+    h = holidays.groupBy("country", "date").agg(
+        F.array_join(F.array_sort(F.collect_set("holiday")), ", ").alias("holiday"))
     c = D.get_key("dimensions", key)
     if default_country is not None:
         c = F.coalesce(c, F.lit(default_country))

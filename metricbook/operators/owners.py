@@ -7,7 +7,6 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metricbook.operators.joins import broadcast_if_small
 
 # Owner rules by glossary category (effective 2025-01-01).
 DEFAULT_RULES = [
@@ -25,5 +24,5 @@ def owner_rules(spark: SparkSession, rules=None) -> DataFrame:
 def kpi_owners(glossary: DataFrame, rules: DataFrame) -> DataFrame:
     """``effective_date, indicator, owner, lead_analyst, bi_pal`` for KPI indicators (distinct)."""
     kpis = glossary.where(F.col("is_kpi") == F.lit(True)).select("indicator", "category")
-    return (kpis.join(broadcast_if_small(rules), on="category", how="inner")
+    return (kpis.join(rules, on="category", how="inner")
             .select("effective_date", "indicator", "owner", "lead_analyst", "bi_pal").distinct())

@@ -12,9 +12,11 @@ Scale notes
   hot key costs one row per task - and only that reduced table is expanded
   into the 2^k grouping sets.  The Expand therefore multiplies grain rows,
   not fact rows.
-* Distinct counts are not additive.  They go straight through Spark's
-  grouping-sets + distinct plan, which shuffles on (set keys, distinct value),
-  so even the all-up coordinate of a period is spread over many tasks.
+* Distinct counts are not additive.  The facts are first grouped by
+  ``(cycle_timestamp, all dims, value)``; that table, which also carries the
+  additive partial sums, goes through the grouping-sets + distinct plan.  It
+  shuffles on (set keys, value), so even the all-up coordinate of a period is
+  spread over many tasks, facts are scanned once and never expanded.
 * The incremental event window is a literal range on the timestamp column and
   reaches the Parquet scan as a pushed filter.
 """
@@ -85,26 +87,32 @@ def pyramid(facts: DataFrame, ts: str | Column, period: str, dims: dict[str, str
                       *[m.indicator for m in measures])
 
 
-def _pyramid_parts(facts, ts, period, dims, measures, sets, cfg, null_token):
+def _pyramid_parts(facts, ts, period, dims, measures, sets, cfg, null_token, only=None):
     names = list(dims)
     base = facts
-    if cfg is not None and cfg.incremental:
-        base = base.filter(cycles.in_last_complete(ts, period, cfg.anchor_date))
+    start = cycles.period_start(ts, period)
+    if cfg is not None and cfg.incremental and only is None:
+        base = base.filter(cycles.in_last_complete(ts, period, cfg.anchor_date, cfg.strict_biweek))
+    if only is not None:
+        base = base.filter(cycles.in_periods(ts, period, only) & start.isin(*[cycles.ntz(s) for s in only]))
     dim_cols = []
     for k, c in dims.items():
         c = _as_col(c).cast("string")
         dim_cols.append((F.coalesce(c, F.lit(null_token)) if null_token is not None else c).alias(k))
     inputs = [(F.lit(1) if m.kind == "count" else _as_col(m.column)).alias(f"__in_{i}")
               for i, m in enumerate(measures)]
-    base = base.select(cycles.period_start(ts, period).alias("cycle_timestamp"), *dim_cols, *inputs)
+    base = base.select(start.alias("cycle_timestamp"), *dim_cols, *inputs)
 
     additive = [(i, m) for i, m in enumerate(measures) if m.kind in ADDITIVE]
     distinct = [(i, m) for i, m in enumerate(measures) if m.kind == "count_distinct"]
     parts = []
-    if additive:
-        parts.append((_additive_pyramid(base, names, sets, additive), [m.indicator for _, m in additive]))
-    if distinct:
-        parts.append((_direct_pyramid(base, names, sets, distinct), [m.indicator for _, m in distinct]))
+    if additive or not distinct:
+        # With a distinct count the additive measures ride on its table: one pass over the facts.
+        parts.append((_grain_pyramid(base, names, sets, additive, distinct[:1]),
+                      [m.indicator for _, m in additive + distinct[:1]]))
+        distinct = distinct[1:]
+    for d in distinct:
+        parts.append((_grain_pyramid(base, names, sets, [], [d]), [d[1].indicator]))
     return parts
 
 
@@ -124,10 +132,11 @@ def _grouping_sets(df: DataFrame, names: list[str], sets: list[tuple[str, ...]],
     return df.groupingSets(gsets, *cols).agg(*aggs, F.grouping_id().alias("__gid"))
 
 
-def _additive_pyramid(base: DataFrame, names, sets, measures) -> DataFrame:
+def _grain_pyramid(base: DataFrame, names, sets, additive, distinct) -> DataFrame:
+    """Grouping sets over the finest grain, which also holds the value of a distinct count (if any)."""
     # Stage 1: finest grain, map-side combined.
     partial = []
-    for i, m in measures:
+    for i, m in additive:
         c = F.col(f"__in_{i}")
         if m.kind == "count":
             partial.append(F.count(F.lit(1)).alias(f"__p_{i}"))
@@ -135,36 +144,37 @@ def _additive_pyramid(base: DataFrame, names, sets, measures) -> DataFrame:
             partial.append(F.sum(c.cast(VALUE_TYPE)).alias(f"__p_{i}"))
         else:
             partial.append(getattr(F, m.kind)(c.cast(VALUE_TYPE)).alias(f"__p_{i}"))
-    grain = base.groupBy("cycle_timestamp", *names).agg(*partial)
+    values = [f"__in_{i}" for i, _ in distinct]
+    fine = base.groupBy("cycle_timestamp", *names, *values)
+    grain = fine.agg(*partial) if partial else base.select("cycle_timestamp", *names, *values).distinct()
     # Stage 2: expand the (much smaller) grain table into the grouping sets.
     combine = []
-    for i, m in measures:
+    for i, m in additive:
         p = F.col(f"__p_{i}")
         f = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}[m.kind]
         combine.append(f(p).cast(VALUE_TYPE).alias(m.indicator))
+    combine += [F.count_distinct(F.col(f"__in_{i}")).cast(VALUE_TYPE).alias(m.indicator) for i, m in distinct]
     return _grouping_sets(grain, names, sets, combine)
 
 
-def _direct_pyramid(base: DataFrame, names, sets, measures) -> DataFrame:
-    aggs = [F.count_distinct(F.col(f"__in_{i}")).cast(VALUE_TYPE).alias(m.indicator) for i, m in measures]
-    return _grouping_sets(base, names, sets, aggs)
-
-
 def to_module(wide: DataFrame, dims: list[str], indicators: list[str]) -> DataFrame:
     """Unpivot a wide pyramid to the module contract and add the surrogate key."""
     long = wide.unpivot(["cycle", "cycle_timestamp", *dims], indicators, "indicator", "value")
-    long = long.select("indicator", D.from_columns(dims).alias("dimensions"), "cycle",
+    long = long.select("indicator", D.from_columns(dims).alias("dimensions", metadata=D.CANONICAL), "cycle",
                        "cycle_timestamp", F.col("value").cast(VALUE_TYPE).alias("value"))
     return long.withColumn("id", keys.surrogate_key(long, "indicator", "dimensions", "cycle", "cycle_timestamp"))
 
 
 def kpi_module(facts: DataFrame, ts: str | Column, period: str, dims: dict[str, str | Column] | list[str],
                measures: list[Measure], cfg: RunConfig | None = None,
-               sets: list[tuple[str, ...]] | None = None, null_token: str | None = "unknown") -> DataFrame:
+               sets: list[tuple[str, ...]] | None = None, null_token: str | None = "unknown",
+               only: list | None = None) -> DataFrame:
     """Facts -> KPI module rows (indicator, dimensions, cycle, cycle_timestamp, value, id).
 
     With an incremental ``cfg`` only events of the last complete period are
-    read (half-open window), so a run never emits a partial period.
+    read (half-open window), so a run never emits a partial period.  ``only``
+    (period starts, see :func:`cycles.needed_starts`) reads those periods
+    instead: what an incremental report or time series compares with.
     """
     if isinstance(dims, (list, tuple)):
         dims = {d: d for d in dims}
@@ -172,7 +182,7 @@ def kpi_module(facts: DataFrame, ts: str | Column, period: str, dims: dict[str,
     names = list(dims)
     sets = [tuple(s) for s in (sets if sets is not None else all_subsets(names))]
     out = None
-    for wide, indicators in _pyramid_parts(facts, ts, period, dims, measures, sets, cfg, null_token):
+    for wide, indicators in _pyramid_parts(facts, ts, period, dims, measures, sets, cfg, null_token, only):
         wide = wide.withColumn("cycle", F.lit(period))
         part = to_module(wide, names, indicators)
         out = part if out is None else out.unionByName(part)

@@ -12,11 +12,12 @@ one computed key:
 * day / month / quarter / year: the period start (the current row asks for
   its start minus one year).
 
-The prior side is reduced per key with ``max_by(value, cycle_timestamp)``
-(which is "latest match wins" without a window), so the join is a pure
-equi-join whose build side is already hash-partitioned on the join keys:
-one shuffle per side, no window, no fan-out.  The glossary is broadcast only
-behind a row-count bound; the plan join is left to AQE's runtime sizes.
+Modules may repeat a coordinate; a report has one row for it, the one with the
+smallest id (an aggregate with map-side combine, not a window).  The prior side
+comes from the same reduced rows and is reduced per key with
+``max_by(value, cycle_timestamp)`` ("latest match wins"), so the join is a pure
+equi-join whose build side is already hash-partitioned on the join keys: no
+window, no fan-out.  Glossary and plan joins are left to AQE's measured bytes.
 """
 
 from __future__ import annotations
@@ -26,9 +27,9 @@ from pyspark.sql import functions as F
 
 from metricbook.config import RunConfig
 from metricbook.functions import cycles, dims as D, keys
-from metricbook.operators.joins import broadcast_if_small
 
 PLAN_TYPE = "decimal(18,8)"
+COORDS = ["indicator", "dimensions", "cycle", "cycle_timestamp"]
 JOIN_KEYS = ["indicator", "dimensions", "cycle", "__pk"]
 AOP_KEYS = ["cycle_timestamp", "cycle", "indicator", "dimensions"]
 REPORT_COLUMNS = ["id", "indicator", "cycle", "cycle_timestamp", "dimensions", "metric",
@@ -56,7 +57,7 @@ def plan_targets(aop: DataFrame, cfg: RunConfig) -> DataFrame:
     a = aop.select(F.col("cycle_timestamp").cast("timestamp_ntz").alias("cycle_timestamp"),
                    F.col("plan").cast(PLAN_TYPE).alias("plan"),
                    F.col("indicator").cast("string").alias("indicator"),
-                   D.canonical_any(F.col("dimensions"), aop.schema["dimensions"].dataType).alias("dimensions"),
+                   D.canonical_any(F.col("dimensions"), aop.schema["dimensions"]).alias("dimensions"),
                    F.col("cycle").cast("string").alias("cycle"))
     if cfg.aop_scope == "last_complete":
         a = a.filter((F.col("cycle") == cfg.reporting_period)
@@ -69,11 +70,15 @@ def performance_report(repository: DataFrame, glossary: DataFrame, aop: DataFram
     """Report rows (see ``REPORT_COLUMNS``) for every cycle on backfill, else the last complete period."""
     cfg = cfg or RunConfig(backfill=True)
     repo = repository.select("id", "indicator", "cycle", "cycle_timestamp", "dimensions", "value")
-    cur, prior = repo, repo
+    last = (F.col("cycle") == cfg.reporting_period) & (F.col("cycle_timestamp") == cycles.ntz(cfg.last_complete))
     if cfg.incremental:
-        cur = cur.filter((F.col("cycle") == cfg.reporting_period)
-                         & (F.col("cycle_timestamp") == cycles.ntz(cfg.last_complete)))
-        prior = prior.filter(_prior_filter(cfg))
+        repo = repo.filter(last | _prior_filter(cfg))
+    # One row per coordinate, before the joins and for both sides of them.
+    one = (repo.groupBy(*COORDS).agg(F.min(F.struct("id", "value")).alias("__r"))
+           .select(*COORDS, F.col("__r.id").alias("id"), F.col("__r.value").alias("value")))
+    cur, prior = one, one
+    if cfg.incremental:
+        cur, prior = cur.filter(last), prior.filter(_prior_filter(cfg))
 
     prior = (prior.withColumn("__pk", cycles.prior_match_key("cycle", "cycle_timestamp"))
              .where(F.col("__pk").isNotNull())
@@ -90,14 +95,15 @@ def performance_report(repository: DataFrame, glossary: DataFrame, aop: DataFram
     else:
         m = m.withColumn("aop_value", F.lit(None).cast(PLAN_TYPE))
 
-    g = broadcast_if_small(glossary.select("indicator", "readable_indicator"))
+    g = glossary.select("indicator", "readable_indicator")
     m = m.join(g, on="indicator", how="inner")
 
-    out = m.select(
+    e = F.col("__e")
+    out = m.withColumn("__e", D.entries("dimensions")).select(  # parsed once for the three names
         "id", "indicator", "cycle", "cycle_timestamp", "dimensions",
-        D.metric_name("indicator", "dimensions").alias("metric"),
-        D.display_name("readable_indicator", "indicator", "dimensions").alias("metric_display_name"),
-        D.coordinates("dimensions").alias("coordinates"),
+        D.metric_name("indicator", e).alias("metric"),
+        D.display_name("readable_indicator", "indicator", e).alias("metric_display_name"),
+        D.coordinates(e).alias("coordinates"),
         cycles.sortkey("cycle", "cycle_timestamp").alias("sortkey"),
         cycles.label("cycle", "cycle_timestamp").alias("label"),
         "current_value", "prior_value", "aop_value")

@@ -3,7 +3,8 @@
 Override rule: a module row is replaced when a shadow row has the same ``id``
 *or* the same coordinates (indicator, dimensions, cycle, cycle_timestamp).
 The OR is split into two left-anti equi-joins (NOT(a OR b) = NOT a AND NOT b),
-so Spark plans hash/broadcast anti-joins instead of a nested-loop join.
+so Spark plans hash/broadcast anti-joins instead of a nested-loop join.  No
+size is counted beforehand: AQE chooses from the bytes it measures.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ from pyspark.sql import functions as F
 
 from metricbook.config import RunConfig
 from metricbook.functions import cycles, dims as D
-from metricbook.operators.joins import broadcast_if_small
 from metricbook.sources.refdata import REPOSITORY
 
 REQUIRED = ("indicator", "dimensions", "cycle", "cycle_timestamp", "value", "id")
@@ -28,18 +28,17 @@ class ModuleContractError(ValueError):
 def validate_module(name: str, df) -> DataFrame:
     """Check the module contract (six columns, any case) and project it typed and canonical."""
     if not isinstance(df, DataFrame):
-        raise ModuleContractError(f"The model '{name}' could not be resolved to a DataFrame.")
+        raise ModuleContractError(f"module {name!r}: expected a DataFrame, got {type(df).__name__}")
     by_lower = {c.lower(): c for c in df.columns}
     missing = [c for c in REQUIRED if c not in by_lower]
     if missing:
         raise ModuleContractError(
-            f"The model '{name}' is missing required column '{missing[0]}'. "
-            f"It must have all columns: {', '.join(REQUIRED)}")
-    dtype = df.schema[by_lower["dimensions"]].dataType
+            f"module {name!r} lacks {', '.join(missing)} of the contract columns {', '.join(REQUIRED)}")
+    field = df.schema[by_lower["dimensions"]]
     return df.select(
         F.lit(name).alias("_source_relation"),
         F.col(by_lower["indicator"]).cast("string").alias("indicator"),
-        D.canonical_any(F.col(by_lower["dimensions"]), dtype).alias("dimensions"),
+        D.canonical_any(F.col(by_lower["dimensions"]), field).alias("dimensions", metadata=D.CANONICAL),
         F.col(by_lower["cycle"]).cast("string").alias("cycle"),
         F.col(by_lower["cycle_timestamp"]).cast("timestamp_ntz").alias("cycle_timestamp"),
         F.col(by_lower["value"]).cast(VALUE_TYPE).alias("value"),
@@ -47,10 +46,10 @@ def validate_module(name: str, df) -> DataFrame:
 
 
 def shadow_rows(shadow: DataFrame, name: str = "repository_shadow") -> DataFrame:
-    dtype = shadow.schema["dimensions"].dataType
+    field = shadow.schema["dimensions"]
     return shadow.select(
         F.lit(name).alias("_source_relation"), F.col("indicator").cast("string").alias("indicator"),
-        D.canonical_any(F.col("dimensions"), dtype).alias("dimensions"),
+        D.canonical_any(F.col("dimensions"), field).alias("dimensions", metadata=D.CANONICAL),
         F.col("cycle").cast("string").alias("cycle"),
         F.col("cycle_timestamp").cast("timestamp_ntz").alias("cycle_timestamp"),
         F.col("value").cast(VALUE_TYPE).alias("value"), F.col("id").cast("string").alias("id"))
@@ -80,8 +79,8 @@ def build_repository(spark: SparkSession, modules: dict[str, DataFrame] | None,
     if shadow is not None:
         sh = shadow_rows(shadow, shadow_name)
         if data is not None:
-            by_id = broadcast_if_small(sh.select("id").where(F.col("id").isNotNull()).distinct())
-            by_coords = broadcast_if_small(sh.select(*COORDS).distinct())
+            by_id = sh.select("id").where(F.col("id").isNotNull()).distinct()
+            by_coords = sh.select(*COORDS).distinct()
             survivors = (data.join(by_id, on="id", how="left_anti")
                          .join(by_coords, on=COORDS, how="left_anti"))
             out = sh.unionByName(survivors).distinct()

@@ -78,23 +78,23 @@ def timeseries_analysis(report: DataFrame, cfg: RunConfig) -> DataFrame:
     w = Window.partitionBy(*SERIES).orderBy("period_idx").rangeBetween(-n, -1)
     dec = F.col("current_value")
     v = dec.cast("double")
-    # Moments in exact scaled-integer arithmetic (value * 10^4 is integral for
-    # decimal(18,4)), as the warehouse does on NUMBER columns; the only
-    # rounding is one conversion to double.  try_* arithmetic turns an
-    # (extreme) overflow into NULL, which falls back to the float statistic.
+    # One rule: moments in exact scaled-integer arithmetic (value * 10^4 is
+    # integral for decimal(18,4)), rounded once, on conversion to double.  Where
+    # the exact sums need more than 38 digits (values near the 14-digit limit
+    # of the type) there is no sigma: boundaries and alert are NULL.
     x = (dec * 10000).cast("decimal(38,0)")
     cnt = F.count(dec).over(w)
     s1 = F.try_sum(x).over(w)
     s2 = F.try_sum(F.try_multiply(x, x)).over(w)
     num = F.try_subtract(F.try_multiply(cnt.cast("decimal(20,0)"), s2), F.try_multiply(s1, s1))
     var = num.cast("double") / (cnt.cast("double") * (cnt - 1).cast("double") * F.lit(1e8))
-    sig_all = F.coalesce(F.sqrt(var), F.stddev_samp(v).over(w))
-    mid_all = F.coalesce(s1.cast("double") / (cnt.cast("double") * F.lit(1e4)), F.avg(v).over(w))
+    sig_all = F.sqrt(var)
+    mid_all = s1.cast("double") / (cnt.cast("double") * F.lit(1e4))
     # exact mean rounded half-up to 6 digits (decimal division)
     mid6 = (s1 / (cnt.cast("decimal(20,0)") * 10000)).cast("decimal(38,6)").cast("double")
     out = (rep.withColumn("has_history", cnt == n)
            .withColumn("__mid", F.when(F.col("has_history"), mid_all))
-           .withColumn("__mid6", F.when(F.col("has_history"), F.coalesce(mid6, F.round(mid_all, DIGITS))))
+           .withColumn("__mid6", F.when(F.col("has_history"), mid6))
            .withColumn("__sig", F.when(F.col("has_history"), sig_all))
            .withColumn("__up", F.col("__mid") + BAND_WIDTH * F.col("__sig"))
            .withColumn("__lo", F.col("__mid") - BAND_WIDTH * F.col("__sig")))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import partial
 
+from metricbook.functions import cycles
 from metricbook.plans import oracle as O
 from metricbook.plans import testdata as TD
 
@@ -37,6 +38,10 @@ register("module_last_complete",
 
 
 # ---------------------------------------------------------------- stage 2: repository
+def _needed(period, **kw):
+    return cycles.needed_starts(period, TD.ANCHOR, **kw)
+
+
 def _mods_sql(period, anchor=None):
     return {"orders_module": O.orders_module(period, anchor), "lineitem_module": O.lineitem_module(period, anchor)}
 
@@ -51,15 +56,18 @@ register("repository_shadow_by_coords",
          O.repository(_mods_sql("week"), O.shadow_values(TD.SHADOW_BY_COORDS)))
 register("repository_incremental",
          lambda spark, base: TD.repository(spark, base, "week", TD.SHADOW_BY_ID + TD.SHADOW_BY_COORDS,
-                                           TD.cfg("week", backfill=False)),
+                                           TD.cfg("week", backfill=False), only=_needed("week")),
          O.repository(_mods_sql("week"), O.shadow_values(TD.SHADOW_BY_ID + TD.SHADOW_BY_COORDS),
                       period="week", anchor=TD.ANCHOR))
 
 
 # ---------------------------------------------------------------- stage 3: report
-def _report(period, spark, base, backfill=True, aop_scope=None):
+def _report(period, spark, base, backfill=True, aop_scope=None, only=None):
+    """``only``: the periods whose events are read; an incremental report needs its own and their prior year's."""
     from metricbook.operators.report import performance_report
-    repo = TD.repository(spark, base, period)
+    if not backfill and only is None:
+        only = _needed(period, prior=True)
+    repo = TD.repository(spark, base, period, only=only)
     run = TD.cfg(period, backfill=backfill, **({"aop_scope": aop_scope} if aop_scope else {}))
     aop = TD.aop_from(repo) if aop_scope else None
     return performance_report(repo, TD.glossary(spark), aop, run)
@@ -86,7 +94,8 @@ register("report_aop_last_complete", partial(_report, "week", aop_scope="last_co
 # ---------------------------------------------------------------- stage 4: time series, robust baseline
 def _timeseries(period, spark, base, backfill=True):
     from metricbook.operators.timeseries import timeseries_analysis
-    rep = _report(period, spark, base)
+    only = None if backfill else _needed(period, lookback=cycles.LOOKBACK[period], prior=True)
+    rep = _report(period, spark, base, only=only)
     return timeseries_analysis(rep, TD.cfg(period, backfill=backfill))
 
 
@@ -103,15 +112,12 @@ register("timeseries_incremental", partial(_timeseries, "week", backfill=False),
 
 
 def _robust(spark, base):
-    from pyspark.sql import functions as F
     from metricbook.operators.robust import robust_baseline
-    rep = _report("week", spark, base).where(F.col("indicator") == "REVENUE")
-    return robust_baseline(rep, TD.cfg("week"))
+    return robust_baseline(_report("week", spark, base), TD.cfg("week"))
 
 
 register("robust_baseline_week", _robust,
-         O.robust(f"SELECT * FROM ({_report_sql('week')}) rr WHERE indicator = 'REVENUE'", "week",
-                  TD.SPINE_START, TD.AS_OF))
+         O.robust(_report_sql("week"), "week", TD.SPINE_START, TD.AS_OF))
 
 
 # ---------------------------------------------------------------- stage 5: owners and checks
@@ -214,7 +220,8 @@ register("table_profile", _profile)
 
 def _yoy(spark, base):
     from metricbook.operators.insights import yoy_pivot
-    return yoy_pivot(_report("week", spark, base), TD.cfg("week", backfill=False))
+    return yoy_pivot(_report("week", spark, base, only=_needed("week", periods=4, prior=True)),
+                     TD.cfg("week", backfill=False))
 
 
 def _yoy_sql():
@@ -263,7 +270,7 @@ register("region_rollup", _region, f"""
 
 def _movers(spark, base):
     from metricbook.operators.insights import top_movers
-    return top_movers(_report("week", spark, base), TD.cfg("week", backfill=False))
+    return top_movers(_report("week", spark, base, only=_needed("week", prior=True)), TD.cfg("week", backfill=False))
 
 
 def _movers_sql():
@@ -344,12 +351,7 @@ def _decompose_sql():
     def half_up(s, n, scale):
         return (f"CAST(sign({s}) * ((abs({s}) * 2 * 1000000 // {10 ** scale} + {n}) // (2 * {n})) AS DOUBLE) / 1000000")
     return f"""
-    WITH report AS ({_report_sql('month')}),
-    {O._spines('report', 'month', TD.SPINE_START, TD.AS_OF)},
-    idx AS (SELECT cycle_timestamp, ROW_NUMBER() OVER (ORDER BY cycle_timestamp) - 1 AS period_idx
-            FROM reporting_spine),
-    r AS (SELECT report.*, idx.period_idx, month(report.cycle_timestamp) AS slot
-          FROM report JOIN idx USING (cycle_timestamp) WHERE cycle = 'month'),
+    WITH {O.numbered(_report_sql('month'), 'month', TD.SPINE_START, TD.AS_OF)},
     t AS (SELECT *,
             COUNT(current_value) OVER (PARTITION BY indicator, cycle, dimensions ORDER BY period_idx
                                        RANGE BETWEEN 6 PRECEDING AND 6 FOLLOWING) AS cnt,

@@ -52,14 +52,14 @@ def orders_facts(spark: SparkSession, base: str) -> DataFrame:
     return orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
 
 
-def orders_module(spark: SparkSession, base: str, period: str, run: RunConfig | None = None) -> DataFrame:
+def orders_module(spark: SparkSession, base: str, period: str, run: RunConfig | None = None, only=None) -> DataFrame:
     """ORDERS and REVENUE by market segment and order status."""
     return kpi_module(orders_facts(spark, base), "o_orderdate", period,
                       {"segment": "c_mktsegment", "status": "o_orderstatus"},
-                      [Measure("ORDERS", "count"), Measure("REVENUE", "sum", "o_totalprice")], cfg=run)
+                      [Measure("ORDERS", "count"), Measure("REVENUE", "sum", "o_totalprice")], cfg=run, only=only)
 
 
-def orders_geo_module(spark: SparkSession, base: str, period: str, run: RunConfig | None = None) -> DataFrame:
+def orders_geo_module(spark: SparkSession, base: str, period: str, run: RunConfig | None = None, only=None) -> DataFrame:
     """ORDERS and REVENUE by geo (AMERICA -> US, else ROW) and market segment."""
     orders = read_table(spark, base, "orders", ["o_custkey", "o_totalprice", "o_orderdate"])
     customer = read_table(spark, base, "customer", ["c_custkey", "c_nationkey", "c_mktsegment"])
@@ -70,25 +70,25 @@ def orders_geo_module(spark: SparkSession, base: str, period: str, run: RunConfi
     cust = customer.join(geo, customer.c_nationkey == geo.n_nationkey, "left")
     facts = orders.join(cust, orders.o_custkey == cust.c_custkey, "left")
     return kpi_module(facts, "o_orderdate", period, {"geo": "geo", "segment": "c_mktsegment"},
-                      [Measure("ORDERS", "count"), Measure("REVENUE", "sum", "o_totalprice")], cfg=run)
+                      [Measure("ORDERS", "count"), Measure("REVENUE", "sum", "o_totalprice")], cfg=run, only=only)
 
 
-def lineitem_module(spark: SparkSession, base: str, period: str, run: RunConfig | None = None) -> DataFrame:
+def lineitem_module(spark: SparkSession, base: str, period: str, run: RunConfig | None = None, only=None) -> DataFrame:
     """UNITS and NET_REVENUE by return flag and line status, on ship date."""
     li = read_table(spark, base, "lineitem",
                     ["l_quantity", "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus", "l_shipdate"])
     net = (F.col("l_extendedprice").cast("decimal(18,4)")
            * (F.lit(1) - F.col("l_discount").cast("decimal(18,4)"))).cast("decimal(18,4)")
     return kpi_module(li, "l_shipdate", period, {"returnflag": "l_returnflag", "linestatus": "l_linestatus"},
-                      [Measure("UNITS", "sum", "l_quantity"), Measure("NET_REVENUE", "sum", net)], cfg=run)
+                      [Measure("UNITS", "sum", "l_quantity"), Measure("NET_REVENUE", "sum", net)], cfg=run, only=only)
 
 
-def events_module(spark: SparkSession, base: str, period: str, run: RunConfig | None = None) -> DataFrame:
+def events_module(spark: SparkSession, base: str, period: str, run: RunConfig | None = None, only=None) -> DataFrame:
     """EVENTS, EVENT_VALUE and ACTIVE_USERS by event type."""
     ev = read_table(spark, base, "events", ["ts", "user_id", "event_type", "value"])
     return kpi_module(ev, "ts", period, {"event_type": "event_type"},
                       [Measure("EVENTS", "count"), Measure("EVENT_VALUE", "sum", "value"),
-                       Measure("ACTIVE_USERS", "count_distinct", "user_id")], cfg=run)
+                       Measure("ACTIVE_USERS", "count_distinct", "user_id")], cfg=run, only=only)
 
 
 def _sk(*parts) -> str:
@@ -111,15 +111,16 @@ def shadow(spark: SparkSession, rows) -> DataFrame:
     return spark.createDataFrame(rows, SCHEMAS["repository_shadow"])
 
 
-def weekly_modules(spark: SparkSession, base: str, period: str = "week") -> dict[str, DataFrame]:
-    return {"orders_module": orders_module(spark, base, period),
-            "lineitem_module": lineitem_module(spark, base, period)}
+def modules(spark: SparkSession, base: str, period: str = "week", only=None) -> dict[str, DataFrame]:
+    return {"orders_module": orders_module(spark, base, period, only=only),
+            "lineitem_module": lineitem_module(spark, base, period, only=only)}
 
 
-def repository(spark: SparkSession, base: str, period: str, shadow_rows=None, run: RunConfig | None = None):
+def repository(spark: SparkSession, base: str, period: str, shadow_rows=None, run: RunConfig | None = None, only=None):
+    """Repository of the two modules; ``only`` limits the events read to those periods."""
     from metricbook.operators.repository import build_repository
     sh = shadow(spark, shadow_rows) if shadow_rows else None
-    return build_repository(spark, weekly_modules(spark, base, period), sh, run)
+    return build_repository(spark, modules(spark, base, period, only), sh, run)
 
 
 def aop_from(repo: DataFrame) -> DataFrame:

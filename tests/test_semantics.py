@@ -45,7 +45,7 @@ def test_canonical_dimensions_order_and_nulls(spark):
     out = [r[0] for r in spark.createDataFrame(rows, "j string").select(D.canonical("j")).collect()]
     assert out == ['{"a":"x","b":"1"}', '{"a":"x","b":"1"}', "{}", None, "{}"]
     names = spark.createDataFrame(rows, "j string").select(
-        D.metric_name(F.lit("X"), "j"), D.display_name(F.lit(None), F.lit("X"), "j")).collect()
+        D.metric_name(F.lit("X"), D.entries("j")), D.display_name(F.lit(None), F.lit("X"), D.entries("j"))).collect()
     assert names[0][0] == "X by a x b" and names[2][0] == "X by *" and names[3][0] == "X by *"
     assert names[0][1] == "X - x, 1" and names[2][1] == "X - Global"
 

@@ -2,15 +2,16 @@
 
 All checks are distributed DataFrame jobs (filters, grouped counts,
 left-anti joins); ``run_checks`` folds their failure counts into one small
-result frame lazily, so every check runs in one action.
+result frame, with one scan for all row-level checks of a table.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-from typing import Callable
+from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metricbook.functions import cycles, dims as D
@@ -45,13 +46,21 @@ def values_in_other(df: DataFrame, column: str, other: DataFrame, other_column:
             .join(ref, F.col("invalid_value") == F.col("__v"), "left_anti"))
 
 
-def freshness(df: DataFrame, period: str, anchor) -> DataFrame:
-    """(indicator, key shape) combinations with no row in the last complete ``period``."""
-    shapes = df.select("indicator", D.keys("dimensions").alias("dimensions"))
+def freshness(df: DataFrame, period: str, anchor, by: str = "keys") -> DataFrame:
+    """Combinations with no row in the last complete ``period``.
+
+    ``by="keys"``: (indicator, dimension key names), so one fresh value of a key
+    hides the missing others; ``by="coordinates"``: (indicator, dimensions).
+    """
+    if by not in ("keys", "coordinates"):
+        raise ValueError("by must be 'keys' or 'coordinates'")
+    shape = (D.keys("dimensions") if by == "keys" else F.col("dimensions")).alias("dimensions")
     lc = cycles.last_complete(period, anchor)
-    fresh = (df.where((F.col("cycle") == period) & (F.col("cycle_timestamp") == cycles.ntz(lc)))
-             .select("indicator", D.keys("dimensions").alias("dimensions")).distinct())
-    return shapes.distinct().join(fresh, on=["indicator", "dimensions"], how="left_anti")
+    # one pass: a combination is stale if none of its rows is in the period
+    fresh = ((F.col("cycle") == period) & (F.col("cycle_timestamp") == cycles.ntz(lc)))
+    return (df.select("indicator", shape, fresh.alias("__fresh")).groupBy("indicator", "dimensions")
+            .agg(F.max("__fresh").alias("__fresh")).where(~F.coalesce("__fresh", F.lit(False)))
+            .drop("__fresh"))
 
 
 def json_key_accepted_values(df: DataFrame, column: str, key: str, values: list[str] | None = None,
@@ -77,20 +86,71 @@ def json_key_accepted_values(df: DataFrame, column: str, key: str, values: list[
 
 @dataclass
 class Check:
+    """A named check: ``failing`` is a condition on the rows of ``table``, or ``rows`` builds the
+    frame of failing rows."""
+
     name: str
-    run: Callable[[], DataFrame]
+    table: DataFrame | None = None
+    failing: Column | None = None
+    rows: Callable[[], DataFrame] | None = None
     severity: str = "error"  # "warn" or "error"
     enabled: bool = True
-    tags: dict = field(default_factory=dict)
 
 
-def run_checks(checks: list[Check]) -> DataFrame:
-    """One row per enabled check: ``check, severity, failures, status`` (pass / warn / fail)."""
-    parts = [c.run().agg(F.count(F.lit(1)).alias("failures"))
-             .select(F.lit(c.name).alias("check"), F.lit(c.severity).alias("severity"), "failures")
-             for c in checks if c.enabled]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+RESULT_SCHEMA = "check string, severity string, failures long, status string"
+
+
+def run_checks(spark: SparkSession, checks: list[Check]) -> DataFrame:
+    """One row per enabled check: ``check, severity, failures, status`` (pass / warn / fail).
+
+    The row-level checks of one table are counted in one aggregation over it;
+    the others add one count each.  Without an enabled check the result is empty.
+    """
+    live = [c for c in checks if c.enabled]
+    if not live:
+        return spark.createDataFrame([], RESULT_SCHEMA)
+    parts = []
+    by_table: dict[int, list[Check]] = {}
+    for c in live:
+        if c.rows is None:
+            by_table.setdefault(id(c.table), []).append(c)
+        else:
+            parts.append(c.rows().agg(F.count(F.lit(1)).alias("failures"))
+                         .select(F.lit(c.name).alias("check"), F.lit(c.severity).alias("severity"), "failures"))
+    for group in by_table.values():
+        counted = group[0].table.agg(*[F.count_if(c.failing).alias(f"__{i}") for i, c in enumerate(group)])
+        parts.append(counted.select(F.inline(F.array(*[
+            F.struct(F.lit(c.name).alias("check"), F.lit(c.severity).alias("severity"), F.col(f"__{i}").alias("failures"))
+            for i, c in enumerate(group)]))))
+    out = reduce(DataFrame.unionByName, parts)
     return out.withColumn("status", F.when(F.col("failures") == 0, "pass")
                           .when(F.col("severity") == "warn", "warn").otherwise("fail"))
+
+
+#: Accepted values of well-known dimension keys, and of the cycle column.
+ACCEPTED_DIMENSIONS = {"geo": ["US", "ROW"], "platform": ["iOS", "Android", "Web", "Other"],
+                       "user_class": ["Premium", "Non-Premium", "PremiumPlus"]}
+
+
+def repository_checks(repo: DataFrame, glossary: DataFrame, countries: DataFrame | None, anchor) -> list[Check]:
+    """The checks that guard a KPI repository: keys, accepted values, glossary coverage, freshness."""
+    def not_accepted(key: str, values: list[str]) -> Column:
+        v = D.get_key("dimensions", key)
+        return v.isNotNull() & ~v.isin(*values)
+
+    coords = ["indicator", "dimensions", "cycle", "cycle_timestamp"]
+    checks = [Check("indicator_in_glossary", rows=lambda: values_in_other(repo, "indicator", glossary, "indicator"))]
+    checks += [Check(f"dimension_{k}_accepted", repo, not_accepted(k, v)) for k, v in ACCEPTED_DIMENSIONS.items()]
+    if countries is not None:
+        checks.append(Check("dimension_country_accepted", rows=lambda: json_key_accepted_values(
+            repo, "dimensions", "country", ["XX"], countries, "alpha_2")))
+    checks += [
+        Check("cycle_timestamp_not_null", repo, F.col("cycle_timestamp").isNull()),
+        Check("cycle_accepted", repo, F.col("cycle").isNotNull() & ~F.col("cycle").isin(*cycles.CYCLES)),
+        Check("id_not_null", repo, F.col("id").isNull()),
+        Check("id_unique", rows=lambda: unique(repo, "id")),
+        Check("id_combination_unique", rows=lambda: unique_combination(repo, ["id"])),
+        Check("coordinates_unique", rows=lambda: unique_combination(repo, coords)),
+        Check("fresh_week", rows=lambda: freshness(repo, "week", anchor), severity="warn"),
+        Check("fresh_month", rows=lambda: freshness(repo, "month", anchor))]
+    return checks

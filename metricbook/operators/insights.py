@@ -68,6 +68,21 @@ def top_movers(report: DataFrame, cfg: RunConfig, k: int = 5) -> DataFrame:
                       F.round("delta", 6).alias("delta"), sentence.alias("sentence"))
 
 
+def alert_sentences(bands: DataFrame, cfg: RunConfig) -> DataFrame:
+    """One sentence per series that is outside its band in the last complete period."""
+    def amount(name: str):
+        return F.format_number(F.col(name).cast("decimal(38,6)"), 2)
+
+    rows = bands.where((F.col("cycle") == cfg.reporting_period) & F.col("in_alert")
+                       & (F.col("cycle_timestamp") == cycles.ntz(cfg.last_complete)))
+    low = F.col("alert") == "↓"
+    sentence = F.concat(
+        F.col("metric_display_name"), F.when(low, F.lit(" fell below ")).otherwise(F.lit(" rose above ")),
+        F.lit("its usual range: "), amount("current_value"), F.lit(" against "), amount("lower_boundary"), F.lit(" to "),
+        amount("upper_boundary"))
+    return rows.select("indicator", "dimensions", "cycle_timestamp", "alert", sentence.alias("sentence"))
+
+
 # Societal generations (name, first birth year, last birth year).
 GENERATIONS = [
     ("Beta", 2025, 2039), ("Alpha", 2010, 2024), ("Gen Z", 1997, 2009), ("Millennials", 1981, 1996),

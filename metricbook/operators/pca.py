@@ -1,26 +1,48 @@
 """Principal components of the KPI matrix (periods x indicators at one coordinate).
 
 The matrix is a ``groupBy(cycle_timestamp).pivot(indicator, <fixed list>)``
-(explicit pivot values: no extra distinct job, fixed columns); the fit is
-pyspark.ml's distributed PCA on standardised columns (a d x d covariance,
-d = number of indicators).
+(explicit pivot values: no extra distinct job, fixed columns).  One aggregation
+gives means, variances and correlations, d (d + 3) / 2 numbers for d indicators;
+the eigenvectors of that d x d matrix are found on the driver, and the scores
+are a projection with literal weights.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def kpi_matrix(report: DataFrame, indicators: list[str], period: str, coordinate: str = "{}") -> DataFrame:
+    """Periods where every indicator has a value at the coordinate, one column per indicator."""
+    return (report.where((F.col("cycle") == period) & (F.col("dimensions") == coordinate))
+            .groupBy("cycle_timestamp").pivot("indicator", indicators)
+            .agg(F.max(F.col("current_value").cast("double"))).dropna())
+
+
 def kpi_pca(report: DataFrame, indicators: list[str], period: str, coordinate: str = "{}", k: int = 2) -> DataFrame:
-    """``cycle_timestamp, pc1..pck`` for periods where every indicator has a value."""
-    m = (report.where((F.col("cycle") == period) & (F.col("dimensions") == coordinate))
-         .groupBy("cycle_timestamp").pivot("indicator", indicators)
-         .agg(F.first(F.col("current_value").cast("double"))).dropna())
-    feats = VectorAssembler(inputCols=indicators, outputCol="__raw").transform(m)
-    scaled = StandardScaler(inputCol="__raw", outputCol="__z", withMean=True, withStd=True).fit(feats).transform(feats)
-    pcs = PCA(k=k, inputCol="__z", outputCol="__pc").fit(scaled).transform(scaled)
-    arr = vector_to_array("__pc")
-    return pcs.select("cycle_timestamp", *[F.round(arr[i], 6).alias(f"pc{i + 1}") for i in range(k)])
+    """``cycle_timestamp, pc1..pck`` of the standardised matrix, and ``total_variance`` of all its components.
+
+    A component's sign is fixed by its largest weight being positive.  Fewer than
+    two periods, or an indicator that never changes, has no components: no rows.
+    """
+    m = kpi_matrix(report, indicators, period, coordinate)
+    pairs = [(i, j) for i in range(len(indicators)) for j in range(i)]
+    row = m.agg(*[F.avg(c) for c in indicators], *[F.stddev_samp(c) for c in indicators],
+                *[F.corr(indicators[i], indicators[j]) for i, j in pairs]).first()
+    d = len(indicators)
+    scores = [f"pc{i + 1}" for i in range(k)]
+    if any(x is None or x == 0 for x in row[d:2 * d]):
+        return m.where(F.lit(False)).select("cycle_timestamp", *[F.lit(0.0).alias(s) for s in scores],
+                                            F.lit(0.0).alias("total_variance"))
+    corr = np.eye(d)
+    for (i, j), r in zip(pairs, row[2 * d:]):
+        corr[i, j] = corr[j, i] = r
+    _, vectors = np.linalg.eigh(corr)
+    z = [(F.col(c) - row[i]) / row[d + i] for i, c in enumerate(indicators)]
+    out = []
+    for name, v in zip(scores, vectors.T[::-1]):
+        v = v * np.sign(v[np.abs(v).argmax()])
+        out.append(F.round(sum((zi * float(w) for zi, w in zip(z, v)), F.lit(0.0)), 6).alias(name))
+    return m.select("cycle_timestamp", *out, F.lit(float(d)).alias("total_variance"))

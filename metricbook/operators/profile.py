@@ -12,45 +12,75 @@ from pyspark.sql import functions as F
 
 from metricbook.functions import dims as D
 
-# Suggestion rules by column name.
+# Descriptions and suggested checks by column name.
+DESCRIPTIONS = {
+    "id": "Unique record identifier",
+    "what": "Metric measurement (see business glossary for details)",
+    "cycle": "Reporting time period",
+    "cycle_timestamp": "Timestamp associated with the reporting time period start time",
+    "dimensions": "Measurement dimensional coordinates",
+}
+VALUE_DESCRIPTION = "Metric measurement value observed at the reporting period."
 CYCLE_VALUES = ["minute", "hour", "day", "week", "month", "year"]
+ACCOUNT_VALUES = ["1100", "2500", "6815", "1405", "4002", "4000", "6800", "4001", "6801"]
 KEY_VALUES = {
     "geo": ["US", "ROW"],
     "platform": ["iOS", "Android", "Web", "Other"],
-    "user_class": ["Premium", "Non-Premium", "PremiumPlus"],
-    "country": ["<alpha_2 from countries>", "XX"],
+    "user_class": ["Premium", "Non-Premium"],
+    "country": ["XX"],
 }
-PROFILE_SCHEMA = "table_name string, column_name string, data_type string, description string, suggested_check string"
+PROFILE_SCHEMA = ("table_name string, table_type string, position int, column_name string, data_type string, "
+                  "description string, suggested_check string")
+
 
+def _suggest(table: str, column: str) -> tuple[str, str | None]:
+    """(description, suggested checks) of a column."""
+    if column == "id":
+        return DESCRIPTIONS["id"], "primary_key; unique_combination_of_columns(id)"
+    if column == "cycle":
+        return DESCRIPTIONS["cycle"], f"not_null; accepted_values({', '.join(CYCLE_VALUES)})"
+    if column == "value" and table.startswith("kpi_"):
+        return VALUE_DESCRIPTION, "not_null"
+    if column == "gl_account_number":
+        return "", f"not_null; accepted_values({', '.join(ACCOUNT_VALUES)})"
+    if column in ("what", "cycle_timestamp", "dimensions"):
+        return DESCRIPTIONS[column], "not_null"
+    return "", None
 
-def _suggest(table: str, column: str) -> str | None:
-    c = column.lower()
-    if c == "id":
-        return "not_null; unique; unique_combination_of_columns(id)"
-    if c in ("what", "cycle_timestamp", "dimensions"):
-        return "not_null"
-    if c == "cycle":
-        return "not_null; accepted_values(" + ", ".join(CYCLE_VALUES) + ")"
-    if c == "value" and table.lower().startswith("kpi"):
-        return "not_null"
-    return None
 
+def profile_tables(spark: SparkSession, tables: dict[str, DataFrame], table_type: str = "base table",
+                   name_prefix: str = "", countries: DataFrame | None = None) -> DataFrame:
+    """One row per column, in order, and one per dimension key found (position NULL).
 
-def profile_tables(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
-    rows = [(t, f.name.lower(), f.dataType.simpleString(), "", _suggest(t, f.name))
-            for t, df in tables.items() for f in df.schema.fields]
+    ``name_prefix`` keeps tables whose name begins with it, in any case.  The
+    country key accepts the ``alpha_2`` codes of ``countries`` besides XX.  A
+    table whose ``dimensions`` are no objects gets an error row in place of keys.
+    """
+    tables = {t.lower(): df for t, df in tables.items() if t.lower().startswith(name_prefix.lower())}
+    rows = [(t, table_type, i, f.name.lower(), f.dataType.simpleString(), *_suggest(t, f.name.lower()))
+            for t, df in sorted(tables.items()) for i, f in enumerate(df.schema.fields, 1)]
     out = spark.createDataFrame(rows, PROFILE_SCHEMA)
     for t, df in tables.items():
-        cols = {c.lower(): c for c in df.columns}
-        if "dimensions" not in cols:
+        fields = {f.name.lower(): f for f in df.schema.fields}
+        if "dimensions" not in fields:
+            continue
+        if fields["dimensions"].dataType.simpleString().split("<")[0] not in ("string", "map", "struct", "variant"):
+            out = out.unionByName(spark.createDataFrame([(
+                t, table_type, None, "dimensions", None, "Error retrieving dimension keys: not an object", None)], PROFILE_SCHEMA))
             continue
-        keys = (df.select(F.explode_outer(D.keys(F.col(cols["dimensions"]))).alias("k"))
-                .where(F.col("k").isNotNull()).distinct())
-        known = F.create_map(*[x for k, v in KEY_VALUES.items() for x in (F.lit(k), F.lit(", ".join(v)))])
+        keys = (df.select(F.explode(D.keys(D.canonical_any(fields["dimensions"].name, fields["dimensions"]))).alias("k"))
+                .distinct())
+        accepted = F.create_map(*[x for k, v in KEY_VALUES.items() for x in (F.lit(k), F.lit(", ".join(v)))])[F.col("k")]
+        if countries is not None:
+            # a code list of a few hundred entries, as one sorted text
+            codes = countries.agg(F.array_join(F.array_sort(F.collect_set("alpha_2")), ", ").alias("codes"))
+            keys = keys.join(codes.select(F.lit("country").alias("k"), "codes"), "k", "left")
+            accepted = F.concat_ws(", ", accepted, F.col("codes"))
+        known = F.col("k").isin(*KEY_VALUES)
         out = out.unionByName(keys.select(
-            F.lit(t).alias("table_name"), F.concat(F.lit("dimensions:"), F.col("k")).alias("column_name"),
-            F.lit("string").alias("data_type"), F.concat(F.lit("dimension key "), F.col("k")).alias("description"),
-            F.when(known[F.col("k")].isNotNull(),
-                   F.concat(F.lit("json_key_accepted_values("), F.col("k"), F.lit(": "), known[F.col("k")], F.lit(")")))
+            F.lit(t).alias("table_name"), F.lit(table_type).alias("table_type"), F.lit(None).cast("int").alias("position"),
+            F.concat(F.lit("dimensions:"), "k").alias("column_name"), F.lit("string").alias("data_type"),
+            F.concat(F.lit("dimension key "), "k").alias("description"),
+            F.when(known, F.concat(F.lit("json_key_accepted_values("), "k", F.lit(": "), accepted, F.lit(")")))
             .alias("suggested_check")))
     return out

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import partial
 
 from metricbook.functions import cycles
@@ -211,11 +212,34 @@ register("upsert_delete_insert", _upsert, f"""
 # ---------------------------------------------------------------- stage 7: profile and downstream jobs
 def _profile(spark, base):
     from metricbook.operators.profile import profile_tables
-    return profile_tables(spark, {"kpi__repository": TD.repository(spark, base, "week"),
-                                  "kpi__events": TD.events_module(spark, base, "day")})
-
-
-register("table_profile", _profile)
+    return profile_tables(spark, {"kpi__repository": TD.modules(spark, base)["orders_module"],
+                                  "KPI_Events": TD.events_module(spark, base, "day"),
+                                  "kpi__geo": TD.orders_geo_module(spark, base, "month"),
+                                  "other": TD.events_module(spark, base, "day")}, name_prefix="KPI_")
+
+
+def _profile_sql():
+    id_ = "primary_key; unique_combination_of_columns(id)"
+    columns = [("indicator", "string", "", None), ("dimensions", "string", "Measurement dimensional coordinates", "not_null"),
+               ("cycle", "string", "Reporting time period", "not_null; accepted_values(minute, hour, day, week, month, year)"),
+               ("cycle_timestamp", "timestamp_ntz", "Timestamp associated with the reporting time period start time", "not_null"),
+               ("value", "decimal(18,4)", "Metric measurement value observed at the reporting period.", "not_null"),
+               ("id", "string", "Unique record identifier", id_)]
+    tables = {"kpi__repository": O.orders_module("week"), "kpi_events": O.events_module("day"),
+              "kpi__geo": O.orders_geo_module("month")}
+    rows = ", ".join(f"({i}, {O.q(c)}, {O.q(t)}, {O.q(d)}, {'NULL' if k is None else O.q(k)})"
+                     for i, (c, t, d, k) in enumerate(columns, 1))
+    parts = [f"""SELECT '{name}' AS table_name, 'base table' AS table_type, position, column_name, data_type, description,
+                        suggested_check
+                 FROM (VALUES {rows}) v(position, column_name, data_type, description, suggested_check)
+                 UNION ALL
+                 SELECT DISTINCT '{name}', 'base table', CAST(NULL AS INTEGER), 'dimensions:' || k, 'string',
+                        'dimension key ' || k, CASE k WHEN 'geo' THEN 'json_key_accepted_values(geo: US, ROW)' END
+                 FROM (SELECT unnest(json_keys(dimensions)) AS k FROM ({sql}) m) u""" for name, sql in tables.items()]
+    return " UNION ALL ".join(parts)
+
+
+register("table_profile", _profile, _profile_sql())
 
 
 def _yoy(spark, base):
@@ -273,6 +297,26 @@ def _movers(spark, base):
     return top_movers(_report("week", spark, base, only=_needed("week", prior=True)), TD.cfg("week", backfill=False))
 
 
+def _alerts(spark, base):
+    from metricbook.operators.insights import alert_sentences
+    return alert_sentences(_timeseries("week", spark, base, backfill=False), TD.cfg("week", backfill=False))
+
+
+def _alerts_sql():
+    def amount(c):
+        return f"format('{{:,.2f}}', CAST(round(CAST(CAST({c} AS VARCHAR) AS DECIMAL(38,6)), 2) AS DOUBLE))"
+    bands = O.timeseries(_report_sql("week"), "week", TD.SPINE_START, TD.AS_OF, anchor=TD.ANCHOR)
+    return f"""
+    SELECT indicator, dimensions, cycle_timestamp, alert,
+           metric_display_name || CASE alert WHEN '↓' THEN ' fell below ' ELSE ' rose above ' END || 'its usual range: '
+             || {amount('current_value')} || ' against ' || {amount('lower_boundary')} || ' to '
+             || {amount('upper_boundary')} AS sentence
+    FROM ({bands}) b WHERE in_alert"""
+
+
+register("alert_sentences", _alerts, _alerts_sql())
+
+
 def _movers_sql():
     lc = O.ts_lit(O.last_complete("week", TD.ANCHOR))
     d = "(CAST(current_value AS DOUBLE) / CAST(prior_value AS DOUBLE) - 1.0)"
@@ -291,12 +335,12 @@ def _movers_sql():
 register("top_movers", _movers, _movers_sql())
 
 
-def _split(spark, base):
+def _split(target, spark, base):
     from metricbook.operators.plan_split import split_monthly_plan
-    return split_monthly_plan(TD.aop_from(TD.repository(spark, base, "month")), "week")
+    return split_monthly_plan(TD.aop_from(TD.repository(spark, base, "month")), target)
 
 
-def _split_sql():
+def _split_sql(target):
     aop = (f"SELECT cycle_timestamp, CAST(value * 1.05 AS DECIMAL(18,8)) AS plan, indicator, dimensions, cycle "
            f"FROM ({O.repository(_mods_sql('month'))}) r WHERE indicator = 'REVENUE'")
     return f"""
@@ -306,14 +350,15 @@ def _split_sql():
          d AS (SELECT a.*, CAST(g.d AS DATE) AS day FROM a, generate_series(a.m, CAST(last_day(a.m) AS DATE),
                                                                               INTERVAL 1 DAY) g(d)),
          s AS (SELECT *, (p8 * 2 + n) // (2 * n) AS s8 FROM d),
-         dp AS (SELECT indicator, dimensions, {O.period_start('day', 'week')} AS cycle_timestamp,
+         dp AS (SELECT indicator, dimensions, {O.period_start('day', target)} AS cycle_timestamp,
                        CAST(CASE WHEN day = last_day(m) THEN p8 - s8 * (n - 1) ELSE s8 END AS DECIMAL(38,0))
                          / 100000000 AS plan FROM s)
-    SELECT cycle_timestamp, CAST(SUM(plan) AS DECIMAL(18,8)) AS plan, indicator, dimensions, 'week' AS cycle
+    SELECT cycle_timestamp, CAST(SUM(plan) AS DECIMAL(18,8)) AS plan, indicator, dimensions, '{target}' AS cycle
     FROM dp GROUP BY indicator, dimensions, cycle_timestamp"""
 
 
-register("aop_split_week", _split, _split_sql())
+for _t in ("day", "week", "bi-week"):
+    register(f"aop_split_{_t.replace('-', '')}", partial(_split, _t), _split_sql(_t))
 
 
 # Fixed holiday rules for the test query (month, day, name).
@@ -348,35 +393,279 @@ def _decompose(spark, base):
 
 
 def _decompose_sql():
-    def half_up(s, n, scale):
-        return (f"CAST(sign({s}) * ((abs({s}) * 2 * 1000000 // {10 ** scale} + {n}) // (2 * {n})) AS DOUBLE) / 1000000")
     return f"""
     WITH {O.numbered(_report_sql('month'), 'month', TD.SPINE_START, TD.AS_OF)},
-    t AS (SELECT *,
-            COUNT(current_value) OVER (PARTITION BY indicator, cycle, dimensions ORDER BY period_idx
-                                       RANGE BETWEEN 6 PRECEDING AND 6 FOLLOWING) AS cnt,
-            SUM(CAST(current_value * 10000 AS HUGEINT)) OVER (PARTITION BY indicator, cycle, dimensions
-                ORDER BY period_idx RANGE BETWEEN 6 PRECEDING AND 6 FOLLOWING) AS s1,
-            MAX(current_value) OVER (PARTITION BY indicator, cycle, dimensions ORDER BY period_idx
-                                     RANGE BETWEEN 12 PRECEDING AND 12 PRECEDING) AS seasonal_naive
-          FROM r),
-    t2 AS (SELECT *, CASE WHEN cnt = 13 THEN sign(s1) * ((abs(s1) * 200 + cnt) // (2 * cnt)) END AS trend6 FROM t),
+    t AS (SELECT r.*, month(r.cycle_timestamp) AS slot, b.s1, b.ends, b.points, naive.current_value AS seasonal_naive
+          FROM r
+          JOIN (SELECT c.indicator, c.dimensions, c.n, count(p.current_value) AS points,
+                       sum(CAST(p.current_value * 10000 AS HUGEINT)) AS s1,
+                       sum(CASE WHEN abs(p.n - c.n) = 6 THEN CAST(p.current_value * 10000 AS HUGEINT) END) AS ends
+                FROM r c JOIN r p ON p.indicator = c.indicator AND p.dimensions = c.dimensions
+                                 AND p.n BETWEEN c.n - 6 AND c.n + 6
+                GROUP BY c.indicator, c.dimensions, c.n) b USING (indicator, dimensions, n)
+          LEFT JOIN r naive ON naive.indicator = r.indicator AND naive.dimensions = r.dimensions AND naive.n = r.n - 12),
+    t2 AS (SELECT *, CASE WHEN points = 13 THEN sign(2 * s1 - ends) * ((abs(2 * s1 - ends) * 200 + 24) // 48) END AS trend6
+           FROM t),
     t3 AS (SELECT *, CAST(current_value * 1000000 AS HUGEINT) - trend6 AS det6 FROM t2),
-    t4 AS (SELECT *, SUM(det6) OVER (PARTITION BY indicator, cycle, dimensions, slot) AS ds,
-                     COUNT(det6) OVER (PARTITION BY indicator, cycle, dimensions, slot) AS dn FROM t3)
-    SELECT indicator, dimensions, cycle, cycle_timestamp, current_value,
-           CAST(trend6 AS DOUBLE) / 1000000 AS trend,
-           CASE WHEN dn > 0 THEN CAST(sign(ds) * ((abs(ds) * 2 + dn) // (2 * dn)) AS DOUBLE) / 1000000 END AS seasonal,
-           seasonal_naive
-    FROM t4"""
+    slots AS (SELECT indicator, dimensions, slot, sum(det6) AS ds, count(det6) AS dn FROM t3 GROUP BY ALL),
+    means AS (SELECT *, CASE WHEN dn > 0 THEN sign(ds) * ((abs(ds) * 2 + dn) // (2 * dn)) END AS m6 FROM slots),
+    centres AS (SELECT indicator, dimensions, sum(m6) AS cs, count(m6) AS cn FROM means GROUP BY ALL),
+    seasons AS (SELECT indicator, dimensions, slot,
+                       m6 - sign(cs) * ((abs(cs) * 2 + cn) // (2 * cn)) AS season6
+                FROM means JOIN centres USING (indicator, dimensions) WHERE cn > 0)
+    SELECT indicator, dimensions, cycle, cycle_timestamp, current_value, CAST(trend6 AS DOUBLE) / 1000000 AS trend,
+           CAST(season6 AS DOUBLE) / 1000000 AS seasonal, seasonal_naive
+    FROM t3 LEFT JOIN seasons USING (indicator, dimensions, slot)"""
 
 
 register("decompose_month", _decompose, _decompose_sql())
 
 
+PCA_INDICATORS = ["ORDERS", "REVENUE", "UNITS", "NET_REVENUE"]
+
+
 def _pca(spark, base):
     from metricbook.operators.pca import kpi_pca
-    return kpi_pca(_report("week", spark, base), ["ORDERS", "REVENUE", "UNITS", "NET_REVENUE"], "week")
+    return kpi_pca(_report("week", spark, base), PCA_INDICATORS, "week")
+
+
+register("kpi_pca_week", _pca)  # eigenvectors are not SQL: rows-only check, see kpi_pca_spectrum
+
+
+def _pca_spectrum(spark, base):
+    """Sign-free figures of all components: sums of the first three powers of their variances."""
+    from metricbook.operators.pca import kpi_pca
+    d = len(PCA_INDICATORS)
+    v = (kpi_pca(_report("week", spark, base), PCA_INDICATORS, "week", k=d)
+         .agg(F.count("*").alias("periods"), *[F.var_samp(f"pc{i + 1}").alias(f"v{i}") for i in range(d)]))
+    return v.select("periods", *[F.round(sum((F.col(f"v{i}") ** e for i in range(d)), F.lit(0.0)), 3).alias(f"power_{e}")
+                                 for e in (1, 2, 3)])
+
+
+def _pca_spectrum_sql():
+    d = len(PCA_INDICATORS)
+    corr = {(i, j): f"corr(x{i}, x{j})" if i != j else "1.0" for i in range(d) for j in range(d)}
+    cols = ", ".join(f"max(CASE WHEN indicator = '{c}' THEN CAST(current_value AS DOUBLE) END) AS x{i}"
+                     for i, c in enumerate(PCA_INDICATORS))
+    square = " + ".join(f"{corr[i, j]} * {corr[j, i]}" for i in range(d) for j in range(d))
+    cube = " + ".join(f"{corr[i, j]} * {corr[j, k]} * {corr[k, i]}" for i in range(d) for j in range(d) for k in range(d))
+    return f"""
+    WITH m AS (SELECT cycle_timestamp, {cols} FROM ({_report_sql('week')}) r WHERE cycle = 'week' AND dimensions = '{{}}'
+               GROUP BY cycle_timestamp)
+    SELECT count(*) AS periods, CAST({d} AS DOUBLE) AS power_1, round({square}, 3) AS power_2, round({cube}, 3) AS power_3
+    FROM m WHERE {' AND '.join(f'x{i} IS NOT NULL' for i in range(d))}"""
+
+
+register("kpi_pca_spectrum", _pca_spectrum, _pca_spectrum_sql())
+
+
+# ---------------------------------------------------------------- stage 8: repeated coordinates, options, suites
+def _restated(spark, base):
+    """Two modules that repeat the all-up coordinates with other values and ids."""
+    from metricbook.operators.repository import build_repository
+    m = TD.orders_module(spark, base, "week")
+    again = (m.where("dimensions = '{}'").withColumn("value", (F.col("value") + 7).cast("decimal(18,4)"))
+             .withColumn("id", F.md5("id")))
+    return build_repository(spark, {"orders_module": m, "orders_restated": again})
+
+
+def _restated_sql():
+    return O.repository({"orders_module": O.orders_module("week"), "orders_restated":
+                         f"SELECT indicator, dimensions, cycle, cycle_timestamp, CAST(value + 7 AS DECIMAL(18,4)) AS value, "
+                         f"md5(id) AS id FROM ({O.orders_module('week')}) o WHERE dimensions = '{{}}'"})
+
+
+def _restated_report(spark, base):
+    from metricbook.operators.report import performance_report
+    return performance_report(_restated(spark, base), TD.glossary(spark), None, TD.cfg("week"))
+
+
+def _restated_bands(spark, base):
+    from metricbook.operators.timeseries import timeseries_analysis
+    return timeseries_analysis(_restated_report(spark, base), TD.cfg("week"))
+
+
+register("report_duplicate_coordinates", _restated_report, O.report(_restated_sql(), "week"))
+register("timeseries_duplicate_coordinates", _restated_bands,
+         O.timeseries(O.report(_restated_sql(), "week"), "week", TD.SPINE_START, TD.AS_OF))
+
+
+def _events_two_dims(spark, base):
+    from metricbook.operators.pyramid import Measure, kpi_module
+    from metricbook.sources.tables import read_table
+    ev = read_table(spark, base, "events", ["ts", "user_id", "event_type", "value", "props"])
+    return kpi_module(ev, "ts", "week", {"event_type": "event_type", "k": F.get_json_object("props", "$.k")},
+                      [Measure("EVENTS", "count"), Measure("MAX_VALUE", "max", "value"),
+                       Measure("ACTIVE_USERS", "count_distinct", "user_id")])
+
+
+register("module_events_two_dims", _events_two_dims, O.module(
+    "events", "ts", "week", {"event_type": "event_type", "k": "props->>'k'"},
+    [("EVENTS", "count", None), ("MAX_VALUE", "max", "value"), ("ACTIVE_USERS", "count_distinct", "user_id")]))
+
+
+# After a 53-week year the plain bi-weekly run is empty; the strict one is not.
+STRICT_ANCHOR = dt.date(1999, 1, 10)
+
+
+def _strict(spark, base):
+    from metricbook.config import RunConfig
+    return TD.orders_module(spark, base, "bi-week", RunConfig("bi-week", STRICT_ANCHOR, strict_biweek=True))
+
+
+register("module_last_complete_biweek_strict", _strict,
+         f"SELECT * FROM ({O.orders_module('bi-week')}) m WHERE cycle_timestamp = TIMESTAMP '1998-12-28 00:00:00'")
+
+
+def _contract(spark, base):
+    from metricbook.operators.repository import validate_module
+    m = TD.orders_module(spark, base, "month")
+    loose = m.select(F.col("id").alias("ID"), F.col("value").cast("double").alias("Value"), "cycle_timestamp",
+                     F.from_json("dimensions", "map<string,string>").alias("DIMENSIONS"), F.lit(1).alias("extra"),
+                     "cycle", "indicator")
+    return validate_module("orders_module", loose)
+
+
+register("module_contract", _contract,
+         f"SELECT 'orders_module' AS _source_relation, * FROM ({O.orders_module('month')}) m")
+
+register("check_freshness_coordinates", _check(lambda C, s, b: C.freshness(
+            TD.orders_module(s, b, "week"), "week", TD.ANCHOR, by="coordinates")),
+         f"""SELECT DISTINCT indicator, dimensions FROM ({O.orders_module('week')}) m
+             EXCEPT SELECT indicator, dimensions FROM ({O.orders_module('week')}) m
+             WHERE cycle_timestamp = {O.ts_lit(O.last_complete('week', TD.ANCHOR))}""")
+
+
+def _suite_modules(spark, base):
+    from metricbook.operators.repository import build_repository
+    return build_repository(spark, {"orders_module": TD.orders_module(spark, base, "week"),
+                                    "geo_module": TD.orders_geo_module(spark, base, "week")})
+
+
+def _suite(spark, base):
+    from metricbook.operators.checks import repository_checks, run_checks
+    from metricbook.sources.tables import read_table
+    countries = read_table(spark, base, "nation", ["n_name"]).withColumnRenamed("n_name", "alpha_2")
+    return run_checks(spark, repository_checks(_suite_modules(spark, base), TD.glossary(spark).where("indicator <> 'ORDERS'"),
+                                               countries, TD.ANCHOR))
+
+
+def _suite_sql():
+    repo = O.repository({"orders_module": O.orders_module("week"), "geo_module": O.orders_geo_module("week")})
+
+    def stale(period):
+        at = O.ts_lit(O.last_complete(period, TD.ANCHOR))
+        return (f"SELECT count(*) FROM (SELECT DISTINCT indicator, list_sort(json_keys(dimensions)) AS ks FROM r EXCEPT "
+                f"SELECT indicator, list_sort(json_keys(dimensions)) FROM r WHERE cycle = '{period}' AND cycle_timestamp = {at})")
+
+    def outside(key, values):
+        return f"SELECT count(*) FROM r WHERE dimensions->>'{key}' NOT IN ({', '.join(map(O.q, values))})"
+
+    def repeated(columns):
+        return f"SELECT count(*) FROM (SELECT 1 FROM r GROUP BY {columns} HAVING count(*) > 1)"
+
+    counts = [
+        ("indicator_in_glossary", "error", f"SELECT count(*) FROM r WHERE indicator NOT IN (SELECT indicator FROM {O.glossary_values()} g "
+                                           f"WHERE indicator <> 'ORDERS')"),
+        ("dimension_geo_accepted", "error", outside("geo", ["US", "ROW"])),
+        ("dimension_platform_accepted", "error", outside("platform", ["iOS", "Android", "Web", "Other"])),
+        ("dimension_user_class_accepted", "error", outside("user_class", ["Premium", "Non-Premium", "PremiumPlus"])),
+        ("dimension_country_accepted", "error", "SELECT count(*) FROM r WHERE dimensions->>'country' <> 'XX' AND "
+                                                "dimensions->>'country' NOT IN (SELECT n_name FROM nation)"),
+        ("cycle_timestamp_not_null", "error", "SELECT count(*) FROM r WHERE cycle_timestamp IS NULL"),
+        ("cycle_accepted", "error", "SELECT count(*) FROM r WHERE cycle NOT IN ('day', 'week', 'bi-week', 'month', 'quarter', 'year')"),
+        ("id_not_null", "error", "SELECT count(*) FROM r WHERE id IS NULL"),
+        ("id_unique", "error", repeated("id")), ("id_combination_unique", "error", repeated("id")),
+        ("coordinates_unique", "error", repeated("indicator, dimensions, cycle, cycle_timestamp")),
+        ("fresh_week", "warn", stale("week")), ("fresh_month", "error", stale("month"))]
+    rows = " UNION ALL ".join(f'SELECT \'{n}\' AS "check", \'{s}\' AS severity, ({q}) AS failures' for n, s, q in counts)
+    return (f"WITH r AS ({repo}), c AS ({rows}) SELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' "
+            f"THEN 'warn' ELSE 'fail' END AS status FROM c")
+
+
+register("check_suite", _suite, _suite_sql())
+
+
+def _merge(spark, base):
+    """Keyed merge of a restated last week into the weekly module; its keys are unique, else it would raise."""
+    from metricbook.sources.sink import merge_frames
+    target = TD.orders_module(spark, base, "week")
+    batch = TD.orders_module(spark, base, "week", TD.cfg("week", backfill=False)) \
+        .withColumn("value", (F.col("value") * 2).cast("decimal(18,4)"))
+    return merge_frames(target, batch, ["id"], "merge")
+
+
+register("upsert_merge", _merge, f"""
+    SELECT indicator, dimensions, cycle, cycle_timestamp,
+           CAST(value * CASE WHEN cycle_timestamp = {O.ts_lit(O.last_complete('week', TD.ANCHOR))} THEN 2 ELSE 1 END
+                AS DECIMAL(18,4)) AS value, id
+    FROM ({O.orders_module('week')}) m""")
+
+
+def _owned(spark, base):
+    """Owners of what the last complete week reports: the data decide which indicators and values come out."""
+    from metricbook.operators.owners import kpi_owners, owner_rules
+    last = _report("week", spark, base, backfill=False).groupBy("indicator").agg(
+        F.count("*").alias("coordinates"), F.max("current_value").alias("largest_value"))
+    return kpi_owners(TD.glossary(spark), owner_rules(spark)).join(last, "indicator")
+
+
+register("owners_of_report", _owned, f"""
+    SELECT r.effective_date, g.indicator, r.owner, r.lead_analyst, r.bi_pal, x.coordinates, x.largest_value
+    FROM {O.glossary_values()} g JOIN {_RULES_SQL} r ON g.category = r.category
+    JOIN (SELECT indicator, count(*) AS coordinates, max(current_value) AS largest_value
+          FROM ({O.report(O.repository(_mods_sql('week')), 'week', anchor=TD.ANCHOR)}) p GROUP BY indicator) x
+      ON x.indicator = g.indicator
+    WHERE g.is_kpi""")
+
+
+def _cohort(spark, base):
+    """Generations of customers; the tables carry no birth year, so one is derived from the key."""
+    from metricbook.operators.insights import generation_cohort, generation_years
+    from metricbook.sources.tables import read_table
+    c = read_table(spark, base, "customer", ["c_custkey"]).withColumn(
+        "birth_year", (F.lit(1918) + F.col("c_custkey") % 125).cast("int"))
+    return generation_cohort(c.withColumnRenamed("birth_year", "born"), "born", generation_years(spark))
+
+
+def _cohort_sql():
+    from metricbook.operators.insights import GENERATIONS
+    rows = ", ".join(f"({O.q(g)}, {a}, {b})" for g, a, b in GENERATIONS)
+    return f"""SELECT c_custkey, CAST(1918 + c_custkey % 125 AS INTEGER) AS born, g.generation
+               FROM customer LEFT JOIN (VALUES {rows}) g(generation, a, b) ON 1918 + c_custkey % 125 BETWEEN a AND b"""
+
+
+register("generation_cohort", _cohort, _cohort_sql())
+
+
+COUNTRY_HOLIDAYS = {"UNITED STATES": US_FIXED_HOLIDAYS, "FRANCE": [(1, 1, "Jour de l'an"), (7, 14, "Fête nationale")]}
+
+
+def _holiday_country(spark, base):
+    from metricbook.operators.insights import fixed_date_holidays, holiday_flag
+    from metricbook.operators.pyramid import Measure, kpi_module
+    from metricbook.sources.tables import read_table
+    nation = read_table(spark, base, "nation", ["n_nationkey", "n_name"])
+    cust = read_table(spark, base, "customer", ["c_custkey", "c_nationkey"]).join(
+        nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    orders = read_table(spark, base, "orders", ["o_custkey", "o_orderdate"])
+    module = kpi_module(orders.join(cust, F.col("o_custkey") == F.col("c_custkey"), "left"), "o_orderdate", "day",
+                        {"country": "n_name"}, [Measure("ORDERS", "count")])
+    days = None
+    for country, rules in COUNTRY_HOLIDAYS.items():
+        h = fixed_date_holidays(spark, country, rules, TD.SPINE_START.year, TD.AS_OF.year)
+        days = h if days is None else days.unionByName(h)
+    return holiday_flag(module, days)
+
+
+def _holiday_country_sql():
+    rules = ", ".join(f"({O.q(c)}, {m}, {d}, {O.q(n)})" for c, r in COUNTRY_HOLIDAYS.items() for m, d, n in r)
+    module = O.module("orders o LEFT JOIN (SELECT c_custkey, n_name FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey) cn "
+                      "ON o.o_custkey = cn.c_custkey", "o.o_orderdate", "day", {"country": "cn.n_name"}, [("ORDERS", "count", None)])
+    return f"""
+    SELECT m.*, h.holiday IS NOT NULL AS is_holiday, h.holiday
+    FROM ({module}) m LEFT JOIN (VALUES {rules}) h(country, mon, mday, holiday)
+      ON m.dimensions->>'country' = h.country AND month(m.cycle_timestamp) = mon AND day(m.cycle_timestamp) = mday"""
 
 
-register("kpi_pca_week", _pca)  # iterative numeric fit: rows-only check
+register("holiday_flag_country", _holiday_country, _holiday_country_sql())

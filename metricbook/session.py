@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def local_session(cpus: int | str = "*", app: str = "metricbook", shuffle_partitions: int = 8,
                   **conf) -> SparkSession:
-    """Session for tests and the local benchmark (UTC, AQE on, UI off)."""
+    """Session for tests and the local benchmark (UTC, AQE on, UI off).
+
+    ``checkpoint_dir`` is a scratch folder here; on a cluster the setting names a shared one."""
     b = (SparkSession.builder.master(f"local[{cpus}]").appName(app)
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
@@ -19,26 +20,18 @@ def local_session(cpus: int | str = "*", app: str = "metricbook", shuffle_partit
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
+         .config("spark.checkpoint.dir", conf.pop("checkpoint_dir", None) or tempfile.mkdtemp(prefix="metricbook-"))
          .config("spark.driver.memory", "8g"))
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared ``spark.checkpoint.dir``; a scratch folder only if unset (tests)."""
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="metricbook-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(d)
-    return d
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names, which all executors share."""
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return folder.rstrip("/")

@@ -46,12 +46,14 @@ REPOSITORY = T.StructType([T.StructField("_source_relation", _S)] + KPI_MODULE.f
 def read_reference(spark: SparkSession, name: str, path: str) -> DataFrame:
     """Load one seed CSV with its declared types.
 
-    ``nullValue`` is set to an impossible token so codes such as ``NA``
-    (Namibia) stay text; only empty fields become NULL.  Multi-line quoted
-    fields and emoji are handled by the CSV reader.
+    Codes such as ``NA`` (Namibia) stay text; only empty fields become NULL.
+    A doubled quote inside a quoted field is a quote, so JSON dimensions load as
+    they are.  The header must name the declared columns in their order; a file
+    with others fails instead of loading swapped columns.
     """
     df = (spark.read.schema(SCHEMAS[name]).option("header", True).option("mode", "FAILFAST")
           .option("nullValue", "").option("emptyValue", "").option("multiLine", True)
+          .option("quote", '"').option("escape", '"').option("enforceSchema", False)
           .option("encoding", "UTF-8").csv(path))
     if "dimensions" in df.columns:
         df = df.withColumn("dimensions", dims.canonical("dimensions"))

@@ -1,17 +1,30 @@
-"""Idempotent sinks on plain Parquet: delete+insert and keyed merge.
-
-Without a table format that supports MERGE, an upsert is written as:
-``target rows whose key is not in the batch`` UNION ``batch`` - a left-anti
-join on the key (shuffle on the key; AQE handles skew) - materialised into a
-new version folder.  The merged result is checkpointed into the shared
-``spark.checkpoint.dir`` first, so the write never reads the path it
-replaces and survives lost executors.
+"""Idempotent sinks on partitioned Parquet: delete+insert and keyed merge.
+
+An upsert rewrites only the partitions it touches: those of the batch, and those
+that hold a row whose key (or coordinates) the batch replaces.  Their surviving
+rows (a left-anti equi-join) and the batch are written to the shared staging
+folder first, so the write never reads what it replaces, and then swapped in by
+dynamic partition overwrite; partitions left without a row are removed last.
+Repeating an upsert gives the same table, also after a run that broke off; all
+other partition files stay as they are.
 """
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from metricbook.session import shared_folder
+
+MODES = ("delete_insert", "merge")
+
+
+class DuplicateKeyError(ValueError):
+    pass
 
 
 def merge_frames(target: DataFrame | None, batch: DataFrame, keys: list[str], mode: str = "delete_insert",
@@ -19,15 +32,17 @@ def merge_frames(target: DataFrame | None, batch: DataFrame, keys: list[str], mo
     """New table content after an upsert.
 
     ``delete_insert``: drop target rows whose ``keys`` occur in the batch, then
-    insert the batch.  ``merge``: the same, but the batch is first reduced to
-    one row per key (a duplicate key in the batch is an error in a MERGE).
+    insert the batch.  ``merge``: the same, but a key that occurs twice in the
+    batch raises :class:`DuplicateKeyError` (one job over the batch's keys).
     ``coordinates`` additionally removes target rows sharing the batch's
     coordinates (an override that arrives under a new id).
     """
-    if mode not in ("delete_insert", "merge"):
-        raise ValueError("mode must be 'delete_insert' or 'merge'")
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}")
     if mode == "merge":
-        batch = batch.dropDuplicates(keys)
+        twice = batch.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").limit(5).collect()
+        if twice:
+            raise DuplicateKeyError(f"keys that occur more than once: {[tuple(r)[:-1] for r in twice]}")
     if target is None:
         return batch
     kept = target.join(batch.select(*keys).distinct(), on=keys, how="left_anti")
@@ -36,21 +51,49 @@ def merge_frames(target: DataFrame | None, batch: DataFrame, keys: list[str], mo
     return kept.unionByName(batch.select(*target.columns))
 
 
-def upsert(spark: SparkSession, batch: DataFrame, path: str, version: int, keys: list[str],
-           mode: str = "delete_insert", partition_by: list[str] | None = None,
-           coordinates: list[str] | None = None) -> str:
-    """Write version ``version`` of the table under ``path`` from version ``version - 1``.
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
+    """The table at ``path``, or None before its first upsert."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    try:
+        return reader.parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return None
+        raise
+
+
+def upsert(batch: DataFrame, path: str, keys: list[str], partition_by: list[str], mode: str = "delete_insert",
+           coordinates: list[str] | None = None) -> None:
+    """Upsert ``batch`` into the table at ``path``, rewriting only the partitions it touches.
 
-    Returns the folder written.  Readers pick the latest complete version.
+    The list of touched partitions reaches the driver: for KPI tables (cycle,
+    period) at most one entry per period of the batch and of the rows it replaces.
     """
-    prev = f"{path.rstrip('/')}/v={version - 1}"
-    target = None
-    if version > 0:
-        target = spark.read.parquet(prev)
-    merged = merge_frames(target, batch, keys, mode, coordinates)
-    out = f"{path.rstrip('/')}/v={version}"
-    w = merged.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(out)
-    return out
+    spark = batch.sparkSession
+    staged = f"{shared_folder(spark)}/upsert-{uuid.uuid4().hex}"
+    target = read_table(spark, path, batch.schema)
+    if target is not None:
+        touched = batch.select(*partition_by).distinct()
+        for columns in [keys] + ([coordinates] if coordinates else []):
+            replaced = target.select(*dict.fromkeys([*partition_by, *columns]))
+            touched = touched.unionByName(replaced.join(batch.select(*columns).distinct(), columns, "left_semi")
+                                          .select(*partition_by)).distinct()
+        where = F.lit(False)
+        for row in touched.collect():
+            same = F.lit(True)
+            for c in partition_by:
+                same &= F.col(c).eqNullSafe(F.lit(None if row[c] is None else str(row[c])).cast(batch.schema[c].dataType))
+            where |= same
+        target = target.where(where)
+    merge_frames(target, batch, keys, mode, coordinates).select(*batch.columns).write.parquet(staged)
+    new = spark.read.schema(batch.schema).parquet(staged)
+    emptied = []
+    if target is not None:
+        old = target.select(*partition_by, F.col("_metadata.file_path").alias("__file")).distinct()
+        match = [old[c].eqNullSafe(new[c]) for c in partition_by]
+        emptied = [r[0] for r in old.join(new, match, "left_anti").select("__file").collect()]
+    (new.repartition(*partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
+    for file in emptied:
+        place = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(file))  # file_path is URL-encoded
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, False)

@@ -3,38 +3,39 @@
 The original product has no streaming operator: it loads only complete
 periods and re-runs them on a schedule.  The streaming form of that contract:
 new fact files arrive in a folder; each micro-batch recomputes the module for
-the periods it touched and delete+inserts those rows into the module table
-(``foreachBatch`` + :func:`merge_frames`), so late data simply re-states its
-period.  The checkpoint lives under the shared ``spark.checkpoint.dir``.
+the periods it touched and upserts those rows into the module table
+(``foreachBatch`` + :func:`upsert`), so late data simply re-states its period.
+
+All state is in the table and in the stream's checkpoint folder, which the
+caller names: a restarted stream goes on where it stopped, and a batch that is
+delivered again writes the same rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from metricbook.functions import cycles
 from metricbook.operators.pyramid import Measure, kpi_module
-from metricbook.session import ensure_checkpoint_dir
+from metricbook.sources.sink import upsert
+
+PARTITIONS = ["cycle", "cycle_timestamp"]
 
 
 def stream_module(spark: SparkSession, source_dir: str, schema, ts: str, period: str, dims, measures: list[Measure],
-                  table_dir: str, query_name: str = "kpi_module_stream", trigger_once: bool = True):
-    """Start the stream; returns the StreamingQuery."""
+                  table_dir: str, checkpoint_dir: str, query_name: str = "kpi_module_stream",
+                  trigger_once: bool = True):
+    """Start the stream; returns the StreamingQuery.  ``checkpoint_dir`` belongs to this stream alone."""
     facts = spark.readStream.schema(schema).parquet(source_dir)
-    ckpt = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{query_name}"
-    state = {"version": 0}
 
     def apply(batch: DataFrame, epoch: int) -> None:
-        touched = batch.select(cycles.period_start(ts, period).alias("cycle_timestamp")).distinct()
-        # all facts of the touched periods (already stored plus the new batch)
-        stored = spark.read.schema(schema).parquet(source_dir)
-        facts_p = stored.join(touched, cycles.period_start(ts, period) == touched.cycle_timestamp, "left_semi")
-        rows = kpi_module(facts_p, ts, period, dims, measures)
-        from metricbook.sources.sink import upsert
-        upsert(spark, rows, table_dir, state["version"], ["id"], "delete_insert")
-        state["version"] += 1
-
-    w = facts.writeStream.foreachBatch(apply).option("checkpointLocation", ckpt).queryName(query_name)
+        # As many as the batch has periods; they become literal ranges that prune the scan of the stored facts.
+        touched = [r[0] for r in batch.select(cycles.period_start(ts, period)).distinct().collect() if r[0] is not None]
+        if touched:
+            stored = spark.read.schema(schema).parquet(source_dir)
+            rows = kpi_module(stored, ts, period, dims, measures, only=sorted(touched))
+            upsert(rows, table_dir, ["id"], PARTITIONS)
+
+    w = facts.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint_dir).queryName(query_name)
     w = w.trigger(availableNow=True) if trigger_once else w
     return w.start()

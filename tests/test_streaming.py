@@ -4,18 +4,25 @@ from metricbook.operators.pyramid import Measure, kpi_module
 from metricbook.streaming.incremental import stream_module
 
 SF = "/root/testdata/sf0.001"
+MEASURES = [Measure("EVENTS", "count"), Measure("EVENT_VALUE", "sum", "value")]
 
 
-def test_stream_module_matches_batch(spark, tmp_path):
-    src = str(tmp_path / "events_in")
-    spark.read.parquet(f"{SF}/events.parquet").select("ts", "user_id", "event_type", "value") \
-        .write.parquet(src)
-    facts = spark.read.parquet(src)
-    measures = [Measure("EVENTS", "count"), Measure("EVENT_VALUE", "sum", "value")]
-    q = stream_module(spark, src, facts.schema, "ts", "week", {"event_type": "event_type"}, measures,
-                      str(tmp_path / "module"), query_name="test_stream_events")
-    q.awaitTermination(300)
-    got = spark.read.parquet(str(tmp_path / "module" / "v=0"))
-    want = kpi_module(facts, "ts", "week", {"event_type": "event_type"}, measures)
-    assert got.count() == want.count() > 0
-    assert got.exceptAll(want.select(*got.columns)).count() == 0
+def test_stream_goes_on_after_a_restart(spark, tmp_path):
+    src, table = str(tmp_path / "events_in"), str(tmp_path / "module")
+    events = spark.read.parquet(f"{SF}/events.parquet").select("ts", "user_id", "event_type", "value")
+
+    def run():
+        q = stream_module(spark, src, events.schema, "ts", "week", {"event_type": "event_type"}, MEASURES, table,
+                          str(tmp_path / "stream"), query_name="test_stream_events")
+        q.awaitTermination(300)
+        got = spark.read.schema(want.schema).parquet(table)
+        return got, kpi_module(spark.read.parquet(src), "ts", "week", {"event_type": "event_type"}, MEASURES)
+
+    want = kpi_module(events, "ts", "week", {"event_type": "event_type"}, MEASURES)
+    events.where("ts < timestamp_ntz'2024-01-10 00:00:00'").write.parquet(src)
+    for later in (None, "ts >= timestamp_ntz'2024-01-10 00:00:00'", "ts >= timestamp_ntz'2024-01-28 00:00:00'"):
+        if later:  # more files arrive (the last ones again), and the stream is started anew
+            events.where(later).write.mode("append").parquet(src)
+        got, expected = run()
+        assert got.count() == expected.count() > 0
+        assert got.select(*expected.columns).exceptAll(expected).isEmpty()

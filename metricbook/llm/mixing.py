@@ -85,9 +85,10 @@ def _plan(per_source: DataFrame, block_words: int, seed: int) -> DataFrame:
     """Per source: blocks, whole epochs, and how many slots and words the last epoch takes."""
     base = (per_source.where("source_size > 0")
             .withColumn("words", F.floor("target").cast("long"))
-            .withColumn("blocks", F.ceil(F.col("source_size") / block_words).cast("long"))
+            # never zero: the optimizer may evaluate what follows before the filter
+            .withColumn("blocks", F.greatest(F.ceil(F.col("source_size") / block_words), F.lit(1)).cast("long"))
             .withColumn("last_len", F.col("source_size") - (F.col("blocks") - 1) * block_words)
-            .withColumn("epochs", F.expr("words div source_size"))
+            .withColumn("epochs", F.expr("words div greatest(source_size, 1)"))
             .withColumn("rest", F.col("words") - F.col("epochs") * F.col("source_size"))
             .withColumn("seed", F.lit(seed)).withColumn("_end", F.col("blocks") - 1))
     # Where the short last block comes in the last epoch's order decides that epoch's word counts.
@@ -106,7 +107,9 @@ def slots(per_source: DataFrame, block_words: int = BLOCK_WORDS, seed: int = SEE
     plan = _plan(per_source, block_words, seed)
     chunks = plan.withColumn("_chunk", F.explode(F.expr(
         f"sequence(0L, (slots - 1) div {SLOTS_PER_CHUNK})"))).where("slots > 0")
-    rows = (chunks.repartition("rank", "_chunk")
+    # A fixed number of partitions: the few chunk rows look too small to deal out, their slots are not.
+    partitions = int(per_source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = (chunks.repartition(partitions, "rank", "_chunk")
             .withColumn("slot", F.explode(F.expr(
                 f"sequence(_chunk * {SLOTS_PER_CHUNK}, least(slots, (_chunk + 1) * {SLOTS_PER_CHUNK}) - 1)")))
             .withColumn("epoch", F.expr("slot div blocks")).withColumn("_at", F.col("slot") % F.col("blocks")))
@@ -146,7 +149,8 @@ def _taken_spans(placed: DataFrame, goal: DataFrame, block_words: int, seed: int
                       F.explode(F.expr(f"sequence(start div {block_words}, (start + size - 1) div {block_words})"))
                       .alias("block")))
     first = F.col("block") * block_words
-    return (mixture.join(pieces, ["rank", "block"])
+    # Both sides grow with the words; sizes guessed before the explodes must not turn one into a broadcast.
+    return (mixture.join(pieces.hint("merge"), ["rank", "block"])
             .select("rank", "start", "shard", "epoch", "block", F.greatest("start", first).alias("lo"),
                     F.least(F.col("_end"), first + F.col("take")).alias("hi")).where("hi > lo"))
 

@@ -62,8 +62,13 @@ def _kind(value: Column) -> Column:
 
 
 def _canonical(kind: Column, value: Column) -> Column:
-    """One form per entity: digits only for numbers, lower case for the rest; names as they are."""
-    return (F.when(kind.isin("card", "ssn", "phone"), F.regexp_replace(value, r"\D", ""))
+    """One form per entity: digits only for numbers (a phone's country code set apart), lower case for
+    addresses and secrets; names as they are."""
+    digits = F.regexp_replace(value, r"\D", "")
+    country = F.regexp_extract(value, r"^(\+\d{1,3})[ .\-(]", 1)
+    return (F.when((kind == "phone") & (country != ""), F.concat(country, F.lit("-"), F.substring(
+                digits, F.length(country), F.length(digits))))
+            .when(kind.isin("card", "ssn", "phone"), digits)
             .when(kind.isin("email", "secret"), F.lower(value)).otherwise(value))
 
 
@@ -123,6 +128,8 @@ def _surrogate(key: str, attempt: int) -> Column:
     host = F.regexp_extract(value, r"@(.*)$", 1)
     email = F.concat(_same_shape(at, digest), F.lit("@"), _same_shape(F.regexp_extract(host, r"^(.*)\.", 1), F.concat(digest, F.lit("h"))),
                      F.lit("."), F.regexp_extract(host, r"([^.]*)$", 1))
+    country = F.regexp_extract(value, r"^(\+\d+-)", 1)
+    phone = F.concat(country, _same_shape(F.substring(value, F.length(country) + 1, F.length(value)), digest))
     cyrillic = value.rlike(r"\p{IsCyrillic}")
 
     def person(script: str) -> Column:
@@ -132,6 +139,7 @@ def _surrogate(key: str, attempt: int) -> Column:
         return F.when(value.contains(" "), F.concat_ws(" ", given, family)).otherwise(family)
 
     return (F.when(kind == "email", email).when(kind == "ip", octets).when(kind == "card", card)
+            .when(kind == "phone", phone)
             .when(kind == "name", F.when(cyrillic, person("cyrillic")).otherwise(person("latin")))
             .when((kind == "secret") & value.rlike("^(?:akia|asia)"),
                   F.concat(F.substring(value, 1, 4), _same_shape(F.substring(value, F.lit(5), F.length(value)), digest)))
@@ -181,8 +189,9 @@ def _poured(kind: Column, value: Column, surrogate: Column) -> Column:
     chunks = F.regexp_extract_all(value, F.lit(r"\d+|\D+"), F.lit(0))
     digits_before = F.transform(chunks, lambda c, i: F.length(F.regexp_replace(
         F.array_join(F.slice(chunks, F.lit(1), i), ""), r"\D", "")))
+    digits = F.regexp_replace(surrogate, r"\D", "")
     poured = F.array_join(F.zip_with(chunks, digits_before, lambda c, n: F.when(
-        c.rlike(r"^\d"), F.substring(surrogate, n + 1, F.length(c))).otherwise(c)), "")
+        c.rlike(r"^\d"), F.substring(digits, n + 1, F.length(c))).otherwise(c)), "")
     return (F.when(kind.isin("card", "ssn", "phone"), poured)
             .when(kind.isin("email", "secret") & (F.upper(value) == value), F.upper(surrogate))
             .otherwise(surrogate))

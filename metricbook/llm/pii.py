@@ -19,26 +19,42 @@ from pyspark.sql import functions as F
 
 from metricbook.llm.common import ROW_FILE, ROW_INDEX, materialise, with_row_identity
 
-_TITLES = "Mr|Mrs|Ms|Miss|Herr|Frau|Monsieur|Madame|Señor|Señora|Господин|Госпожа"
-#: Entity patterns, tried in this order at every place of a text.
+MALE_TITLES = ["Mr", "Herr", "Monsieur", "Señor", "Господин"]
+FEMALE_TITLES = ["Mrs", "Ms", "Miss", "Frau", "Madame", "Señora", "Госпожа"]
+TITLES = "|".join(MALE_TITLES + FEMALE_TITLES)
+CREDENTIALS = ["token", "password", "passwd", "secret", "api_key"]
+_KEY = rf"(?i:{'|'.join(CREDENTIALS)})[ ]?[=:][ ]?[\x22']?"
+#: Entity patterns, tried in this order at every place of a text. Each begins with a look at one or
+#: two characters that fails fast. A credential comes with its key and a name with its title: these
+#: stay as they are.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@(?:[\p{L}\p{N}\-]++\.)+\p{L}{2,}+",
-    "secret": r"(?<![\p{L}\p{N}])(?:AKIA|ASIA|akia)[A-Za-z0-9]{16}(?![A-Za-z0-9])"
-              r"|(?i:(?<=token = [\x22'])|(?<=token=[\x22'])|(?<=token=)|(?<=password=)|(?<=password = [\x22'])"
-              r"|(?<=secret=)|(?<=api_key=)|(?<=passwd=))[A-Za-z0-9_\-+/]{8,}+",
-    "ip": r"(?<![\p{L}\p{N}.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\p{L}\p{N}]|\.\d)",
-    "card": r"(?<![\p{L}\p{N}])\d{4}(?:[ \-]?\d{4}){2}[ \-]?\d{1,7}(?![\p{L}\p{N}])",
-    "ssn": r"(?<![\p{L}\p{N}\-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}\-])",
-    "phone": r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .\-]?)?\(\d{2,4}\)[ .\-]?\d{3}[ .\-]?\d{4}(?!\d)"
-             r"|(?<![\p{L}\p{N}+])\+\d{1,3}(?:[ .\-]?\d{2,4}){2,5}(?!\d)"
-             r"|(?<![\p{L}\p{N}.\-])\d{3}[.\-]\d{3}[.\-]\d{4}(?![\p{L}\p{N}])",
-    "name": rf"(?<![\p{{L}}])(?<=(?:{_TITLES})\.? )\p{{Lu}}\p{{Ll}}{{1,40}}+(?: \p{{Lu}}\p{{Ll}}{{1,40}}+)?",
+    "secret": r"(?=[Aa])(?<![\p{L}\p{N}])(?:AKIA|ASIA|akia|asia)[A-Za-z0-9]{16}(?![A-Za-z0-9])"
+              rf"|(?=[TtPpSsAa])(?<![\p{{L}}\p{{N}}]){_KEY}[A-Za-z0-9_\-+/]{{8,}}+",
+    "ip": r"(?=[0-9])(?<![\p{L}\p{N}.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\p{L}\p{N}]|\.\d)",
+    "card": r"(?=[0-9])(?<![\p{L}\p{N}])\d{4}(?:[ \-]?\d{4}){2}[ \-]?\d{1,7}(?![\p{L}\p{N}])",
+    "ssn": r"(?=[0-9])(?<![\p{L}\p{N}\-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}\-])",
+    "phone": r"(?=[+(])(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .\-]?)?\(\d{2,4}\)[ .\-]?\d{3}[ .\-]?\d{4}(?!\d)"
+             r"|(?=\+)(?<![\p{L}\p{N}+])\+\d{1,3}(?:[ .\-]?\d{2,4}){2,5}(?!\d)"
+             r"|(?=[0-9])(?<![\p{L}\p{N}.\-])\d{3}[.\-]\d{3}[.\-]\d{4}(?![\p{L}\p{N}])",
+    "name": rf"(?=[MHFSГ])(?<!\p{{L}})(?:{TITLES})\.? \p{{Lu}}\p{{Ll}}{{1,40}}+(?: \p{{Lu}}\p{{Ll}}{{1,40}}+)?",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-#: A cheap first look: every entity has a digit, an at sign, a title or a credential word before it.
-HINT = rf"[0-9@]|(?:{_TITLES})\.? |(?i:akia|token|password|passwd|secret|api_key)"
+#: The part of a credential or name that is kept.
+KEPT = rf"^(?:{_KEY}|(?:{TITLES})\.? )"
+
+
+def _worth_reading(text: Column) -> Column:
+    """A cheap first look: every entity has a digit, an at sign, a title, or a credential's key."""
+    # a key's first letter may be of another case than the rest
+    keys = {f(c[1:5]) for c in CREDENTIALS for f in (str.lower, str.upper)}
+    hints = [t for t in TITLES.split("|") if t not in ("Mrs", "Señora")] + sorted(keys) + ["AKIA", "ASIA"]
+    found = text.rlike("[0-9@]")
+    for hint in hints:
+        found |= text.contains(hint)
+    return F.coalesce(found, F.lit(False))
+
 
-_FEMALE_TITLES = "(?:Mrs|Ms|Miss|Frau|Madame|Señora|Госпожа)"
 GIVEN_NAMES = {
     ("latin", "f"): ["Anna", "Clara", "Elena", "Ida", "Julia", "Laura", "Marta", "Nora", "Paula", "Vera"],
     ("latin", "m"): ["Adam", "Bruno", "David", "Erik", "Hugo", "Jonas", "Lukas", "Oscar", "Simon", "Viktor"],
@@ -51,14 +67,13 @@ SYLLABLES = {
 }
 
 
-def _kind(value: Column) -> Column:
-    """Type of a whole match: the first pattern that matches it on its own, else the secret or name
-    whose pattern needs what stands before it."""
-    out = F.when(value.rlike(f"^(?:{PATTERNS['email']})$"), "email") \
-        .when(value.rlike("^(?:AKIA|ASIA|akia)[A-Za-z0-9]{16}$"), "secret")
-    for kind in ("ip", "card", "ssn", "phone"):
+def _kind(value: Column, kept: Column) -> Column:
+    """Type of a whole match: the first pattern that matches it, for credentials and names by what comes first."""
+    out = F.when(value.rlike(f"^(?:{PATTERNS['email']})$"), "email")
+    out = out.when(kept.rlike(f"^(?:{TITLES})"), "name").when((kept != "") | value.rlike("^[A-Za-z]"), "secret")
+    for kind in ("ip", "card", "ssn"):
         out = out.when(value.rlike(f"^(?:{PATTERNS[kind]})$"), kind)
-    return out.when(value.rlike(r"^\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)?$"), "name").otherwise("secret")
+    return out.otherwise("phone")
 
 
 def _canonical(kind: Column, value: Column) -> Column:
@@ -73,18 +88,18 @@ def _canonical(kind: Column, value: Column) -> Column:
 
 
 def mentions(docs: DataFrame, text: str = "text") -> DataFrame:
-    """One row per entity found: row identity, ``pos`` (from 0), ``kind``, ``canonical``, ``value``."""
+    """One row per entity found: row identity, ``pos`` (from 0), ``kind``, ``canonical``, ``gender``, ``kept``
+    (its key or title) and ``value`` (the rest)."""
     found = F.regexp_extract_all(F.col(text), F.lit(ANY), F.lit(0))
-    before = F.transform(F.split(F.col(text), ANY, -1), lambda s: F.right(s, F.lit(12)))
-    rows = (docs.where(F.col(text).rlike(HINT))
-            .select(ROW_FILE, ROW_INDEX, F.arrays_zip(found.alias("value"), before.alias("before")).alias("_m"))
-            .select(ROW_FILE, ROW_INDEX, F.posexplode("_m").alias("pos", "_m")).where("_m.value IS NOT NULL"))
-    kind = _kind(F.col("value"))
-    return (rows.select(ROW_FILE, ROW_INDEX, "pos", F.col("_m.value").alias("value"), F.col("_m.before").alias("_before"))
-            .withColumn("kind", kind).withColumn("canonical", _canonical(F.col("kind"), F.col("value")))
-            .withColumn("gender", F.when(F.col("kind") == "name", F.when(
-                F.col("_before").rlike(_FEMALE_TITLES + r"\.? $"), "f").otherwise("m")).otherwise(""))
-            .drop("_before"))
+    # The outer form, because for the plain one Spark would evaluate the array once more in a filter.
+    rows = (docs.where(_worth_reading(F.col(text))).select(ROW_FILE, ROW_INDEX, F.posexplode_outer(found).alias("pos", "_match"))
+            .where("_match IS NOT NULL")
+            .withColumn("kept", F.regexp_extract("_match", KEPT, 0)))
+    kind = _kind(F.col("_match"), F.col("kept"))
+    return (rows.withColumn("kind", kind).withColumn("value", F.substring("_match", F.length("kept") + 1, F.length("_match")))
+            .withColumn("canonical", _canonical(F.col("kind"), F.col("value")))
+            .withColumn("gender", F.when(F.col("kind") != "name", "").when(
+                F.col("kept").rlike(f"^(?:{'|'.join(FEMALE_TITLES)})\\.? "), "f").otherwise("m")).drop("_match"))
 
 
 def _draw(digest: Column, i: Column, n: int) -> Column:
@@ -205,9 +220,9 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text", n_chars: str
     ids = [ROW_FILE, ROW_INDEX]
     found = materialise(mentions(rows, text), "pii-mentions")
     mapped = (found.join(surrogates(found, key), ["kind", "canonical"])
-              .withColumn("_new", _poured(F.col("kind"), F.col("value"), F.col("surrogate"))))
+              .withColumn("_new", F.concat("kept", _poured(F.col("kind"), F.col("value"), F.col("surrogate")))))
     per_doc = mapped.groupBy(*ids).agg(F.array_sort(F.collect_list(F.struct("pos", "_new", "kind"))).alias("_m"))
-    has = F.coalesce(F.col(text).rlike(HINT) & F.col(text).rlike(ANY), F.lit(False))
+    has = F.when(_worth_reading(F.col(text)), F.col(text).rlike(ANY)).otherwise(F.lit(False))
     extra = [F.coalesce(F.size("_m"), F.lit(0)).alias("n_entities"), F.col("_m.kind").alias("kinds")] if report else []
     segments = F.split(F.col(text), ANY, -1)
     joined = F.array_join(F.zip_with(segments, F.col("_m._new"), lambda s, r: F.concat(s, F.coalesce(r, F.lit("")))), "")

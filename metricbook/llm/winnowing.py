@@ -22,7 +22,8 @@ from metricbook.llm.common import let, zip_shifted
 
 GRAM, WINDOW = 5, 4
 POSITION_BITS = 27  # a string has fewer tokens than 2**27; hashes keep the other 36 bits
-_ALONE = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+#: Letters of scripts written without spaces (Thai, Lao, Myanmar, Khmer, kana, Han): each is a token.
+_ALONE = r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u2E80-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}"
 TOKEN = rf"[{_ALONE}]|[^\x20\x09-\x0D{_ALONE}]+"
 
 

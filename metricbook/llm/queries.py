@@ -90,9 +90,14 @@ WITH w AS (
            list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
     FROM documents
 ), spots AS (
-    SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM w WHERE len(words) >= 8
+    SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM w
+), runs AS (
+    SELECT doc_id, i, word || ' ' || lead(word, 1) OVER d || ' ' || lead(word, 2) OVER d || ' ' || lead(word, 3) OVER d
+           || ' ' || lead(word, 4) OVER d || ' ' || lead(word, 5) OVER d || ' ' || lead(word, 6) OVER d
+           || ' ' || lead(word, 7) OVER d AS run
+    FROM spots WINDOW d AS (PARTITION BY doc_id ORDER BY i)
 ), windows AS (
-    SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, words[i:i + 7]) AS n FROM spots
+    SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, run) AS n FROM runs WHERE run IS NOT NULL
 ), covered AS (
     SELECT doc_id, count(DISTINCT p) AS n_repeat_words
     FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM windows WHERE n >= 2) GROUP BY doc_id
@@ -133,4 +138,17 @@ WITH p AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM j WHERE n = 1
 """
 
-ORACLE = {"op3_url_filter": _OP3, "op9_quality_rules": _OP9}
+_OP6 = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+h AS (SELECT page_id, octet_length(encode(body)) AS payload_bytes, sha1(body) AS hex FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY hex) AS first_page FROM h)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+           (CAST('0x' || substr(hex, CAST((i // 4) * 5 + 1 AS INTEGER), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS INTEGER), 1)), '')
+           AS payload_digest,
+       CASE WHEN page_id = first_page THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_page THEN first_page END AS refers_to, TRUE AS intact
+FROM f
+"""
+
+ORACLE = {"op3_url_filter": _OP3, "op6_warc": _OP6, "op9_quality_rules": _OP9}

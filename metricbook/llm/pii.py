@@ -124,6 +124,11 @@ def _same_shape(value: Column, digest: Column) -> Column:
     return F.array_join(F.transform(F.split(value, ""), swap), "")
 
 
+#: Attempts after which a candidate gets one more digit each time: a shape whose values are all taken
+#: or all real (short numbers in a large corpus) has no free one. Addresses first give up their shape.
+WIDEN_AFTER = 6
+
+
 def _surrogate(key: str, attempt: int) -> Column:
     """Candidate for a canonical entity (columns kind, canonical, gender)."""
     kind, value, gender = F.col("kind"), F.col("canonical"), F.col("gender")
@@ -133,6 +138,7 @@ def _surrogate(key: str, attempt: int) -> Column:
     hexed = F.array_join(F.transform(F.split(value, ""), lambda c, i: F.substring(
         F.lit("0123456789abcdef"), _draw(digest, i, 16), F.lit(1))), "")
     octets = F.array_join(F.transform(F.split(value, r"\."), lambda o, i: F.when(
+        F.lit(attempt >= WIDEN_AFTER // 2), _draw(digest, i, 254)).when(
         F.length(o) == 3, 100 + _draw(digest, i, 155) - 1).when(F.length(o) == 2, 10 + _draw(digest, i, 90) - 1)
         .otherwise(_draw(digest, i, 9)).cast("string")), ".")
     # The last digit of a card makes its check sum right where the original's is.
@@ -153,13 +159,14 @@ def _surrogate(key: str, attempt: int) -> Column:
         family = F.initcap(F.concat(*[_pick(SYLLABLES[script], digest, f"s{i}") for i in range(5)]))
         return F.when(value.contains(" "), F.concat_ws(" ", given, family)).otherwise(family)
 
-    return (F.when(kind == "email", email).when(kind == "ip", octets).when(kind == "card", card)
+    extra = F.concat(*[(_draw(digest, F.lit(f"x{i}"), 10) - 1).cast("string") for i in range(attempt - WIDEN_AFTER)], F.lit(""))
+    return F.concat(F.when(kind == "email", email).when(kind == "ip", octets).when(kind == "card", card)
             .when(kind == "phone", phone)
             .when(kind == "name", F.when(cyrillic, person("cyrillic")).otherwise(person("latin")))
             .when((kind == "secret") & value.rlike("^(?:akia|asia)"),
                   F.concat(F.substring(value, 1, 4), _same_shape(F.substring(value, F.lit(5), F.length(value)), digest)))
             .when((kind == "secret") & value.rlike("^[0-9a-f]+$"), hexed)
-            .otherwise(shaped))
+            .otherwise(shaped), extra)
 
 
 def _luhn(digits: Column) -> Column:
@@ -174,7 +181,7 @@ def surrogates(found: DataFrame, key: str) -> DataFrame:
     """``kind``, ``canonical`` and a ``surrogate`` that no other entity has and that is no entity.
 
     Each attempt settles the entities whose candidate is free; only the number left reaches the
-    driver. The rounds end because candidates are drawn from spaces far larger than the collisions."""
+    driver. The rounds end because candidates grow after ``WIDEN_AFTER`` attempts."""
     entities = materialise(found.groupBy("kind", "canonical").agg(F.min("gender").alias("gender")), "pii-entities")
     originals = entities.select("kind", F.col("canonical").alias("surrogate"))
     settled, left, attempt = None, entities, 0
@@ -207,7 +214,8 @@ def _poured(kind: Column, value: Column, surrogate: Column) -> Column:
     digits = F.regexp_replace(surrogate, r"\D", "")
     poured = F.array_join(F.zip_with(chunks, digits_before, lambda c, n: F.when(
         c.rlike(r"^\d"), F.substring(digits, n + 1, F.length(c))).otherwise(c)), "")
-    return (F.when(kind.isin("card", "ssn", "phone"), poured)
+    longer = F.substring(digits, F.length(F.regexp_replace(value, r"\D", "")) + 1, F.length(digits))
+    return (F.when(kind.isin("card", "ssn", "phone"), F.concat(poured, longer))
             .when(kind.isin("email", "secret") & (F.upper(value) == value), F.upper(surrogate))
             .otherwise(surrogate))
 

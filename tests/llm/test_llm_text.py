@@ -172,6 +172,12 @@ def test_collisions_are_drawn_again(spark, monkeypatch):
     assert len(out) == 4 == len({r.surrogate for r in out}) and not {r.surrogate for r in out} & {r.canonical for r in out}
 
 
+def test_a_shape_without_free_values_grows(spark):
+    every = [("phone", f"{i:02d}", "") for i in range(100)]
+    out = pii.surrogates(spark.createDataFrame(every, "kind string, canonical string, gender string"), "key").collect()
+    assert len({r.surrogate for r in out}) == 100 and all(len(r.surrogate) > 2 for r in out)
+
+
 def test_planted_entities_go_and_clean_texts_stay(spark):
     sf = "/root/testdata/sf0.01"
     pattern = r'\S+@\S+\.com|\+1 \(\d{3}\) \d{3}-\d{4}|\b\d{16}\b|\b\d{1,3}(?:\.\d{1,3}){3}\b|(?i:(?<=token = ")[0-9a-f]{40}|AKIA[A-Z0-9]{16}|(?<=password=)\w+)'

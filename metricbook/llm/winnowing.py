@@ -15,6 +15,8 @@ one window; two empty fingerprints have likeness 1, an empty and another 0.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -78,6 +80,20 @@ def likeness(a: Column, b: Column) -> Column:
     return let(counts, lambda x: F.when(x.both == 0, F.lit(1.0)).otherwise(x.shared / (x.both - x.shared)))
 
 
+def _count_up_to(cuts: list[int], value: Column) -> Column:
+    """How many of the sorted ``cuts`` are at most ``value``, looked up in two steps of about sqrt(n)."""
+    step = math.isqrt(len(cuts)) + 1
+    chunks = [cuts[i:i + step] for i in range(0, len(cuts), step)]
+    heads = F.array(*[F.lit(c[0]).cast("long") for c in chunks])
+    table = F.array(*[F.array(*[F.lit(x).cast("long") for x in c]) for c in chunks])
+
+    def within(chunk: Column) -> Column:
+        return F.when(chunk == 0, 0).otherwise((chunk - 1) * step + F.size(F.filter(
+            F.element_at(table, F.greatest(chunk, F.lit(1))), lambda c: c <= value)))
+
+    return let(F.size(F.filter(heads, lambda c: c <= value)), within)
+
+
 def with_next_row(df: DataFrame, id_col: str, columns: dict[str, str], tie: list[str]) -> DataFrame:
     """Adds columns (new name: column) of the next row in descending ``id_col``; after the last row
     comes the first. Nulls go last; ``tie`` orders rows of one id.
@@ -87,10 +103,9 @@ def with_next_row(df: DataFrame, id_col: str, columns: dict[str, str], tie: list
     spark = df.sparkSession
     ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = df.agg(F.percentile_approx(id_col, [i / ranges for i in range(1, ranges)], 20 * ranges)).first()[0]
-    cuts = sorted(set(cuts or []))
-    bounds = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.array().cast("array<long>")
+    cuts = sorted(set(cuts or [])) or [0]
     ident = F.col(id_col)
-    dealt = df.withColumn("_range", F.when(ident.isNull(), F.lit(-1)).otherwise(F.size(F.filter(bounds, lambda c: c <= ident))))
+    dealt = df.withColumn("_range", F.when(ident.isNull(), F.lit(-1)).otherwise(_count_up_to(cuts, ident)))
     tops = sorted(((r[0], r[1]) for r in dealt.groupBy("_range").agg(F.max(id_col)).collect()), reverse=True)
     if not tops:
         return df.select("*", *[F.col(c).alias(n) for n, c in columns.items()])

@@ -302,3 +302,33 @@ def test_holiday_rules(spark):
     from metricbook.operators.insights import fixed_date_holidays
     h = fixed_date_holidays(spark, "US", [(7, 4, "Independence Day")], 2000, 2001)
     assert sorted(r.date for r in h.collect()) == [dt.date(2000, 7, 4), dt.date(2001, 7, 4)]
+
+
+def test_optional_tables(spark):
+    from metricbook.sources.refdata import KPI_MODULE, empty, optional_table
+    assert optional_table(spark, "no_such_table_here") is None
+    spark.range(3).createOrReplaceTempView("some_overrides")
+    assert optional_table(spark, "some_overrides").count() == 3
+    assert empty(spark, KPI_MODULE).schema == KPI_MODULE
+
+
+def test_hour_modules(spark):
+    from metricbook.operators.pyramid import Measure, kpi_module
+    facts = spark.createDataFrame([(dt.datetime(2024, 1, 1, 10, 5), "a"), (dt.datetime(2024, 1, 1, 10, 59), "a"),
+                                   (dt.datetime(2024, 1, 1, 11, 0), "b")], "t timestamp_ntz, d string")
+    out = kpi_module(facts, "t", "hour", ["d"], [Measure("N", "count")]).where("dimensions = '{}'").collect()
+    assert {r.cycle_timestamp: int(r.value) for r in out} == {dt.datetime(2024, 1, 1, 10): 2, dt.datetime(2024, 1, 1, 11): 1}
+
+
+def test_bands_without_room_for_exact_sums(spark):
+    from metricbook.operators.timeseries import timeseries_analysis
+    big = Decimal("99999999999999.9999")
+    rows = [("A", "{}", "year", dt.datetime(2015 + i, 1, 1), v, "m", "m", "", 0.0, "", None, None, "x", f"i{i}")
+            for i, v in enumerate([big, -big, big, Decimal(1), Decimal(2), Decimal(3), Decimal(9)])]
+    rep = spark.createDataFrame(rows, "indicator string, dimensions string, cycle string, cycle_timestamp timestamp_ntz, "
+                                "current_value decimal(18,4), metric string, metric_display_name string, coordinates string, "
+                                "sortkey double, label string, prior_value decimal(18,4), aop_value decimal(18,8), alt_id string, id string")
+    out = timeseries_analysis(rep, RunConfig("year", dt.date(2023, 1, 1), backfill=True, spine_start=dt.date(2015, 1, 1),
+                                             as_of=dt.date(2022, 1, 1))).orderBy("cycle_timestamp").collect()
+    assert [r.has_history for r in out] == [False] * 3 + [True] * 4
+    assert out[-1].midpoint == 2.0 and out[-1].sigma == 1.0 and out[-1].alert == "↑"

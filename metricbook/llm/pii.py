@@ -28,7 +28,7 @@ _KEY = rf"(?i:{'|'.join(CREDENTIALS)})[ ]?[=:][ ]?[\x22']?"
 #: two characters that fails fast. A credential comes with its key and a name with its title: these
 #: stay as they are.
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@(?:[\p{L}\p{N}\-]++\.)+\p{L}{2,}+",
+    "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@(?:[\p{L}\p{N}\-]++\.){1,32}\p{L}{2,}+",
     "secret": r"(?=[Aa])(?<![\p{L}\p{N}])(?:AKIA|ASIA|akia|asia)[A-Za-z0-9]{16}(?![A-Za-z0-9])"
               rf"|(?=[TtPpSsAa])(?<![\p{{L}}\p{{N}}]){_KEY}[A-Za-z0-9_\-+/]{{8,}}+",
     "ip": r"(?=[0-9])(?<![\p{L}\p{N}.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\p{L}\p{N}]|\.\d)",

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from metricbook.llm.common import materialise
 
 SPLIT_ROWS = 32_768  # a subtree with more fingerprints than this is cut into deeper node pairs
-PAIRS_AT_ONCE = 1 << 18  # node pairs walked in one numpy step
+PAIRS_AT_ONCE = 1 << 15  # node pairs walked in one numpy step; times LEAF_PAIRS bounds its memory
 LEAF_PAIRS = 64  # node pairs with so few fingerprint pairs are compared at once
 
 

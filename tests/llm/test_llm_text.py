@@ -163,6 +163,13 @@ def test_surrogates_keep_form_identity_and_the_rest(spark):
     assert pii.replace_entities(df.limit(0), "key").count() == 0
 
 
+def test_entities_at_the_end_of_a_sentence(spark):
+    ends = [f"See {e}." for e in ENTITIES[:5]] + [f"({ENTITIES[0]}).", f"at x@{'a.' * 3000}com now", f"key token={ENTITIES[5]}."]
+    out = pii.replace_entities(spark.createDataFrame([(t,) for t in ends], "text string"), "key").collect()
+    assert len(out) == 8 and not [r for r in out if any(e in r.text for e in ENTITIES)]
+    assert all(r.text.endswith((".", "now")) for r in out)
+
+
 def test_collisions_are_drawn_again(spark, monkeypatch):
     real = pii._surrogate
     monkeypatch.setattr(pii, "_surrogate", lambda key, attempt: F.lit("same@x.org") if attempt == 0 else

@@ -150,8 +150,9 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url: st
     rows = with_row_identity(pages).select(ROW_FILE, ROW_INDEX, F.col(id_col).cast("long").alias("page"),
                                            F.col(url).alias("address"), F.col(payload).alias("body"))
     known = payloads(rows, "page", "body", min_bytes)
-    # Only the few facts of rows that are no plain first copy travel to the payloads.
-    special = known.where("revisit OR copy > 0")
+    # Only the facts of rows that are no plain first copy travel to the payloads. Written first, their
+    # size is known to the join: while they are few, the payloads need not move.
+    special = materialise(known.where("revisit OR copy > 0"), "warc-special")
     records = (rows.join(special, [ROW_FILE, ROW_INDEX], "left")
                .select(F.col("page").alias("id"), F.coalesce("copy", F.lit(0)).alias("copy"), F.col("address").alias("url"),
                        "refers_to", "refers_copy", F.coalesce("revisit", F.lit(False)).alias("revisit"),

@@ -112,7 +112,7 @@ WITH w AS (
     SELECT *, (CASE WHEN n_words < 20 THEN 1 ELSE 0 END
              + CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END
              + CASE WHEN 4 * n_symbols > n_words THEN 4 ELSE 0 END
-             + CASE WHEN n_lines >= 4 AND 10 * n_dup_lines > 3 * n_lines THEN 8 ELSE 0 END
+             + CASE WHEN n_lines >= 6 AND 2 * n_dup_lines > n_lines THEN 8 ELSE 0 END
              + CASE WHEN n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 20 * n_words) THEN 16 ELSE 0 END
              )::BIGINT AS failed_bits FROM m
 )

@@ -35,7 +35,7 @@ RULES = (
     Rule(0, "too_few_words", lambda m: m.n_words < 20),
     Rule(1, "repeated_words", lambda m: 100 * m.n_repeat_words > 30 * m.n_words),
     Rule(2, "symbols", lambda m: 4 * m.n_symbols > m.n_words),
-    Rule(3, "duplicate_lines", lambda m: (m.n_lines >= 4) & (10 * m.n_dup_lines > 3 * m.n_lines)),
+    Rule(3, "duplicate_lines", lambda m: (m.n_lines >= 6) & (2 * m.n_dup_lines > m.n_lines)),
     Rule(4, "word_length", lambda m: (m.n_words > 0) & ((m.word_chars < 2 * m.n_words) | (m.word_chars > 20 * m.n_words))),
 )
 

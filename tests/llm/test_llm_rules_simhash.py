@@ -52,8 +52,8 @@ def test_ablations_follow_the_bits(spark):
 
 
 def test_clean_documents_are_kept(spark):
-    led = Q.QUERIES["op9_quality_rules"](spark, "/root/testdata/sf0.01")
-    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    led = Q.QUERIES["op9_quality_rules"](spark, "/root/testdata/sf0.1")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     good = led.join(labels.where("quality = 1"), "doc_id").where("NOT base_failed")
     assert good.where("NOT kept").count() == 0
 

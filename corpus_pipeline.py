@@ -21,12 +21,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the smallest doc_id, of repeated ids one row."""
+    """One document of each group of near copies: the smallest doc_id, of repeated ids one row (a null id
+    only where no document of the group has one)."""
     rows = with_row_identity(docs)
     ids = [ROW_FILE, ROW_INDEX]
     groups = simhash.near_duplicates(rows, "doc_id", ["doc_id", *ids], shingle_words=SHINGLE_WORDS, max_bits=MAX_BITS)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", *ids)).alias("f")
-    chosen = groups.groupBy("component").agg(first).select(*[F.col(f"f.{c}").alias(c) for c in ids])
+    chosen = groups.groupBy("component_fp").agg(first).select(*[F.col(f"f.{c}").alias(c) for c in ids])
     return rows.join(chosen, ids, "left_semi").select(*docs.columns)
 
 

@@ -12,7 +12,8 @@ of all pairs; the components of the whole corpus then come from star contraction
 
 Defined results: a null text counts as empty; a text without words has fingerprint zero and links
 like any other; fewer words than a shingle give one shingle of all words; repeated rows share a
-component; an empty table gives an empty result; null ids rank after all others.
+component; an empty table gives an empty result; null ids rank after all others. Links and components
+are between fingerprints, so ids may be null or repeat; the smallest id only names a component.
 """
 
 from __future__ import annotations
@@ -261,12 +262,17 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str, keep: list[str], text: str = "text", shingle_words: int = 4,
                     max_bits: int = 4) -> DataFrame:
-    """``keep`` columns, ``fp`` and ``component`` (smallest ``id_col`` reachable) for every row."""
+    """``keep`` columns, ``fp``, ``component`` (smallest ``id_col`` reachable, null where all are) and
+    ``component_fp`` (smallest fingerprint reachable, never null) for every row.
+
+    Only ``component_fp`` tells components apart: two of them may have the same smallest id, or none."""
     columns = list(dict.fromkeys([id_col, *keep]))
     fps = materialise(fingerprints(docs, columns, text, shingle_words), "simhash")
-    distinct = materialise(fps.groupBy("fp").agg(F.min(id_col).alias("rep")), "simhash-distinct")
-    known = distinct.where("rep IS NOT NULL")
-    comp = components(links(known, max_bits))
-    labelled = (distinct.join(comp, distinct.rep == comp.node, "left")
-                .select("fp", F.coalesce("component", "rep").alias("component")))
-    return fps.join(labelled, "fp").select(*keep, "fp", "component")
+    distinct = materialise(fps.groupBy("fp").agg(F.min(id_col).alias("_id")), "simhash-distinct")
+    comp = components(links(distinct.select("fp", F.col("fp").alias("rep")), max_bits))
+    grouped = materialise(distinct.join(comp, distinct.fp == comp.node, "left")
+                          .select("fp", "_id", F.coalesce("component", "fp").alias("component_fp")), "simhash-grouped")
+    # Written, so that the join below is between plain exchanges and a large component can be split.
+    named = materialise(grouped.groupBy("component_fp").agg(F.min("_id").alias("component")), "simhash-named")
+    labelled = grouped.join(named, "component_fp").select("fp", "component", "component_fp")
+    return fps.join(labelled, "fp").select(*keep, "fp", "component", "component_fp")

@@ -42,3 +42,11 @@ def test_run_on_hostile_rows(spark, tmp_path):
     assert P.run(spark, str(tmp_path)).count() > 0
     docs.limit(0).write.parquet(str(tmp_path / "none" / "documents.parquet"))
     assert P.run(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_near_dedup_keeps_unlike_rows_without_own_ids(spark):
+    texts = [" ".join(f"{x}{i}" for i in range(60)) for x in "abcde"]
+    rows = list(zip([None, None, 7, 7, 8], texts)) + [(None, texts[4]), (None, texts[0])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(map(tuple, P.simhash_near_dedup(spark, docs, None).collect()), key=lambda r: r[1])
+    assert kept == list(zip([None, None, 7, 7, 8], texts))

@@ -103,6 +103,31 @@ def test_simhash_whole_table(spark):
     assert {r.doc_id: r.component_id for r in out} == _groups(fps, 4)
 
 
+def _near_chain():
+    """Three texts of which the second is near the first and the third, and these two are not near."""
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(words)]
+    while True:
+        words[len(texts) * 7 % 400] = f"new{len(texts)}"
+        texts.append(" ".join(words))
+        near = [[(_fingerprint(a) ^ _fingerprint(b)).bit_count() <= 4 for b in texts] for a in (texts[0], texts[-1])]
+        if not near[0][-1]:
+            bridge = [i for i in range(1, len(texts) - 1) if near[0][i] and near[1][i]]
+            if bridge:
+                return texts[0], texts[bridge[0]], texts[-1]
+
+
+def test_simhash_null_and_repeated_ids(spark):
+    one, bridge, other = _near_chain()
+    apart = [" ".join(f"{x}{i}" for i in range(60)) for x in "abcd"]
+    rows = [(1, one), (None, bridge), (2, other), (None, apart[0]), (None, apart[1]), (9, apart[2]), (9, apart[3])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.text: r for r in simhash.near_duplicates(df, "doc_id", ["doc_id", "text"]).collect()}
+    assert [out[t].component for t in (one, bridge, other, *apart)] == [1, 1, 1, None, None, 9, 9]
+    assert len({out[t].component_fp for t in (one, bridge, other)}) == 1
+    assert len({r.component_fp for r in out.values()}) == 5 and all(r.component_fp is not None for r in out.values())
+
+
 @pytest.mark.parametrize("split", [32_768, 16])
 def test_trie_join_finds_every_link(spark, monkeypatch, split):
     """Dense groups around few centres, chains at the limit, and subtrees cut into node pairs."""

@@ -43,7 +43,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where every token piece of every row goes."""
-    return packing.pack(packing.pieces(docs, ["doc_id"]), ["doc_id", "piece", "ids_crc32"])
+    return packing.pack(packing.pieces(docs, ["doc_id"], added=packing.default_added()), ["doc_id", "piece", "ids_crc32"])
 
 
 STAGES = [("quality_rules", quality_rules), ("simhash_near_dedup", simhash_near_dedup),

@@ -11,15 +11,17 @@ any number of documents) and turns them into intervals of piece ranks; ranking,
 out run on Spark. A length that a third of all pieces share is ranked in hash buckets.
 
 Defined results: a null text is empty and packs as the single id 0; repeated rows are packed one by
-one; an empty table gives an empty result; only documents longer than ``capacity`` are cut.
+one; an empty table gives an empty result; only documents longer than ``capacity`` are cut; the
+strings of ``added`` tokens are ordinary text where none are given.
 """
 
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pandas as pd
@@ -35,14 +37,14 @@ SMALL_SHARE = 8  # pieces of at most capacity / SMALL_SHARE tokens are small
 
 
 @lru_cache(maxsize=4)
-def tokenizer(path: str):
-    """Byte-level BPE of a rank file; special-token strings in a text are ordinary text."""
+def tokenizer(path: str, added: tuple[tuple[str, int], ...] = ()):
+    """Byte-level BPE of a rank file, and the ids of added tokens, which are cut out of a text first."""
     import public_tokenizers
     import tiktoken
 
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("corpus", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("corpus", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=dict(added))
 
 
 def default_tokenizer() -> str:
@@ -51,17 +53,32 @@ def default_tokenizer() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def default_added() -> dict[str, int]:
+    """The added tokens (text: id) of the JSON tokenizer, which the rank file does not hold."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        tokens = json.load(f)["added_tokens"]
+    if any(t[how] for t in tokens for how in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError("only added tokens that are matched as they stand")
+    return {t["content"]: t["id"] for t in tokens}
+
+
 def pieces(docs: DataFrame, keep: list[str], text: str = "text", path: str | None = None,
-           capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
-    """``keep`` columns, ``piece``, ``start``, ``length`` and ``ids_crc32`` of every piece."""
+           capacity: int = CAPACITY, end_id: int = 0, added: dict[str, int] | None = None) -> DataFrame:
+    """``keep`` columns, ``piece``, ``start``, ``length`` and ``ids_crc32`` of every piece.
+
+    ``added``: strings that are one token each wherever they stand in a text, and their ids."""
     path = path or default_tokenizer()
+    special = tuple((added or {}).items())
     chosen = docs.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)], F.col(text).alias("_text"))
     schema = chosen.drop("_text").schema
     for name, kind in (("piece", "integer"), ("start", "long"), ("length", "long"), ("ids_crc32", "long")):
         schema = schema.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(path).encode_ordinary
+        bpe = tokenizer(path, special)
+        encode = partial(bpe.encode, allowed_special="all", disallowed_special=()) if special else bpe.encode_ordinary
         for batch in batches:
             rows: list[tuple[int, int, int, int, int]] = []
             for at, value in enumerate(batch.column("_text")):

@@ -49,7 +49,7 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pieces(read(spark, sf_dir, "documents"), ["doc_id"])
+    pieces = packing.pieces(read(spark, sf_dir, "documents"), ["doc_id"], added=packing.default_added())
     return packing.pack(pieces, ["doc_id", "piece", "ids_crc32"])
 
 

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline as P
 from metricbook.llm import mixing, packing
 from metricbook.llm import queries as Q
 
@@ -149,6 +150,20 @@ def test_packing_edges(spark, bpe):
     assert packing.pack(packing.pieces(df.limit(0), ["doc_id"]), ["doc_id", "piece"]).count() == 0
 
 
+def test_packing_emits_added_tokens(spark, tmp_path):
+    """The query and the pipeline's stage against the JSON tokenizer as it comes."""
+    import public_tokenizers
+    t = Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
+    end = "<|endoftext|>"
+    assert t.encode(f"end {end} next", add_special_tokens=False).ids == [437, 220, 50256, 1306]
+    texts = dict(enumerate([f"end {end} next", end, end * 3, f" {end}\n\n  {end} ", "<|endoftext", f"a  {end}  b <|endof{end}text|>",
+                            f"word  {end} " * 1500, "é" + end + "'s", "plain", None]))
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    exact = lambda text: t.encode(text or "", add_special_tokens=False).ids + [0]
+    _check(Q.QUERIES["op5_packing"](spark, str(tmp_path)).collect(), texts, exact)
+    _check(P.best_fit_packing(spark, spark.read.parquet(str(tmp_path / "documents.parquet")), None).collect(), texts, exact)
+
+
 def test_configurations_fill(spark):
     assert packing.fill(0, [60, 41, 39, 20], [1, 5, 5, 5], 100) == {0: 1, 3: 2}
     assert packing.fill(0, [50, 30], [2, 1], 100) == {0: 2}

@@ -14,10 +14,13 @@ through. Row identity comes from the files, so ids may repeat or be null.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from metricbook.llm.common import ROW_FILE, ROW_INDEX, materialise, with_row_identity
+from metricbook.llm.common import ROW_FILE, ROW_INDEX, let, materialise, with_row_identity
 
 MALE_TITLES = ["Mr", "Herr", "Monsieur", "Señor", "Господин"]
 FEMALE_TITLES = ["Mrs", "Ms", "Miss", "Frau", "Madame", "Señora", "Госпожа"]
@@ -45,13 +48,13 @@ KEPT = rf"^(?:{_KEY}|(?:{TITLES})\.? )"
 
 
 def _worth_reading(text: Column) -> Column:
-    """A cheap first look: every entity has a digit, an at sign, a title, or a credential's key."""
-    # a key's first letter may be of another case than the rest
-    keys = {f(c[1:5]) for c in CREDENTIALS for f in (str.lower, str.upper)}
-    hints = [t for t in TITLES.split("|") if t not in ("Mrs", "Señora")] + sorted(keys) + ["AKIA", "ASIA"]
+    """A cheap first look: every entity has a digit, an at sign, a title, an access key's prefix, or a
+    credential's key in any mixture of cases."""
+    hints = [t for t in TITLES.split("|") if t not in ("Mrs", "Señora")] + ["AKIA", "ASIA", "akia", "asia"]
     found = text.rlike("[0-9@]")
     for hint in hints:
         found |= text.contains(hint)
+    found |= let(F.lower(text), lambda low: reduce(or_, [low.contains(c) for c in CREDENTIALS]))
     return F.coalesce(found, F.lit(False))
 
 

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import random
 import re
 
 import pytest
@@ -170,6 +171,21 @@ def test_entities_at_the_end_of_a_sentence(spark):
     assert all(r.text.endswith((".", "now")) for r in out)
 
 
+def test_the_first_look_skips_no_entity(spark):
+    """Keys in all mixtures of cases, in texts without a digit or an at sign."""
+    rng = random.Random(3)
+    keys = [c for c in pii.CREDENTIALS for _ in range(30)]
+    texts = ["".join(rng.choice((x.lower(), x.upper())) for x in c) + rng.choice("=:") + "correcthorsebattery" for c in keys]
+    texts += ["Api_Key=correcthorsebattery", "PassWord: correcthorse", "ToKen=correcthorse", "x PassWd = 'correcthorse'"]
+    texts += [p + "abcdefghijKLMNOP" for p in ("AKIA", "ASIA", "akia", "asia")] + [f"{t} Clara Lund" for t in pii.TITLES.split("|")]
+    texts = [f"İ ſ before {t} after" for t in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    looks = df.select(pii._worth_reading(F.col("text")).alias("look"), F.col("text").rlike(pii.ANY).alias("has"), "text").collect()
+    assert all(r.has for r in looks) and not [r.text for r in looks if not r.look]
+    out = pii.replace_entities(df, "key").collect()
+    assert not [r.text for r in out if r.text == texts[r.doc_id] or "correcthorse" in r.text]
+
+
 def test_collisions_are_drawn_again(spark, monkeypatch):
     real = pii._surrogate
     monkeypatch.setattr(pii, "_surrogate", lambda key, attempt: F.lit("same@x.org") if attempt == 0 else

@@ -242,6 +242,33 @@ def _profile_sql():
 register("table_profile", _profile, _profile_sql())
 
 
+def _profile_repository(spark, base):
+    """The weekly repository of both modules; ``table_profile`` has the orders module under that name."""
+    from metricbook.operators.profile import profile_tables
+    return profile_tables(spark, {"kpi__repository": TD.repository(spark, base, "week")})
+
+
+def _profile_repository_sql():
+    return f"""
+    SELECT 'kpi__repository' AS table_name, 'base table' AS table_type, position, column_name, data_type, description,
+           suggested_check
+    FROM (VALUES
+        (1, '_source_relation', 'string', '', NULL), (2, 'indicator', 'string', '', NULL),
+        (3, 'dimensions', 'string', 'Measurement dimensional coordinates', 'not_null'),
+        (4, 'cycle', 'string', 'Reporting time period', 'not_null; accepted_values(minute, hour, day, week, month, year)'),
+        (5, 'cycle_timestamp', 'timestamp_ntz', 'Timestamp associated with the reporting time period start time', 'not_null'),
+        (6, 'value', 'decimal(18,4)', 'Metric measurement value observed at the reporting period.', 'not_null'),
+        (7, 'id', 'string', 'Unique record identifier', 'primary_key; unique_combination_of_columns(id)')
+    ) v(position, column_name, data_type, description, suggested_check)
+    UNION ALL
+    SELECT DISTINCT 'kpi__repository', 'base table', CAST(NULL AS INTEGER), 'dimensions:' || k, 'string',
+           'dimension key ' || k, NULL
+    FROM (SELECT unnest(json_keys(dimensions)) AS k FROM ({O.repository(_mods_sql('week'))}) m) u"""
+
+
+register("table_profile_repository", _profile_repository, _profile_repository_sql())
+
+
 def _yoy(spark, base):
     from metricbook.operators.insights import yoy_pivot
     return yoy_pivot(_report("week", spark, base, only=_needed("week", periods=4, prior=True)),

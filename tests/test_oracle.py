@@ -23,6 +23,12 @@ def test_matches_duckdb(spark, name):
     assert r["match"], r
 
 
+def test_profile_of_the_whole_repository(spark):
+    rows = catalog.QUERIES["table_profile_repository"](spark, SF).collect()
+    keys = {r.column_name for r in rows if r.position is None}
+    assert keys == {"dimensions:segment", "dimensions:status", "dimensions:returnflag", "dimensions:linestatus"}
+
+
 def test_entry(spark):
     df = E.entry(spark)
     assert df.count() > 0

@@ -50,6 +50,16 @@ def with_row_identity(df: DataFrame) -> DataFrame:
         return with_row_identity(materialise(df, "rows"))
 
 
+def named_rows(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """The given columns by their new names, and the row identity; no other column of ``df``, so none clashes."""
+    chosen = [c.alias(name) for name, c in columns.items()]
+    try:
+        return df.select(*chosen, F.xxhash64("_metadata.file_path").alias(ROW_FILE),
+                         F.col("_metadata.row_index").alias(ROW_INDEX))
+    except AnalysisException:
+        return named_rows(materialise(df.select(*chosen), "rows"), {name: F.col(name) for name in columns})
+
+
 def words(text: Column) -> Column:
     """The words ``[^\\x20\\x09-\\x0D]+`` of a text, in order (null: no word)."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))

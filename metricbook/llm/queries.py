@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metricbook.llm import langid, mixing, packing, pii, qda, rules, simhash, urlfilter, warc, winnowing
-from metricbook.llm.common import read
+from metricbook.llm import (divergence, langid, mixing, packing, pii, qda, rules, simhash, tokencount, urlfilter, warc,
+                            winnowing)
+from metricbook.llm.common import read, shared_dir
 
 POLICY = "v2"
 PII_KEY = "corpus-surrogates-1"
@@ -16,6 +19,11 @@ URL_RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/
              ("net/fr/", "block")]
 
 
+#: Session setting that names a lasting digest cache for op12; unset, each run begins with an empty one.
+TOKEN_CACHE = "metricbook.tokenCache"
+TOKEN_LIMIT = 4096
+
+
 def _remainder(n: int) -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n))
 
@@ -80,8 +88,19 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("component").alias("component_id"))
 
 
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cache = spark.conf.get(TOKEN_CACHE, None) or f"{shared_dir(spark)}/token-cache-{uuid.uuid4().hex}"
+    counted = tokencount.count_tokens(read(spark, sf_dir, "documents"), ["doc_id"], cache)
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_mixing, op3_url_filter, op4_quality, op5_packing, op6_warc,
-                                   op7_pii, op8_language, op9_quality_rules, op10_simhash)}
+                                   op7_pii, op8_language, op9_quality_rules, op10_simhash, op12_token_counts,
+                                   op13_source_divergence)}
 
 _OP9 = r"""
 WITH w AS (
@@ -151,4 +170,41 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
 FROM f
 """
 
-ORACLE = {"op3_url_filter": _OP3, "op6_warc": _OP6, "op9_quality_rules": _OP9}
+_OP13 = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(translate(
+        coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), o AS (
+    SELECT r, lang, source, unnest(terms) AS term FROM d
+), kept AS (
+    SELECT lang, term, count(*)::HUGEINT AS n FROM o GROUP BY lang, term HAVING count(DISTINCT r) >= 3
+), l AS (
+    SELECT lang, coalesce(count(term), 0)::HUGEINT AS v, coalesce(sum(n), 0)::HUGEINT AS total
+    FROM (SELECT DISTINCT lang FROM d) LEFT JOIN kept USING (lang) GROUP BY lang
+), c AS (
+    SELECT lang, source, term, count(*)::HUGEINT AS n FROM o SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), g AS (
+    SELECT lang, source, coalesce(sum(n), 0)::HUGEINT AS total
+    FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN c USING (lang, source) GROUP BY lang, source
+), p AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (g.total + l.v) AS p,
+           1 + (1000000000::HUGEINT * (k.n + 1)) // (l.total + l.v) AS q
+    FROM g JOIN l USING (lang) JOIN kept k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+), sums AS (
+    SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pair AS (
+    SELECT lang, source, 'pair' AS part, item, coalesce(value, 0)::BIGINT AS value FROM pairs LEFT JOIN sums USING (lang, source, item)
+), term AS (
+    SELECT lang, source, 'term' AS part, term AS item, (((p - q) * (p - q)) // q)::BIGINT AS value FROM p WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+    FROM (SELECT * FROM pair UNION ALL SELECT * FROM term)
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+ORACLE = {"op3_url_filter": _OP3, "op6_warc": _OP6, "op9_quality_rules": _OP9, "op13_source_divergence": _OP13}

@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metricbook.llm import (divergence, langid, mixing, packing, pii, qda, rules, simhash, tokencount, urlfilter, warc,
-                            winnowing)
+from metricbook.llm import (divergence, langid, mixing, packing, pii, qda, rules, simhash, tokencount, urlfilter, variants,
+                            warc, winnowing)
 from metricbook.llm.common import read, shared_dir
 
 POLICY = "v2"
@@ -88,6 +88,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("component").alias("component_id"))
 
 
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(variants.count_words(read(spark, sf_dir, "documents"), "doc_id", every=97))
+
+
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     cache = spark.conf.get(TOKEN_CACHE, None) or f"{shared_dir(spark)}/token-cache-{uuid.uuid4().hex}"
     counted = tokencount.count_tokens(read(spark, sf_dir, "documents"), ["doc_id"], cache)
@@ -99,8 +103,8 @@ def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_mixing, op3_url_filter, op4_quality, op5_packing, op6_warc,
-                                   op7_pii, op8_language, op9_quality_rules, op10_simhash, op12_token_counts,
-                                   op13_source_divergence)}
+                                   op7_pii, op8_language, op9_quality_rules, op10_simhash, op11_variants,
+                                   op12_token_counts, op13_source_divergence)}
 
 _OP9 = r"""
 WITH w AS (

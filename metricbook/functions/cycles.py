@@ -55,6 +55,26 @@ def period_start(ts, period: str) -> Column:
     return start.cast("timestamp_ntz")
 
 
+def following_start(start, period: str) -> Column:
+    """Start of the period after the one that starts at ``start`` (a bi-week after a 53-week year lasts one week)."""
+    d = F.to_date(_col(start))
+    if period == "hour":
+        return _col(start) + F.expr("INTERVAL 1 HOUR")
+    if period in ("day", "week"):
+        after = F.date_add(d, 1 if period == "day" else 7)
+    elif period == "bi-week":
+        week = F.date_add(d, 7)
+        after = F.when(F.weekofyear(week) % 2 == 1, week).otherwise(F.date_add(d, 14))
+    else:
+        after = F.add_months(d, {"month": 1, "quarter": 3, "year": 12}[check_cycle(period)])
+    return after.cast("timestamp_ntz")
+
+
+def days_in(start, period: str) -> Column:
+    """Number of calendar days of the period that starts at ``start``."""
+    return F.datediff(F.to_date(following_start(start, period)), F.to_date(_col(start)))
+
+
 # ---------------------------------------------------------------- driver side
 # The run configuration (anchor date, period) is a handful of literals; the
 # helpers below turn it into literal bounds so the filters push down to the scan.

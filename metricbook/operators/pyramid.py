@@ -38,11 +38,14 @@ ADDITIVE = ("count", "sum", "min", "max")
 
 @dataclass(frozen=True)
 class Measure:
-    """One indicator of a module: ``kind`` in count / sum / min / max / count_distinct."""
+    """One indicator of a module: ``kind`` in count / sum / min / max / count_distinct.
+
+    ``where`` limits the facts that count for this measure alone."""
 
     indicator: str
     kind: str
     column: str | Column | None = None
+    where: Column | None = None
 
     def __post_init__(self):
         if self.kind not in ADDITIVE + ("count_distinct",):
@@ -51,6 +54,13 @@ class Measure:
             raise ValueError(f"measure {self.indicator} needs a column")
 
 
+    @property
+    def input(self) -> Column:
+        """What one fact contributes: its value (1 for a count), NULL where it does not count."""
+        value = F.lit(1) if self.kind == "count" else _as_col(self.column)
+        return value if self.where is None else F.when(self.where, value)
+
+
 def _as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -87,21 +97,24 @@ def pyramid(facts: DataFrame, ts: str | Column, period: str, dims: dict[str, str
                       *[m.indicator for m in measures])
 
 
-def _pyramid_parts(facts, ts, period, dims, measures, sets, cfg, null_token, only=None):
-    names = list(dims)
-    base = facts
+def placed(facts: DataFrame, ts: str | Column, period: str, dims: dict[str, str | Column], inputs: list[Column],
+           cfg: RunConfig | None = None, null_token: str | None = "unknown", only: list | None = None) -> DataFrame:
+    """Facts of the run's periods as ``cycle_timestamp``, the dimensions as text, and ``inputs``."""
     start = cycles.period_start(ts, period)
     if cfg is not None and cfg.incremental and only is None:
-        base = base.filter(cycles.in_last_complete(ts, period, cfg.anchor_date, cfg.strict_biweek))
+        facts = facts.filter(cycles.in_last_complete(ts, period, cfg.anchor_date, cfg.strict_biweek))
     if only is not None:
-        base = base.filter(cycles.in_periods(ts, period, only) & start.isin(*[cycles.ntz(s) for s in only]))
+        facts = facts.filter(cycles.in_periods(ts, period, only) & start.isin(*[cycles.ntz(s) for s in only]))
     dim_cols = []
     for k, c in dims.items():
         c = _as_col(c).cast("string")
         dim_cols.append((F.coalesce(c, F.lit(null_token)) if null_token is not None else c).alias(k))
-    inputs = [(F.lit(1) if m.kind == "count" else _as_col(m.column)).alias(f"__in_{i}")
-              for i, m in enumerate(measures)]
-    base = base.select(start.alias("cycle_timestamp"), *dim_cols, *inputs)
+    return facts.select(start.alias("cycle_timestamp"), *dim_cols, *inputs)
+
+
+def _pyramid_parts(facts, ts, period, dims, measures, sets, cfg, null_token, only=None):
+    names = list(dims)
+    base = placed(facts, ts, period, dims, [m.input.alias(f"__in_{i}") for i, m in enumerate(measures)], cfg, null_token, only)
 
     additive = [(i, m) for i, m in enumerate(measures) if m.kind in ADDITIVE]
     distinct = [(i, m) for i, m in enumerate(measures) if m.kind == "count_distinct"]
@@ -139,7 +152,7 @@ def _grain_pyramid(base: DataFrame, names, sets, additive, distinct) -> DataFram
     for i, m in additive:
         c = F.col(f"__in_{i}")
         if m.kind == "count":
-            partial.append(F.count(F.lit(1)).alias(f"__p_{i}"))
+            partial.append(F.count(F.lit(1) if m.where is None else c).alias(f"__p_{i}"))
         elif m.kind == "sum":
             partial.append(F.sum(c.cast(VALUE_TYPE)).alias(f"__p_{i}"))
         else:

@@ -696,3 +696,10 @@ def _holiday_country_sql():
 
 
 register("holiday_flag_country", _holiday_country, _holiday_country_sql())
+
+
+# ---------------------------------------------------------------- entity KPIs, calendar lattice
+from metricbook.plans import entity_catalog  # noqa: E402
+
+for _name, _fn in entity_catalog.QUERIES.items():
+    register(_name, _fn, entity_catalog.ORACLE.get(_name))

@@ -3,16 +3,15 @@
 The join of near words uses an index of variable-length grams. A dictionary is built from the grams of all
 words (a mark before and behind each): base grams of ``Q_MIN`` characters always count, and a gram that is
 frequent is prolonged, so that its long list falls into shorter ones. A word is decomposed into the longest
-dictionary gram at each place, without those that lie inside an earlier one. For each word the number of
-its grams that one edit can affect at most is worked out: those that hold the place of the edit, and those
-that the edit could let a longer gram swallow (the characters before the place begin a dictionary gram, or
-those behind it end one). The rest of its grams must stand in any word one edit away, at the same place or
-one further, so two near words share a gram among the (bound + 1) rarest of each: only these are listed,
-by gram, place and length of the word, the lists are merged by one equi-join and the pairs found verified.
+dictionary gram at each place, without those that lie inside an earlier one, and listed under all of these by
+gram, place and length. For each edit of a word the grams that it can affect at most are worked out: those
+that hold its place, and those that it could let a longer gram swallow (the characters before the place begin
+a dictionary gram, or those behind it end one). All others must stand in the other word, at the same place or
+one further. From these bounds each word takes the two grams, rarest together, that no edit can affect both:
+a near word is in one of their lists. Only these are merged, by one equi-join, and what they hold is verified.
 
-A word whose bound covers all of its grams cannot be found through them by another such word. These words
-are listed once more under an empty dictionary, where a word of n characters has n + 1 base grams and an
-edit affects two.
+A word without two such grams cannot look for others, but is found by those that have them. For pairs of two
+such words these are listed once more under an empty dictionary, where the grams are the base grams.
 
 Broadcast with the tasks' code is the dictionary only: at most ``MAX_PREFIXES`` grams are prolonged, each by
 one of 92 characters (26 letters, 64 others, 2 marks), whatever the size of the corpus.
@@ -25,7 +24,6 @@ characters at least: one by itself has too few grams to be found and counts as n
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -36,9 +34,11 @@ from pyspark.sql import functions as F
 from metricbook.llm.common import materialise
 
 Q_MIN, Q_MAX = 2, 4
-MIN_FREQUENT = 16  # grams in fewer words are not prolonged
+MIN_FREQUENT = 64  # grams in fewer words are not prolonged
 MAX_PREFIXES = 4096
 HELD = 1 << 18  # distinct words a task holds before it writes them
+SHORT = 64  # words up to this length are verified where they meet, longer ones once per pair
+ROWS_AT_ONCE = 1 << 16
 BEGIN, END = "^", "$"
 
 #: In Latin-1, where a character is a byte: letters stay, A-Z become a-z, all others a blank.
@@ -109,30 +109,49 @@ class Dictionary:
                 reach = p + q
         return out
 
-    def affected(self, word: str, grams: list[tuple[int, str]]) -> int:
-        """The most grams of a marked word that one edit between the marks can affect."""
-        first, after = [p for p, _ in grams], [p + len(g) for p, g in grams]  # both ascend
-
-        def count(a: int, b: int) -> int:
-            """For an edit that takes word[a:b] out or puts something between a = b: grams that reach over it, that
-            lie between ``left`` and it, or between it and ``right``. They follow one another."""
-            left = next((a - n for n in range(min(self.q_max - 1, a), 0, -1) if word[a - n:a] in self.begins), a)
-            right = next((b + n for n in range(min(self.q_max - 1, len(word) - b), 0, -1) if word[b:b + n] in self.ends), b)
-            return (max(bisect_left(first, b), bisect_right(after, right))
-                    - min(bisect_right(after, a), bisect_left(first, left)))
-
-        return max([count(i, i) for i in range(1, len(word))] + [count(i, i + 1) for i in range(1, len(word) - 1)])
+    def affected(self, word: str, grams: list[tuple[int, str]]) -> list[tuple[int, int]]:
+        """For every edit of one character between the marks, the grams (from, to) of a marked word that it can
+        affect: those that reach over its place, and those that lie between it and the farthest place to its
+        left from where the characters begin a dictionary gram, or to its right where they end one."""
+        n, most = len(word), self.q_max - 1
+        begun, ended = [0] * (n + 1), [0] * (n + 1)  # grams that begin before a place; that end at it or before
+        for p, g in grams:
+            begun[p + 1] += 1
+            ended[p + len(g)] += 1
+        for x in range(n):
+            begun[x + 1] += begun[x]
+            ended[x + 1] += ended[x]
+        begins, ends = self.begins, self.ends
+        lows, highs = [0] * n, [0] * n
+        for x in range(1, n):
+            left = right = x
+            for k in range(min(most, x), 0, -1):
+                if word[x - k:x] in begins:
+                    left = x - k
+                    break
+            for k in range(min(most, n - x), 0, -1):
+                if word[x:x + k] in ends:
+                    right = x + k
+                    break
+            lows[x], highs[x] = min(ended[x], begun[left]), max(begun[x], ended[right])
+        out = [(lows[1], highs[1])]
+        for x in range(2, n):  # the character before x replaced or taken out; something put in before x
+            out += [(lows[x - 1], highs[x]), (lows[x], highs[x])]
+        return out
 
-    def listed(self, word: str) -> tuple[list[tuple[int, str]], bool]:
-        """The grams under which a word is listed, and whether its bound leaves any that must be shared."""
-        marked = BEGIN + word + END
-        grams = self.decompose(marked)
-        bound = self.affected(marked, grams)
-        if bound >= len(grams):
-            return grams, False
-        rank = [(self.frequency.get(g, 0), g) for _, g in grams]
-        last = sorted(rank)[bound]
-        return [x for x, r in zip(grams, rank) if r <= last], True
+    def rarest_apart(self, word: str, grams: list[tuple[int, str]]) -> tuple[int, int] | None:
+        """The two grams, rarest together, that no edit can affect both; None if there are none such."""
+        beyond = [i + 1 for i in range(len(grams))]  # the first gram that no edit of this one can affect
+        for low, high in self.affected(word, grams):
+            for i in range(low, high):
+                if beyond[i] < high:
+                    beyond[i] = high
+        cost = [self.frequency.get(g, 0) for _, g in grams]
+        least: list[int] = [0] * len(grams)  # from a gram on, the rarest one
+        for i in range(len(grams) - 1, -1, -1):
+            least[i] = i if i + 1 == len(grams) or cost[i] <= cost[least[i + 1]] else least[i + 1]
+        pairs = [(cost[i] + cost[least[j]], i, least[j]) for i, j in enumerate(beyond) if j < len(grams)]
+        return min(pairs)[1:] if pairs else None
 
 
 def dictionary(words: DataFrame, q_min: int = Q_MIN, q_max: int = Q_MAX, min_frequent: int = MIN_FREQUENT,
@@ -171,34 +190,51 @@ def dictionary(words: DataFrame, q_min: int = Q_MIN, q_max: int = Q_MAX, min_fre
 def near_pairs(words: DataFrame, book: Dictionary) -> DataFrame:
     """(a, n_a, b, n_b), once for each pair of words that one inserted, deleted or replaced character sets apart.
 
-    ``words``: (id, word, n), a written table with each id and word once. Lists hold ids; words come back for
-    the distinct pairs found, to be verified."""
+    ``words``: (id, word, n), a written table with each id and word once."""
     plain = Dictionary(set(), book.frequency, book.q_min, book.q_max)
-    schema = "id long, size int, gram string, place int, bounded boolean, base boolean"
+    schema = "base boolean, gram string, place int, size int, id long, letters long, short string, probe boolean, found boolean"
+    kinds = (pa.bool_(), pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.bool_())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
+            rows: list[tuple] = []
             for key, word in zip(batch.column("id").to_pylist(), batch.column("word").to_pylist()):
-                grams, bounded = book.listed(word)
-                rows += [(key, len(word), g, p, bounded, False) for p, g in grams]
-                if not bounded:
-                    rows += [(key, len(word), g, p, True, True) for p, g in plain.listed(word)[0]]
-            columns = zip(*rows) if rows else [[]] * 6
-            kinds = (pa.int64(), pa.int32(), pa.string(), pa.int32(), pa.bool_(), pa.bool_())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                             names=["id", "size", "gram", "place", "bounded", "base"])
-
+                letters = 0
+                for c in set(word):
+                    letters |= 1 << (ord(c) & 63)
+                letters -= (letters >> 63) << 64  # as a signed number
+                short, marked = word if len(word) <= SHORT else None, BEGIN + word + END
+                for base, book_ in ((False, book), (True, plain)):
+                    grams = book_.decompose(marked)
+                    apart = book_.rarest_apart(marked, grams)
+                    rows += [(base, g, p, len(word), key, letters, short, apart is not None and i in apart, apart is not None)
+                             for i, (p, g) in enumerate(grams)]
+                    if apart is not None:
+                        break  # else listed once more, under base grams
+                if len(rows) > ROWS_AT_ONCE:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+                    rows = []
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+
+    names = [c.split()[0] for c in schema.split(", ")]
     index = materialise(words.select("id", "word").mapInArrow(run, schema), "variant-index")
-    # Words of one length share a gram at one place; behind the edit, the longer word has it one further.
-    at = [("place", "size"), ("place", "size - 1"), ("place - 1", "size - 1")]
-    probes = index.select("base", "gram", F.col("id").alias("b"), F.col("bounded").alias("bounded_b"), F.col("size").alias("size_b"),
-                          F.inline(F.array(*[F.struct(F.expr(p).alias("place"), F.expr(s).alias("size")) for p, s in at])))
-    lists = index.select("base", "gram", "place", "size", F.col("id").alias("a"), F.col("bounded").alias("bounded_a"))
+    # A gram beside the edit stands at the same place in both words, or further by what the edit adds.
+    at = [(0, 0), (0, 1), (1, 1), (0, -1), (-1, -1)]
+    probes = index.where("probe").select(
+        "base", "gram", F.col("id").alias("b"), F.col("letters").alias("letters_b"), F.col("short").alias("short_b"),
+        F.inline(F.array(*[F.struct((F.col("place") + p).alias("place"), (F.col("size") + n).alias("size"), F.lit(n).alias("longer"))
+                           for p, n in at])))
+    lists = index.select("base", "gram", "place", "size", F.col("id").alias("a"), F.col("letters").alias("letters_a"),
+                         F.col("short").alias("short_a"), "found")
+    # Where both words look for the other, the longer one (of equal ones the later) need not.
     met = materialise(lists.join(probes, ["base", "gram", "place", "size"])
-                      .where("(size_b > size OR a < b) AND (bounded_a OR bounded_b)").select("a", "b").distinct(), "variant-met")
+                      .where("(NOT found OR longer > 0 OR (longer = 0 AND a < b)) AND a <> b "
+                             "AND bit_count(letters_a ^ letters_b) <= 2")
+                      .where(F.coalesce(F.levenshtein("short_a", "short_b", 1) == 1, F.lit(True)))
+                      .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "variant-met")
     left, right = (words.select(F.col("id").alias(x), F.col("word").alias(f"word_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
-    return (met.join(left, "a").join(right, "b").where(F.levenshtein("word_a", "word_b", 1) == 1)
+    return (met.join(left, "a").join(right, "b").where(F.levenshtein("word_a", "word_b", 1) == 1)  # long ones are not yet
             .select(F.col("word_a").alias("a"), "n_a", F.col("word_b").alias("b"), "n_b"))
 
 

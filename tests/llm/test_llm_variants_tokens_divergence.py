@@ -95,11 +95,17 @@ def test_what_an_edit_cannot_affect_stands_in_the_other_word(grams, word, data):
     marked = "^" + word + "$"
     own = book.decompose(marked)
     at = data.draw(st.integers(0, len(word)))
-    other = data.draw(st.sampled_from([word[:at] + c + word[at + k:] for c in ("", "a", "b") for k in (0, 1)]))
-    shift = len(other) - len(word)
-    theirs = set(book.decompose("^" + other + "$"))
-    kept = sum((p, g) in theirs or (p + shift, g) in theirs for p, g in own)
-    assert kept >= len(own) - book.affected(marked, own)
+    taken = data.draw(st.integers(0, min(1, len(word) - at)))
+    put = data.draw(st.sampled_from(["", "a", "b"] if taken else ["a", "b"]))
+    theirs = set(book.decompose("^" + word[:at] + put + word[at + taken:] + "$"))
+    shift = len(put) - taken
+    lost = [i for i, (p, g) in enumerate(own) if (p, g) not in theirs and (p + shift, g) not in theirs]
+    bounds = book.affected(marked, own)
+    assert len(bounds) == 2 * len(word) + 1
+    low, high = bounds[2 * at + taken]
+    assert all(low <= i < high for i in lost)
+    apart = book.rarest_apart(marked, own)
+    assert apart is None or not set(apart) <= set(lost)
 
 
 HOSTILE = [(1, None), (2, ""), (None, "straße Straße STRAßE éclair Éclair ÉCLAIR naïve×naive"), (3, "漢字words 漢wordś"),

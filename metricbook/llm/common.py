@@ -21,10 +21,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a scratch folder only where it is unset (tests)."""
+    """The cluster's ``spark.checkpoint.dir``; a scratch folder only where it is unset and all runs in one process."""
     sc = spark.sparkContext
     folder = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not folder:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="corpus-ckpt-")
         sc.setCheckpointDir(folder)
     return folder
@@ -53,6 +55,8 @@ def with_row_identity(df: DataFrame) -> DataFrame:
 def named_rows(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """The given columns by their new names, and the row identity; no other column of ``df``, so none clashes."""
     chosen = [c.alias(name) for name, c in columns.items()]
+    if "_metadata" in df.columns:  # hides what Spark knows of the file
+        return named_rows(materialise(df.select(*chosen), "rows"), {name: F.col(name) for name in columns})
     try:
         return df.select(*chosen, F.xxhash64("_metadata.file_path").alias(ROW_FILE),
                          F.col("_metadata.row_index").alias(ROW_INDEX))
@@ -66,13 +70,13 @@ def words(text: Column) -> Column:
 
 
 def with_running_offset(df: DataFrame, keys: list[str], order: list[str], value: str, out: str,
-                        buckets: int = 4096) -> DataFrame:
+                        buckets: int = 4096, spread_by: list[str] | None = None) -> DataFrame:
     """Adds the sum of ``value`` over the rows that come before a row within its key.
 
-    The order is (hash bucket of ``order``, ``order``): every key is split into ``buckets`` windows,
+    The order is (hash bucket of ``spread_by`` or else ``order``, ``order``): every key is split into ``buckets`` windows,
     so a key with a third of all rows is spread out; only the bucket totals (keys x buckets rows)
     are summed per key. ``keys`` must not be null. Rows equal in ``order`` take any order."""
-    spread = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
+    spread = df.withColumn("_bucket", F.pmod(F.xxhash64(*(spread_by or order)), F.lit(buckets)).cast("int"))
     earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     base = (spread.groupBy(*keys, "_bucket").agg(F.sum(value).alias("_total"))
             .select(*keys, "_bucket", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_base")))

@@ -12,15 +12,17 @@ out run on Spark. A length that a third of all pieces share is ranked in hash bu
 
 Defined results: a null text is empty and packs as the single id 0; repeated rows are packed one by
 one; an empty table gives an empty result; only documents longer than ``capacity`` are cut; the
-strings of ``added`` tokens are ordinary text where none are given.
+strings of ``added`` tokens are ordinary text where none are given; a text with a run of white space that is too
+long for the quicker tokenizer's pattern gets its ids from the JSON tokenizer of the same vocabulary.
 """
 
 from __future__ import annotations
 
 import base64
 import json
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache, partial
 
 import numpy as np
@@ -33,6 +35,8 @@ from metricbook.llm.common import materialise, with_running_offset
 
 CAPACITY = 2048
 GROUPS = 384  # size groups of the large pieces
+LONG_RUN = 100_000
+_LONG_RUN = re.compile(rf"\s{{{LONG_RUN}}}")
 SMALL_SHARE = 8  # pieces of at most capacity / SMALL_SHARE tokens are small
 
 
@@ -53,6 +57,37 @@ def default_tokenizer() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def default_slow() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@lru_cache(maxsize=4)
+def _slow_tokenizer(path: str, plain: bool):
+    from tokenizers import Tokenizer
+
+    out = Tokenizer.from_file(path)
+    out.no_truncation()
+    out.no_padding()
+    out.encode_special_tokens = plain
+    return out
+
+
+def encoder(path: str, added: tuple[tuple[str, int], ...], slow: str | None) -> Callable[[str], list[int]]:
+    """Ids of a text. The rank file's pattern goes back step by step over a run of white space and gives up at
+    some hundred thousand; texts with such a run go to the JSON tokenizer ``slow``."""
+    bpe = tokenizer(path, added)
+    quick = partial(bpe.encode, allowed_special="all", disallowed_special=()) if added else bpe.encode_ordinary
+
+    def encode(text: str) -> list[int]:
+        if slow and len(text) >= LONG_RUN and _LONG_RUN.search(text):
+            return _slow_tokenizer(slow, not added).encode(text, add_special_tokens=False).ids
+        return quick(text)
+
+    return encode
+
+
 def default_added() -> dict[str, int]:
     """The added tokens (text: id) of the JSON tokenizer, which the rank file does not hold."""
     import public_tokenizers
@@ -65,10 +100,12 @@ def default_added() -> dict[str, int]:
 
 
 def pieces(docs: DataFrame, keep: list[str], text: str = "text", path: str | None = None,
-           capacity: int = CAPACITY, end_id: int = 0, added: dict[str, int] | None = None) -> DataFrame:
+           capacity: int = CAPACITY, end_id: int = 0, added: dict[str, int] | None = None, slow: str | None = None) -> DataFrame:
     """``keep`` columns, ``piece``, ``start``, ``length`` and ``ids_crc32`` of every piece.
 
-    ``added``: strings that are one token each wherever they stand in a text, and their ids."""
+    ``added``: strings that are one token each wherever they stand in a text, and their ids. ``slow``: the JSON
+    tokenizer of the vocabulary of ``path``, by default that of the default one."""
+    slow = slow or (default_slow() if path is None else None)
     path = path or default_tokenizer()
     special = tuple((added or {}).items())
     chosen = docs.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)], F.col(text).alias("_text"))
@@ -77,8 +114,7 @@ def pieces(docs: DataFrame, keep: list[str], text: str = "text", path: str | Non
         schema = schema.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = tokenizer(path, special)
-        encode = partial(bpe.encode, allowed_special="all", disallowed_special=()) if special else bpe.encode_ordinary
+        encode = encoder(path, special, slow)
         for batch in batches:
             rows: list[tuple[int, int, int, int, int]] = []
             for at, value in enumerate(batch.column("_text")):

@@ -3,10 +3,10 @@
 The words of each source, document after document, form one stream that is cut into blocks of
 ``block_words``. A source's target (its weight's share of all words, at most ``max_epochs`` times
 the source, the excess going to the others by weight) fixes how many slots of the output it fills.
-Each slot draws its output shard; given the size of a shard its source counts are therefore one
-multinomial draw with the target weights, while every source's total stays on its target. The slots
-of a source are numbered; the number gives the epoch and, through a pseudorandom permutation of the
-source's block indexes (one per epoch), the block. Slots meet blocks in one equi-join by index.
+First the source counts of each output shard are drawn, multinomial given every source's total, which stays
+on its target. A source's slots are then numbered shard after shard; the number gives the epoch and, through
+a pseudorandom permutation of the source's block indexes (one per epoch), the block. Slots meet blocks in one
+equi-join by index.
 
 Defined results: null and wordless texts have size 0 and are never taken; a null source is its own
 source, ranked last; repeated rows are separate documents; no rows or no words take nothing. Only
@@ -21,8 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from metricbook.llm.common import (ROW_FILE, ROW_INDEX, WORD, materialise, with_row_identity,
-                                   with_running_offset)
+from metricbook.llm.common import ROW_FILE, ROW_INDEX, WORD, materialise, named_rows, with_running_offset
 
 BLOCK_WORDS = 128
 SHARD_WORDS = 1 << 20
@@ -101,42 +100,59 @@ def _plan(per_source: DataFrame, block_words: int, seed: int) -> DataFrame:
         .drop("_end"))
 
 
+def draw_shards(plan: DataFrame, shards: int) -> DataFrame:
+    """The multinomial draw: how many of its slots each source (row of ``plan``) has in each output shard.
+
+    Every slot of a source draws a shard, so the counts of a source are multinomial over the shards, those of a
+    shard follow the target weights, and each source's sum stays on its target. (rank, shard, n)."""
+    chunks = plan.select("seed", "rank", "slots", F.explode(F.expr(
+        f"sequence(0L, (slots - 1) div {SLOTS_PER_CHUNK})")).alias("_chunk")).where("slots > 0")
+    # A fixed number of partitions: the few chunk rows look too small to deal out, their slots are not.
+    partitions = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    drawn = (chunks.repartition(partitions, "rank", "_chunk")
+             .withColumn("_draw", F.explode(F.expr(
+                 f"sequence(_chunk * {SLOTS_PER_CHUNK}, least(slots, (_chunk + 1) * {SLOTS_PER_CHUNK}) - 1)"))))
+    shard = F.pmod(F.xxhash64(F.lit("shard"), "seed", "rank", "_draw"), F.lit(shards))
+    return drawn.groupBy("rank", shard.alias("shard")).agg(F.count("*").alias("n"))
+
+
 def slots(per_source: DataFrame, block_words: int = BLOCK_WORDS, seed: int = SEED, shards: int = 1) -> DataFrame:
     """The mixture: one row per slot (``shard``, ``rank`` of the source, ``slot``, ``epoch``,
-    ``block``, ``take`` words from the block's start)."""
+    ``block``, ``take`` words from the block's start).
+
+    The counts of each shard are drawn first; a source's slots are then numbered shard after shard."""
     plan = _plan(per_source, block_words, seed)
-    chunks = plan.withColumn("_chunk", F.explode(F.expr(
-        f"sequence(0L, (slots - 1) div {SLOTS_PER_CHUNK})"))).where("slots > 0")
-    # A fixed number of partitions: the few chunk rows look too small to deal out, their slots are not.
+    counts = materialise(draw_shards(plan, shards), "mix-shards")
+    numbered = with_running_offset(counts, ["rank"], ["shard"], "n", "_first", buckets=64)
     partitions = int(per_source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = (chunks.repartition(partitions, "rank", "_chunk")
-            .withColumn("slot", F.explode(F.expr(
-                f"sequence(_chunk * {SLOTS_PER_CHUNK}, least(slots, (_chunk + 1) * {SLOTS_PER_CHUNK}) - 1)")))
+    rows = (numbered.repartition(partitions, "rank", "shard").join(plan, "rank")
+            .withColumn("slot", F.explode(F.expr("sequence(_first, _first + n - 1)")))
             .withColumn("epoch", F.expr("slot div blocks")).withColumn("_at", F.col("slot") % F.col("blocks")))
     rows = rows.withColumn("block", permuted("_at", "blocks", ["seed", "rank", "epoch"]))
     length = F.when(F.col("block") == F.col("blocks") - 1, F.col("last_len")).otherwise(F.lit(block_words))
     done = (F.col("_at") * block_words
             - F.when(F.col("_at") > F.col("short_at"), F.lit(block_words) - F.col("last_len")).otherwise(F.lit(0)))
     take = F.when(F.col("epoch") < F.col("epochs"), length).otherwise(F.least(length, F.col("rest") - done))
-    shard = F.pmod(F.xxhash64(F.lit("shard"), "seed", "rank", "slot"), F.lit(shards))
-    return rows.select(shard.alias("shard"), "rank", "slot", "epoch", "block", take.cast("long").alias("take"))
+    return rows.select("shard", "rank", "slot", "epoch", "block", take.cast("long").alias("take"))
 
 
 def shard_counts(mixture: DataFrame) -> DataFrame:
-    """The multinomial draw itself: slots of each source in each output shard."""
+    """Slots of each source in each output shard of a mixture."""
     return mixture.groupBy("shard", "rank").agg(F.count("*").alias("slots"))
 
 
-def _streams(docs: DataFrame, keep: list[str], text: str, source: str,
-             cycle: tuple[float, ...]) -> tuple[DataFrame, DataFrame]:
-    """Sized documents with their place (``rank``, ``start``) in their source's stream, and targets."""
-    kept = [f"_keep{i}" for i in range(len(keep))]
-    named = docs.select(*[F.col(c).alias(k) for c, k in zip(keep, kept)], F.col(text).alias("_text"),
-                        F.col(source).alias("_source"))
+def _streams(docs: DataFrame, keep: list[str], text: str, source: str, cycle: tuple[float, ...],
+             order: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Sized documents with their place (``rank``, ``start``) in their source's stream, and targets. The stream is
+    in the order of the columns ``order``, then of ``keep``."""
+    chosen = [*keep, *(order or [])]
+    kept = [f"_keep{i}" for i in range(len(chosen))]
+    named = docs.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(chosen, kept)], F.col(f"`{text}`").alias("_text"),
+                        F.col(f"`{source}`").alias("_source"))
     sized = materialise(sizes(named, kept, "_text", "_source"), "mix-sizes")
     goal = materialise(targets(sized, cycle), "mix-targets")
     placed = with_running_offset(sized.join(goal, sized.source.eqNullSafe(goal.source)).drop(sized.source),
-                                 ["rank"], [*kept, "size"], "size", "start")
+                                 ["rank"], [*kept[len(keep):], *kept[:len(keep)], "size"], "size", "start", spread_by=kept[len(keep):] or None)
     return materialise(placed, "mix-streams"), goal
 
 
@@ -157,14 +173,19 @@ def _taken_spans(placed: DataFrame, goal: DataFrame, block_words: int, seed: int
 
 def mix(docs: DataFrame, keep: list[str], text: str = "text", source: str = "source",
         cycle: tuple[float, ...] = CYCLE, block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
-    """Per document: ``keep`` columns, ``source``, ``size``, ``source_size``, ``target`` and ``taken``."""
+    """Per document: ``keep`` columns, ``source``, ``size``, ``source_size``, ``target``, ``taken`` and
+    ``shard_words``, the words that each output shard takes of it."""
     placed, goal = _streams(docs, keep, text, source, cycle)
-    taken = (_taken_spans(placed, goal, block_words, seed).groupBy("rank", "start")
-             .agg(F.sum(F.col("hi") - F.col("lo")).alias("_taken")))
+    taken = (_taken_spans(placed, goal, block_words, seed).groupBy("rank", "start", "shard")
+             .agg(F.sum(F.col("hi") - F.col("lo")).alias("words"))
+             .groupBy("rank", "start").agg(F.sum("words").alias("_taken"),
+                                           F.array_sort(F.collect_list(F.struct("shard", "words"))).alias("_shards")))
     return (placed.join(taken, ["rank", "start"], "left")
             .select(*[F.col(f"_keep{i}").alias(c) for i, c in enumerate(keep)], "source", "size", "source_size",
                     "target", F.when(F.col("size") > 0, F.coalesce("_taken", F.lit(0))).otherwise(F.lit(0))
-                    .cast("long").alias("taken")))
+                    .cast("long").alias("taken"),
+                    F.when((F.col("size") > 0) & F.col("_shards").isNotNull(), F.col("_shards"))
+                    .otherwise(F.array().cast("array<struct<shard:bigint,words:bigint>>")).alias("shard_words")))
 
 
 def mixed_documents(docs: DataFrame, text: str = "text", source: str = "source", n_chars: str | None = None,
@@ -172,9 +193,13 @@ def mixed_documents(docs: DataFrame, text: str = "text", source: str = "source",
     """The mixture as documents with the columns of ``docs``: one row per document and epoch that
     takes words of it, its text cut to those words (untouched where all are taken)."""
     columns = docs.columns
-    rows = with_row_identity(docs)
+    own = {c: f"_c{i}" for i, c in enumerate(columns)}  # input columns by names that nothing here uses
+    rows = named_rows(docs, {name: F.col(f"`{c}`") for c, name in own.items()})
     ids = [ROW_FILE, ROW_INDEX]
-    placed, goal = _streams(rows, ids, text, source, cycle)
+    # The streams are in an order of content, so that a rerun over other files takes the same words.
+    content = [name for c, name in own.items() if "map<" not in dict(docs.dtypes)[c] and dict(docs.dtypes)[c] != "variant"]
+    ordered = rows.withColumn("_o0", F.xxhash64(*content)).withColumn("_o1", F.xxhash64(F.lit(1), *content))
+    placed, goal = _streams(ordered, ids, own[text], own[source], cycle, ["_o0", "_o1"])
     spans = (_taken_spans(placed, goal, block_words, seed).groupBy("rank", "start", "epoch")
              .agg(F.array_sort(F.collect_list(F.struct((F.col("lo") - F.col("start") + 1).cast("int").alias("first"),
                                                        (F.col("hi") - F.col("lo")).cast("int").alias("n"))))
@@ -184,11 +209,12 @@ def mixed_documents(docs: DataFrame, text: str = "text", source: str = "source",
                .groupBy(*ids).agg(F.collect_list(F.when(F.col("_taken") < F.col("size"), F.col("_spans"))
                                                  .otherwise(F.array().cast(
                                                      "array<struct<first:int,n:int>>"))).alias("_copies")))
+    body = own[text]
     cut = rows.join(per_doc, ids).withColumn("_spans", F.explode("_copies"))
-    pieces = F.regexp_extract_all(F.col(text), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
+    pieces = F.regexp_extract_all(F.col(body), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
     taken_text = F.array_join(F.flatten(F.transform("_spans", lambda s: F.slice(pieces, s.first, s.n))), "")
-    cut = cut.withColumn(text, F.when(F.size("_spans") == 0, F.col(text)).otherwise(
+    cut = cut.withColumn(body, F.when(F.size("_spans") == 0, F.col(body)).otherwise(
         F.regexp_replace(taken_text, r"^[\x20\x09-\x0D]+", "")))
     if n_chars:
-        cut = cut.withColumn(n_chars, F.char_length(text).cast(docs.schema[n_chars].dataType))
-    return cut.select(*columns)
+        cut = cut.withColumn(own[n_chars], F.char_length(body).cast(docs.schema[n_chars].dataType))
+    return cut.select(*[F.col(name).alias(c) for c, name in own.items()])

@@ -150,6 +150,20 @@ def test_packing_edges(spark, bpe):
     assert packing.pack(packing.pieces(df.limit(0), ["doc_id"]), ["doc_id", "piece"]).count() == 0
 
 
+def test_packing_survives_long_runs(spark, tmp_path):
+    """Runs that the quicker tokenizer's pattern gives up on, with the ids of the JSON tokenizer."""
+    import public_tokenizers
+    t = Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
+    n = 2_000_000
+    texts = dict(enumerate([" " * n, "\n" * n, "x" * n, "漢" * (n // 4), "a" + " " * n + "<|endoftext|>" + "\t" * 150_000 + "b", "\u3000" * 150_000]))
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    exact = {k: t.encode(x, add_special_tokens=False).ids + [0] for k, x in texts.items()}
+    by_text = {x: exact[k] for k, x in texts.items()}
+    _check(Q.QUERIES["op5_packing"](spark, str(tmp_path)).collect(), texts, by_text.__getitem__)
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    _check(P.best_fit_packing(spark, docs, None).collect(), texts, by_text.__getitem__)
+
+
 def test_packing_emits_added_tokens(spark, tmp_path):
     """The query and the pipeline's stage against the JSON tokenizer as it comes."""
     import public_tokenizers

@@ -1,11 +1,14 @@
 """WARC archives through a chunked record table.
 
-Payloads become rows (record, chunk number, bytes) of at most ``chunk_bytes``, each with its own
-digest and the running SHA-1 of the payload up to its end, so no step holds more than a chunk beyond
-the row it was given. Every chunk is written as one record: the first as ``response``, later ones as
-``continuation`` segments of it. A record whose payload equals that of an earlier one (and has at
-least ``min_bytes``) is written as ``revisit`` without payload. Reading goes line by line through the
-files, takes each block by its Content-Length, and puts the digests together again chunk by chunk.
+Payloads become rows (record, chunk number, bytes) of at most ``chunk_bytes``, cut from the Arrow buffer they
+came in, each with its own digest and the running SHA-1 of the payload up to its end; no step holds more than
+a chunk beyond the row it was given. Every chunk is written as one record: the first as ``response``, later
+ones as ``continuation`` segments of it, and the last one carries the payload's digest, which is its running
+one. A record whose payload equals that of an earlier one (and has at least ``min_bytes``) is written as
+``revisit`` without payload. Reading goes line by line through the files, takes each block by its
+Content-Length, and carries one hash over the segments that follow one another: the payload digest returned
+is that of the bytes read, and a record is intact only if it is the stated one and no segment is missing,
+damaged or out of turn.
 
 Archives are gzip files written by Spark's text writer into a folder that all executors see; no
 payload passes the driver.
@@ -25,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from metricbook.llm.common import ROW_FILE, ROW_INDEX, materialise, shared_dir, with_row_identity
+from metricbook.llm.common import ROW_FILE, ROW_INDEX, materialise, named_rows, shared_dir, with_running_offset
 
 CHUNK_BYTES = 1 << 20
 
@@ -43,19 +46,24 @@ def payloads(pages: DataFrame, id_col: str = "page_id", payload: str = "html", m
     body = F.coalesce(F.col(payload), F.lit(""))
     facts = pages.select(ROW_FILE, ROW_INDEX, F.col(id_col).alias("id"), F.sha1(body).alias("sha1"),
                          F.octet_length(body).cast("long").alias("n_bytes"))
-    numbered = materialise(facts.withColumn("copy", F.row_number().over(
-        Window.partitionBy("id").orderBy(ROW_FILE, ROW_INDEX)) - 1), "warc-digests")
+    own = facts.where("id IS NOT NULL").withColumn("copy", F.row_number().over(
+        Window.partitionBy("id").orderBy(ROW_FILE, ROW_INDEX)) - 1)
+    # Rows without an id may be a large part of the table: numbered in buckets, not in one window.
+    bare = with_running_offset(facts.where("id IS NULL").withColumn("_one", F.lit(1)).withColumn("_none", F.lit(0)), ["_none"],
+                               [ROW_FILE, ROW_INDEX], "_one", "copy").select(*facts.columns, F.col("copy").cast("int").alias("copy"))
+    numbered = materialise(own.unionByName(bare), "warc-digests")
     place = F.struct(F.col("id").isNull().alias("z"), F.col("id").alias("id"), F.col("copy").alias("copy"))
     first = (numbered.where(F.col("n_bytes") >= min_bytes).groupBy("sha1").agg(F.min(place).alias("first"))
              .where("first IS NOT NULL"))
-    found = numbered.join(first, "sha1", "left")
+    # Written, so that the join is between plain exchanges and a payload that many share can be split.
+    found = numbered.join(materialise(first, "warc-first"), "sha1", "left")
     later = (F.col("n_bytes") >= min_bytes) & ~(F.col("first.id").eqNullSafe(F.col("id")) & (F.col("first.copy") == F.col("copy")))
     return found.select(ROW_FILE, ROW_INDEX, "id", "copy",
                         F.when(later, F.col("first.id")).alias("refers_to"),
                         F.when(later, F.col("first.copy")).alias("refers_copy"), later.alias("revisit"))
 
 
-def _cut(data: bytes, at: int, most: int) -> int:
+def _cut(data: memoryview, at: int, most: int) -> int:
     """End of the chunk that begins at ``at``: at most ``most`` bytes, not inside a character."""
     end = min(len(data), at + most)
     while at < end < len(data) and data[end] & 0xC0 == 0x80:
@@ -66,8 +74,8 @@ def _cut(data: bytes, at: int, most: int) -> int:
 def chunk_table(records: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Records (``id``, ``copy``, ``url``, ``refers_to``, ``refers_copy``, ``revisit``, ``payload``) as
     chunk rows; a revisit is one row without data."""
-    schema = ("id long, copy int, url string, refers_to long, refers_copy int, revisit boolean, chunk int, chunks int, "
-              "payload_bytes long, payload_digest string, running_digest string, chunk_digest string, data string")
+    schema = ("id long, copy int, url string, refers_to long, refers_copy int, revisit boolean, chunk int, segmented boolean, "
+              "last boolean, payload_bytes long, running_digest string, chunk_digest string, data string")
     names = [f.split()[0] for f in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,31 +85,28 @@ def chunk_table(records: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame
             rows: list[tuple] = []
             held = 0
             for at in range(batch.num_rows):
-                data = (payload[at].as_py() or "").encode()
+                data = memoryview(payload[at].as_buffer() if payload[at].is_valid else b"")
                 head = tuple(c[at].as_py() for c in columns)
-                whole = hashlib.sha1(data)
-                digest = base32(whole.digest())
-                if head[5]:
-                    rows.append((*head, 1, 1, len(data), digest, digest, base32(hashlib.sha1(b"").digest()), ""))
-                    continue
-                cuts = [0]
-                while cuts[-1] < len(data) or len(cuts) == 1:
-                    cuts.append(_cut(data, cuts[-1], chunk_bytes))
-                running = hashlib.sha1()
-                for i, (a, b) in enumerate(zip(cuts, cuts[1:]), 1):
-                    part = data[a:b]
+                running, chunk, end = hashlib.sha1(), 0, 0
+                while chunk == 0 or end < len(data):
+                    start, end, chunk = end, _cut(data, end, chunk_bytes), chunk + 1
+                    part = data[start:end]
                     running.update(part)
-                    rows.append((*head, i, len(cuts) - 1, len(data), digest, base32(running.digest()),
-                                 base32(hashlib.sha1(part).digest()), part.decode()))
-                    held += b - a
+                    if head[5]:  # a revisit: only its digest is wanted
+                        continue
+                    rows.append((*head, chunk, len(data) > chunk_bytes, end == len(data), len(data), base32(running.digest()),
+                                 base32(hashlib.sha1(part).digest()), str(part, "utf-8")))
+                    held += end - start
                     if held > 8 * chunk_bytes:
                         yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types)], names=names)
                         rows, held = [], 0
+                if head[5]:
+                    rows.append((*head, 1, False, True, len(data), base32(running.digest()), base32(hashlib.sha1().digest()), ""))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types)], names=names)
 
-    types = [pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.int32(), pa.int64(),
-             pa.string(), pa.string(), pa.string(), pa.string()]
+    types = [pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.bool_(), pa.bool_(), pa.int64(),
+             pa.string(), pa.string(), pa.string()]
     return records.select("id", "copy", "url", "refers_to", "refers_copy", "revisit", "payload").mapInArrow(run, schema)
 
 
@@ -120,7 +125,7 @@ def record_text(date: str) -> Column:
     def optional(when: Column, *lines: Column) -> Column:
         return F.when(when, F.concat(*lines)).otherwise(F.lit(""))
 
-    segmented, first = F.col("chunks") > 1, F.col("chunk") == 1
+    segmented, first = F.col("segmented"), F.col("chunk") == 1
     return F.concat(
         F.lit("WARC/1.1\r\n"),
         line("WARC-Type", F.when(~first, "continuation").when(F.col("revisit"), "revisit").otherwise("response")),
@@ -129,16 +134,16 @@ def record_text(date: str) -> Column:
         line("WARC-Target-URI", F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]", "%0A")),
         line("Content-Type", F.lit("text/html; charset=utf-8")),
         line("WARC-Block-Digest", F.concat(F.lit("sha1:"), F.col("chunk_digest"))),
-        optional(first, line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest")))),
+        optional(F.col("last"), line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("running_digest")))),
         optional(first & F.col("revisit"),
                  line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
                  line("WARC-Refers-To", _urn(F.col("refers_to"), F.col("refers_copy"))),
                  line("X-Payload-Length", F.col("payload_bytes").cast("string"))),
         optional(segmented, line("WARC-Segment-Number", F.col("chunk").cast("string"))),
         optional(~first, line("WARC-Segment-Origin-ID", _urn(F.col("id"), F.col("copy")))),
-        optional(segmented & (F.col("chunk") == F.col("chunks")),
+        optional(segmented & F.col("last"),
                  line("WARC-Segment-Total-Length", F.col("payload_bytes").cast("string"))),
-        line("X-Running-Digest", F.concat(F.lit("sha1:"), F.col("running_digest"))),
+        optional(segmented, line("X-Running-Digest", F.concat(F.lit("sha1:"), F.col("running_digest")))),
         line("Content-Length", F.octet_length("data").cast("string")),
         F.lit("\r\n"), F.col("data"), F.lit("\r\n\r"))
 
@@ -147,8 +152,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url: st
                    min_bytes: int = 0, chunk_bytes: int = CHUNK_BYTES, date: str = "2024-01-01T00:00:00Z") -> None:
     """One record per row of ``pages`` into gzip archives under ``path``. Chunks of a record follow
     one another: they come from one row and are not moved after that."""
-    rows = with_row_identity(pages).select(ROW_FILE, ROW_INDEX, F.col(id_col).cast("long").alias("page"),
-                                           F.col(url).alias("address"), F.col(payload).alias("body"))
+    rows = named_rows(pages, {"page": F.col(id_col).cast("long"), "address": F.col(url), "body": F.col(payload)})
     known = payloads(rows, "page", "body", min_bytes)
     # Only the facts of rows that are no plain first copy travel to the payloads. Written first, their
     # size is known to the join: while they are few, the payloads need not move.
@@ -162,14 +166,15 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url: st
 
 
 def _records(lines: Iterator[tuple[str, str]]) -> Iterator[dict]:
-    """Records of archives given as (file, line) in file order: headers, and the block's digest and
-    length taken line by line."""
+    """Records of archives given as (file, line) in file order: headers, the block's digest and length taken line
+    by line, the running digest over the segments of a record so far, and whether these followed one another."""
     name, head, need, digest, first = None, None, 0, None, True
+    origin, segment, running = None, 0, None
     for file, text in lines:
         if file != name:
             if head is not None:
                 raise ValueError(f"{name}: archive ends inside a record")
-            name, head, first, need = file, None, True, 0
+            name, head, first, need, origin, segment = file, None, True, 0, None, 0
         if head is None:
             if text in ("", "\r"):
                 continue
@@ -180,6 +185,12 @@ def _records(lines: Iterator[tuple[str, str]]) -> Iterator[dict]:
         if reading:
             if text == "\r":
                 reading, need, digest, first = False, int(head["content-length"]), hashlib.sha1(), True
+                number = int(head.get("warc-segment-number", 1))
+                goes_on = head.get("warc-type") == "continuation"
+                head["_unbroken"] = (head.get("warc-segment-origin-id") == origin and number == segment + 1) if goes_on else number == 1
+                if not goes_on or not head["_unbroken"]:
+                    running = hashlib.sha1()
+                origin, segment = head.get("warc-segment-origin-id" if goes_on else "warc-record-id"), number
                 head["_length"] = need
             else:
                 field, _, value = text.rstrip("\r").partition(": ")
@@ -189,12 +200,14 @@ def _records(lines: Iterator[tuple[str, str]]) -> Iterator[dict]:
         first = False
         if len(data) < need:
             digest.update(data)
+            running.update(data)
             need -= len(data)
             continue
         digest.update(data[:need])
+        running.update(data[:need])
         if data[need:] != b"\r":
             raise ValueError(f"{file}: a block does not end where its length says")
-        head["_digest"] = base32(digest.digest())
+        head["_digest"], head["_running"] = base32(digest.digest()), base32(running.digest())
         yield head
         head = None
     if head is not None:
@@ -202,8 +215,9 @@ def _records(lines: Iterator[tuple[str, str]]) -> Iterator[dict]:
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """One row per segment: ``id``, ``copy``, ``chunk``, ``type``, ``payload_bytes``, ``payload_digest``,
-    ``running_digest``, ``refers_to``, ``block_bytes``, ``block_digest`` (computed) and ``intact``."""
+    """One row per segment: ``id``, ``copy``, ``chunk``, ``type``, ``payload_bytes`` and ``payload_digest`` (as stated,
+    on the last segment), ``running_digest`` (of the bytes read so far), ``refers_to``, ``block_bytes``,
+    ``block_digest`` (of the bytes read) and ``intact`` (block as stated, segment in its turn)."""
     schema = ("id long, copy int, chunk int, type string, payload_bytes long, payload_digest string, "
               "running_digest string, refers_to long, block_bytes long, block_digest string, intact boolean")
     names = [f.split()[0] for f in schema.split(", ")]
@@ -228,9 +242,9 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 total = r["_length"]
             rows.append((page, copy, int(r.get("warc-segment-number", 1)), kind, None if total is None else int(total),
                          r.get("warc-payload-digest", "").removeprefix("sha1:") or None,
-                         r["x-running-digest"].removeprefix("sha1:"),
+                         r["_running"],
                          ident(r["warc-refers-to"])[0] if kind == "revisit" else None, r["_length"], r["_digest"],
-                         r["warc-block-digest"] == "sha1:" + r["_digest"]))
+                         r["warc-block-digest"] == "sha1:" + r["_digest"] and r["_unbroken"]))
             if len(rows) >= 10_000:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types)], names=names)
                 rows = []
@@ -243,19 +257,22 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """One row per page record: ``id``, ``copy``, ``payload_bytes``, ``payload_digest``, ``type``,
-    ``refers_to``, ``intact`` (every block matched its digest, and the lengths and the last running
-    digest those of the whole payload)."""
+    """One row per page record: ``id``, ``copy``, ``payload_bytes``, ``payload_digest`` (of the bytes read; of a revisit,
+    which has none, the stated one), ``type``, ``refers_to`` and ``intact``: all segments are there, in turn and as
+    their blocks' digests say, and the bytes read have the length and the digest stated for the payload."""
     segments = read_archives(spark, path)
     head = F.col("type") != "continuation"
-    last = F.max_by("running_digest", "chunk")
     whole = segments.groupBy("id", "copy").agg(
-        F.max("payload_bytes").alias("payload_bytes"), F.max(F.when(head, F.col("payload_digest"))).alias("payload_digest"),
-        F.max(F.when(head, F.col("type"))).alias("type"), F.max("refers_to").alias("refers_to"),
-        F.sum("block_bytes").alias("_read"), last.alias("_running"), F.min("intact").alias("_blocks"))
-    sound = F.col("_blocks") & (F.col("_running") == F.col("payload_digest")) & (
-        (F.col("type") == "revisit") | (F.col("_read") == F.col("payload_bytes")))
-    return whole.select("id", "copy", "payload_bytes", "payload_digest", "type", "refers_to", sound.alias("intact"))
+        F.max("payload_bytes").alias("payload_bytes"), F.max("payload_digest").alias("_stated"),
+        F.max(F.when(head, F.col("type"))).alias("type"), F.max("refers_to").alias("refers_to"), F.sum("block_bytes").alias("_read"),
+        F.max_by("running_digest", "chunk").alias("_running"), F.min("intact").alias("_blocks"),
+        ((F.max("chunk") == F.count("*")) & (F.count_if(head) == 1)).alias("_all"))
+    revisit = F.col("type") == "revisit"
+    sound = F.col("_blocks") & F.col("_all") & F.col("_stated").isNotNull() & (
+        revisit | ((F.col("_running") == F.col("_stated")) & (F.col("_read") == F.col("payload_bytes"))))
+    return whole.select("id", "copy", F.when(revisit, F.col("payload_bytes")).otherwise(F.col("_read")).alias("payload_bytes"),
+                        F.when(revisit, F.col("_stated")).otherwise(F.col("_running")).alias("payload_digest"), "type", "refers_to",
+                        F.coalesce(sound, F.lit(False)).alias("intact"))
 
 
 def archive_and_read(pages: DataFrame, id_col: str = "page_id", url: str = "url", payload: str = "html",

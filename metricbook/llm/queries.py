@@ -11,7 +11,7 @@ from metricbook.llm import (divergence, langid, mixing, packing, pii, qda, rules
                             warc, winnowing)
 from metricbook.llm.common import read, shared_dir
 
-POLICY = "v2"
+POLICY = "v3"
 PII_KEY = "corpus-surrogates-1"
 
 #: The listed urls of op3.
@@ -102,8 +102,13 @@ def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(read(spark, sf_dir, "documents"))
 
 
+def rule_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the policy costs, from the ledger's bits alone."""
+    return rules.ablations(rules.ledger(read(spark, sf_dir, "documents"), []), POLICY)
+
+
 QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_mixing, op3_url_filter, op4_quality, op5_packing, op6_warc,
-                                   op7_pii, op8_language, op9_quality_rules, op10_simhash, op11_variants,
+                                   op7_pii, op8_language, op9_quality_rules, rule_ablations, op10_simhash, op11_variants,
                                    op12_token_counts, op13_source_divergence)}
 
 _OP9 = r"""
@@ -129,14 +134,18 @@ WITH w AS (
            coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
            (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
            len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
-           coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
-    FROM w LEFT JOIN covered USING (doc_id)
+           coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(n_same, 0) AS n_same
+    FROM w LEFT JOIN covered USING (doc_id) LEFT JOIN (
+        SELECT doc_id, count(*) FILTER (word = before) AS n_same
+        FROM (SELECT doc_id, word, lag(word) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM spots) GROUP BY doc_id
+    ) USING (doc_id)
 ), b AS (
     SELECT *, (CASE WHEN n_words < 20 THEN 1 ELSE 0 END
              + CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END
              + CASE WHEN 4 * n_symbols > n_words THEN 4 ELSE 0 END
              + CASE WHEN n_lines >= 6 AND 2 * n_dup_lines > n_lines THEN 8 ELSE 0 END
              + CASE WHEN n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 20 * n_words) THEN 16 ELSE 0 END
+             + CASE WHEN 100 * n_same > 30 * n_words THEN 32 ELSE 0 END
              )::BIGINT AS failed_bits FROM m
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
@@ -211,4 +220,13 @@ WITH d AS (
 SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
 """
 
-ORACLE = {"op3_url_filter": _OP3, "op6_warc": _OP6, "op9_quality_rules": _OP9, "op13_source_divergence": _OP13}
+_OP9_ABLATIONS = f"""
+WITH l AS (SELECT failed_bits AS b FROM ({_OP9}))
+SELECT 'v3' AS policy, rule, count(*) FILTER (b & bit <> 0) AS docs_failing, count(*) FILTER (b = bit) AS docs_only_this,
+       count(*) FILTER (b & ~bit = 0) AS kept_without
+FROM l, (VALUES ('too_few_words', 1), ('repeated_words', 2), ('symbols', 4), ('duplicate_lines', 8), ('word_length', 16),
+                ('stutter', 32)) r(rule, bit)
+GROUP BY rule
+"""
+
+ORACLE = {"rule_ablations": _OP9_ABLATIONS, "op3_url_filter": _OP3, "op6_warc": _OP6, "op9_quality_rules": _OP9, "op13_source_divergence": _OP13}

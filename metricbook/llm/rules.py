@@ -37,6 +37,7 @@ RULES = (
     Rule(2, "symbols", lambda m: 4 * m.n_symbols > m.n_words),
     Rule(3, "duplicate_lines", lambda m: (m.n_lines >= 6) & (2 * m.n_dup_lines > m.n_lines)),
     Rule(4, "word_length", lambda m: (m.n_words > 0) & ((m.word_chars < 2 * m.n_words) | (m.word_chars > 20 * m.n_words))),
+    Rule(5, "stutter", lambda m: 100 * m.n_same_as_before > 30 * m.n_words),
 )
 
 #: Versioned policies: the rules whose failure rejects a document.
@@ -44,9 +45,10 @@ POLICIES = {
     "base": ("too_few_words", "repeated_words"),
     "v1": ("too_few_words", "repeated_words", "symbols", "duplicate_lines"),
     "v2": ("too_few_words", "repeated_words", "symbols", "duplicate_lines", "word_length"),
+    "v3": ("too_few_words", "repeated_words", "symbols", "duplicate_lines", "word_length", "stutter"),
 }
 
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_same_as_before")
 
 
 def policy_mask(policy: str) -> int:
@@ -79,12 +81,13 @@ def measured(text: Column) -> Column:
     t = F.coalesce(text, F.lit(""))
     lines = F.filter(F.split(t, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     line_counts = let(lines, lambda x: F.struct(F.size(x).alias("n"), (F.size(x) - F.size(F.array_distinct(x))).alias("dup")))
-    word_counts = let(words(text), lambda w: F.struct(F.size(w).alias("n"), _repeated_words(w).alias("again")))
+    word_counts = let(words(text), lambda w: F.struct(F.size(w).alias("n"), _repeated_words(w).alias("again"), F.aggregate(
+        zip_shifted(w, w, 1, lambda a, b: (a == b).cast("int")), F.lit(0), lambda x, y: x + y).alias("same")))
     raw = F.struct(word_counts.alias("w"), line_counts.alias("l"),
                    F.char_length(F.regexp_replace(t, SPACE + "+", "")).alias("chars"),
                    (F.char_length(t) - F.char_length(F.regexp_replace(t, "[#*$%&|<>]+", ""))).alias("symbols"))
     measures = let(raw, lambda x: F.struct(*[c.cast("long").alias(name) for name, c in zip(
-        MEASURES, (x.w.n, x.chars, x.symbols, x.l.n, x.l.dup, x.w.again))]))
+        MEASURES, (x.w.n, x.chars, x.symbols, x.l.n, x.l.dup, x.w.again, x.w.same))]))
 
     def with_bits(m: Column) -> Column:
         bits = [F.when(r.fails(m), F.lit(1 << r.bit)).otherwise(F.lit(0)) for r in RULES]

@@ -16,7 +16,7 @@ from oracle_harness import compare
 SF = "/root/testdata/sf0.001"
 LONG = " ".join(f"w{i % 997}" for i in range(30_000))
 TEXTS = [None, "", " \n\t", "one", "a b c d e f g h", " ".join("abcdefgh") * 4, "x y " * 40, "line one\nline one\nother\n\nline one",
-         "é à ü " * 10, "# $ % | < > & *", LONG, "A\x0bB\x0cC\x1fD\u00a0E", "same words here again " * 9]
+         "é à ü " * 10, "# $ % | < > & *", LONG, "A\x0bB\x0cC\x1fD\u00a0E", "same words here again " * 9, "This This This This thhant thhant thhant end " * 9]
 
 
 @pytest.mark.parametrize("name", sorted(Q.ORACLE))
@@ -31,7 +31,8 @@ def _measure(text):
     grams = [tuple(w[i:i + 8]) for i in range(len(w) - 7)]
     n = Counter(grams)
     covered = {p for i, g in enumerate(grams) if n[g] > 1 for p in range(i, i + 8)}
-    return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines), len(lines) - len(set(lines)), len(covered))
+    return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines), len(lines) - len(set(lines)), len(covered),
+            sum(a == b for a, b in zip(w, w[1:])))
 
 
 def test_measurements_by_hand(spark):
@@ -51,6 +52,13 @@ def test_ablations_follow_the_bits(spark):
     assert got == {"too_few_words": (3, 2, 4), "repeated_words": (2, 1, 3)}
 
 
+def test_stutter_is_rejected_from_v3_on(spark):
+    text = " ".join(f"{w} " * 6 for w in "This thhant ond reather as aning theour".split())
+    row = rules.ledger(spark.createDataFrame([(1, text)], "doc_id long, text string"), ["doc_id"])
+    got = row.select(*[rules.passes(p).alias(p) for p in ("base", "v1", "v2", "v3")]).first()
+    assert (got.base, got.v1, got.v2, got.v3) == (True, True, True, False)
+
+
 def test_clean_documents_are_kept(spark):
     led = Q.QUERIES["op9_quality_rules"](spark, "/root/testdata/sf0.1")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")

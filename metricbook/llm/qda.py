@@ -75,12 +75,12 @@ class Model:
     centre: np.ndarray
     scale: np.ndarray
     means: np.ndarray  # 2 x d
-    factors: np.ndarray  # 2 x d x d, lower triangular
+    factors: np.ndarray  # 2 x d x d, lower triangular: inverses of the Cholesky factors, formed once
     offset: float
 
     def score(self, x: np.ndarray) -> np.ndarray:
         z = (x - self.centre) / self.scale
-        half = [np.square(np.linalg.solve(self.factors[k], (z - self.means[k]).T)).sum(axis=0) / 2 for k in (0, 1)]
+        half = [np.square((z - self.means[k]) @ self.factors[k].T).sum(axis=1) / 2 for k in (0, 1)]
         return 1 / (1 + np.exp(-np.clip(half[0] - half[1] + self.offset, -500, 500)))
 
 
@@ -114,7 +114,8 @@ def fit(labelled: DataFrame, label: str = "quality") -> Model | None:
         near = (1 - TO_POOLED) * own[k] + TO_POOLED * pooled
         factors.append(np.linalg.cholesky((1 - TO_SPHERE) * near + TO_SPHERE * max(np.trace(near) / d, 1e-6) * np.eye(d)))
     logs = [np.log(np.diagonal(f)).sum() for f in factors]
-    return Model(centre, scale, means, np.array(factors), float(logs[0] - logs[1] + np.log(counts[1] / counts[0])))
+    inverses = np.array([np.tril(np.linalg.inv(f)) for f in factors])
+    return Model(centre, scale, means, inverses, float(logs[0] - logs[1] + np.log(counts[1] / counts[0])))
 
 
 def score(stats: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:

@@ -24,17 +24,21 @@ KEYS_PER_BLOCK = 16  # 16 bits of filter for each key
 BROADCAST_BLOCKS = 1 << 18  # blocks of some 50 bytes: the filter is broadcast up to about 13 MB
 
 
+def _lower(host: Column) -> Column:
+    """A-Z only, on both sides alike."""
+    return F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
 def with_host_and_path(pages: DataFrame, url: str = "url") -> DataFrame:
     rest = F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"(?s)^.*?://(.*)$", 1)
     return (pages.withColumn("_rest", rest)
-            .withColumn("host", F.translate(F.regexp_extract("_rest", r"(?s)^([^/?#]*)", 1),
-                                            "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+            .withColumn("host", _lower(F.regexp_extract("_rest", r"(?s)^([^/?#]*)", 1)))
             .withColumn("path", F.regexp_extract("_rest", r"(?s)^[^/?#]*([^?#]*)", 1)).drop("_rest"))
 
 
 def listed(entries: DataFrame) -> DataFrame:
     """Entries (``rule`` like ``host/path``, ``verdict``) as keys; blocking wins over allowing."""
-    host = F.lower(F.regexp_extract("rule", r"^([^/]*)", 1))
+    host = _lower(F.regexp_extract("rule", r"^([^/]*)", 1))
     return (entries.withColumn("key", F.concat(host, F.regexp_extract("rule", r"^[^/]*(.*)$", 1)))
             .groupBy("key").agg(F.max("verdict").alias("verdict"), F.min("rule").alias("rule"))
             .withColumn("key_host", F.regexp_extract("key", r"^([^/]*)", 1)))

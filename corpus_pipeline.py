@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metricbook.llm import mixing, packing, pii, rules, simhash
-from metricbook.llm.common import ROW_FILE, ROW_INDEX, read, shared_dir, with_row_identity
+from metricbook.llm.common import ROW_FILE, ROW_INDEX, named_rows, read, shared_dir
 from metricbook.llm.queries import PII_KEY, POLICY
 
 SHINGLE_WORDS, MAX_BITS = 4, 4
@@ -23,12 +23,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the smallest doc_id, of repeated ids one row (a null id
     only where no document of the group has one)."""
-    rows = with_row_identity(docs)
-    ids = [ROW_FILE, ROW_INDEX]
-    groups = simhash.near_duplicates(rows, "doc_id", ["doc_id", *ids], shingle_words=SHINGLE_WORDS, max_bits=MAX_BITS)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", *ids)).alias("f")
+    own = {c: f"_c{i}" for i, c in enumerate(docs.columns)}  # no name of the input clashes
+    rows = named_rows(docs, {name: F.col(f"`{c}`") for c, name in own.items()})
+    key, ids = own["doc_id"], [ROW_FILE, ROW_INDEX]
+    groups = simhash.near_duplicates(rows, key, [key, *ids], own["text"], SHINGLE_WORDS, MAX_BITS)
+    first = F.min(F.struct(F.col(key).isNull().alias("z"), F.col(key), *ids)).alias("f")
     chosen = groups.groupBy("component_fp").agg(first).select(*[F.col(f"f.{c}").alias(c) for c in ids])
-    return rows.join(chosen, ids, "left_semi").select(*docs.columns)
+    return rows.join(chosen, ids, "left_semi").select(*[F.col(name).alias(c) for c, name in own.items()])
 
 
 def pii_surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

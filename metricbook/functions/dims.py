@@ -12,6 +12,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MAP_TYPE = "map<string,string>"
+#: A string (kept), or a number's fraction without the zeros at its end.
+_STRING_OR_FRACTION = r'("(?:[^"\\]|\\.)*")|(?<=\d)(\.\d*[1-9])0+(?![\d.eE])|(?<=\d)()\.0+(?![\d.eE])'
 
 
 def _col(c) -> Column:
@@ -34,7 +36,8 @@ def from_columns(names: list[str] | tuple[str, ...], alias: dict[str, str] | Non
 def entries(json_text) -> Column:
     """Sorted (key, value) entries of a JSON object, null values removed; parses the text once.
 
-    A repeated key keeps its last value, as a JSON parser does.  Not-an-object
+    A repeated key keeps its last value, as a JSON parser does.  Values that are objects
+    or arrays are canonical at every depth (:func:`_nested`).  Not-an-object
     or unparsable text gives NULL.  Put it in a column of its own when several
     of the functions below are applied to one row.
     """
@@ -43,7 +46,16 @@ def entries(json_text) -> Column:
                         & e.value.isNotNull())
     parsed = F.map_entries(F.from_json(_col(json_text), MAP_TYPE))
     # transform over a one-element array: the parsed entries are used several times but computed once
-    return F.array_sort(F.element_at(F.transform(F.array(parsed), last_of_each), 1))
+    found = F.element_at(F.transform(F.array(parsed), last_of_each), 1)
+    return F.array_sort(F.transform(found, lambda e: F.struct(e.key.alias("key"), _nested(e.value).alias("value"))))
+
+
+def _nested(value: Column) -> Column:
+    """One spelling of an object or array: keys sorted at every depth, arrays in their order, numbers written
+    alike, no blanks. Other values as they are, also texts that only begin like JSON."""
+    # A variant keeps the keys of its objects in order; fractions keep no zeros at their end.
+    spelled = F.regexp_replace(F.to_json(F.try_parse_json(value)), _STRING_OR_FRACTION, "$1$2$3")
+    return F.when(value.rlike(r"^\s*[{\[]"), F.coalesce(spelled, value)).otherwise(value)
 
 
 def canonical_of(e: Column) -> Column:

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from metricbook.functions import cycles, dims as D
@@ -122,9 +122,7 @@ def run_checks(spark: SparkSession, checks: list[Check]) -> DataFrame:
         parts.append(counted.select(F.inline(F.array(*[
             F.struct(F.lit(c.name).alias("check"), F.lit(c.severity).alias("severity"), F.col(f"__{i}").alias("failures"))
             for i, c in enumerate(group)]))))
-    out = reduce(DataFrame.unionByName, parts)
-    return out.withColumn("status", F.when(F.col("failures") == 0, "pass")
-                          .when(F.col("severity") == "warn", "warn").otherwise("fail"))
+    return _status(reduce(DataFrame.unionByName, parts))
 
 
 #: Accepted values of well-known dimension keys, and of the cycle column.
@@ -154,3 +152,72 @@ def repository_checks(repo: DataFrame, glossary: DataFrame, countries: DataFrame
         Check("fresh_week", rows=lambda: freshness(repo, "week", anchor), severity="warn"),
         Check("fresh_month", rows=lambda: freshness(repo, "month", anchor))]
     return checks
+
+
+def _status(out: DataFrame) -> DataFrame:
+    return out.withColumn("status", F.when(F.col("failures") == 0, "pass")
+                          .when(F.col("severity") == "warn", "warn").otherwise("fail"))
+
+
+def repository_suite(repo: DataFrame, glossary: DataFrame, countries: DataFrame | None, anchor) -> DataFrame:
+    """The result of ``run_checks`` over :func:`repository_checks`, from one evaluation of ``repo``.
+
+    Each row is taken apart into what the checks group by (its id, coordinates, indicator with dimension keys,
+    indicator, country) and one entry for the row-level conditions; a single grouped count over these entries,
+    combined map-side, feeds all checks. What must occur in a reference is looked up on the grouped keys."""
+    checks = repository_checks(repo, glossary, countries, anchor)
+    row_level = [c for c in checks if c.rows is None]
+    fresh = {f"fresh_{p}": (F.col("cycle") == p) & (F.col("cycle_timestamp") == cycles.ntz(cycles.last_complete(p, anchor)))
+             for p in ("week", "month")}
+
+    def entry(kind: str, key: Column) -> Column:
+        flags = [(c.failing if kind == "row" else F.lit(False)).alias(c.name) for c in row_level]
+        states = [(v if kind == "shape" else F.lit(False)).alias(k) for k, v in fresh.items()]
+        return F.struct(F.lit(kind).alias("kind"), key.cast("string").alias("key"), *flags, *states)
+
+    entries = [entry("row", F.lit(None)), entry("id", F.col("id")), entry("indicator", F.col("indicator")),
+               entry("coordinates", F.to_json(F.struct("indicator", "dimensions", "cycle", "cycle_timestamp"))),
+               entry("shape", F.to_json(F.struct("indicator", D.keys("dimensions").alias("keys"))))]
+    if countries is not None:
+        country = D.get_key("dimensions", "country")
+        entries.append(F.when(country.isNotNull(), entry("country", country)))
+    known = glossary.select(F.lit("indicator").alias("kind"), F.col("indicator").alias("key"))
+    if countries is not None:
+        known = known.unionByName(countries.select(F.lit("country").alias("kind"), F.col("alpha_2").cast("string").alias("key"))) \
+            .unionByName(repo.sparkSession.createDataFrame([("country", "XX")], "kind string, key string"))
+    known = known.where("key IS NOT NULL").distinct().withColumn("__known", F.lit(True))
+    grouped = (repo.select(F.inline(F.filter(F.array(*entries), lambda x: x.isNotNull()))).groupBy("kind", "key")
+               .agg(F.count("*").alias("n"), *[F.count_if(c.name).alias(c.name) for c in row_level],
+                    *[F.max(F.coalesce(F.col(k), F.lit(False))).alias(k) for k in fresh])
+               .join(known, ["kind", "key"], "left"))
+    unknown = F.col("__known").isNull()
+    failures = {c.name: F.sum(c.name) for c in row_level} | {
+        "indicator_in_glossary": F.sum(F.when((F.col("kind") == "indicator") & unknown, F.col("n"))),
+        "dimension_country_accepted": F.sum(F.when((F.col("kind") == "country") & unknown, F.col("n"))),
+        "id_unique": F.count_if((F.col("kind") == "id") & (F.col("n") > 1) & F.col("key").isNotNull()),
+        "id_combination_unique": F.count_if((F.col("kind") == "id") & (F.col("n") > 1)),
+        "coordinates_unique": F.count_if((F.col("kind") == "coordinates") & (F.col("n") > 1))} | {
+        k: F.count_if((F.col("kind") == "shape") & ~F.col(k)) for k in fresh}
+    wide = grouped.agg(*[F.coalesce(failures[c.name], F.lit(0)).cast("long").alias(f"__{i}") for i, c in enumerate(checks)])
+    return _status(wide.select(F.inline(F.array(*[
+        F.struct(F.lit(c.name).alias("check"), F.lit(c.severity).alias("severity"), F.col(f"__{i}").alias("failures"))
+        for i, c in enumerate(checks)]))))
+
+
+def observed(df: DataFrame, checks: list[Check]) -> tuple[DataFrame, Callable[[], list[tuple[str, str, int, str]]]]:
+    """``df``, and a function that gives the results (check, severity, failures, status) of its row-level
+    ``checks`` once it has been written: they are counted while the rows pass by, without a second scan."""
+    if any(c.rows is not None for c in checks):
+        raise ValueError("only conditions on rows can be counted in passing")
+    live = [c for c in checks if c.enabled]
+    if not live:
+        return df, list
+    watch = Observation()
+    out = df.observe(watch, *[F.count_if(F.coalesce(c.failing, F.lit(False))).alias(c.name) for c in live])
+
+    def results() -> list[tuple[str, str, int, str]]:
+        counts = watch.get
+        return [(c.name, c.severity, counts[c.name], "pass" if not counts[c.name] else "warn" if c.severity == "warn" else "fail")
+                for c in live]
+
+    return out, results

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import datetime as dt
 
 from pyspark.sql import DataFrame, Window
@@ -114,6 +116,62 @@ def fixed_date_holidays(spark, country: str, rules: list[tuple[int, int, str]],
                         F.col("r.holiday").alias("holiday"))
 
 
+WEEKDAYS = ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")
+
+
+@dataclass(frozen=True)
+class HolidayRule:
+    """When a holiday is, in every year: a fixed ``month`` and ``day``; the ``nth`` ``weekday`` of a month (-1: the last);
+    or Easter Sunday (neither). ``offset`` days are added, and the result is never before ``not_before`` (month, day)."""
+
+    country: str
+    holiday: str
+    month: int | None = None
+    day: int | None = None
+    nth: int | None = None
+    weekday: str | None = None
+    offset: int = 0
+    not_before: tuple[int, int] | None = None
+
+    def __post_init__(self):
+        if self.nth is not None and (self.month is None or self.weekday not in WEEKDAYS or self.nth not in (-1, 1, 2, 3, 4)):
+            raise ValueError(f"{self.holiday}: the nth weekday needs a month, a weekday of {WEEKDAYS} and -1 or 1 to 4")
+        if self.nth is None and (self.month is None) != (self.day is None):
+            raise ValueError(f"{self.holiday}: a fixed date needs month and day")
+
+    def date(self, year: Column) -> Column:
+        if self.nth is not None:
+            first = F.make_date(year, F.lit(self.month), F.lit(1))
+            # The first such weekday after the day before the month, or after the eighth day from its end.
+            found = (F.date_add(F.next_day(F.date_sub(first, 1), self.weekday), 7 * (self.nth - 1)) if self.nth > 0
+                     else F.next_day(F.date_sub(F.last_day(first), 7), self.weekday))
+        else:
+            found = easter_sunday(year) if self.month is None else F.make_date(year, F.lit(self.month), F.lit(self.day))
+        found = F.date_add(found, self.offset)
+        if self.not_before is not None:
+            found = F.greatest(found, F.make_date(year, *map(F.lit, self.not_before)))
+        return found
+
+
+def easter_sunday(year: Column) -> Column:
+    """Easter Sunday of the Gregorian calendar: the Sunday after the first full moon (by the church's table) from
+    21 March on. ``moon``: days from 21 March to that full moon, from the year's place in the 19-year moon cycle
+    and the leap days and moon corrections of its century."""
+    golden, century = year % 19, F.floor(year / 100).cast("int")
+    skipped = century - F.floor(century / 4).cast("int")
+    corrected = F.floor((8 * century + 13) / 25).cast("int")
+    raw = F.pmod(19 * golden + skipped - corrected + 15, F.lit(30))
+    moon = raw - F.when((raw == 29) | ((raw == 28) & (golden > 10)), 1).otherwise(0)
+    return F.next_day(F.date_add(F.make_date(year, F.lit(3), F.lit(21)), moon.cast("int")), "Sun")
+
+
+def holidays_by_rule(spark, rules: list[HolidayRule], first_year: int, last_year: int) -> DataFrame:
+    """``country, date, holiday`` of every rule and year: one row each, computed from a range of years."""
+    years = spark.range(first_year, last_year + 1).select(F.col("id").cast("int").alias("y"))
+    return years.select(F.inline(F.array(*[F.struct(F.lit(r.country).alias("country"), r.date(F.col("y")).alias("date"),
+                                                    F.lit(r.holiday).alias("holiday")) for r in rules])))
+
+
 def holiday_flag(daily: DataFrame, holidays: DataFrame, default_country: str | None = None,
                  key: str = "country") -> DataFrame:
     """Flag daily KPI rows falling on a holiday of their ``country`` dimension (or a default country)."""

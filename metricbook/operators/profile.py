@@ -7,6 +7,7 @@ Column rows come from each DataFrame's schema; the keys found inside the
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,10 +58,14 @@ def profile_tables(spark: SparkSession, tables: dict[str, DataFrame], table_type
     table whose ``dimensions`` are no objects gets an error row in place of keys.
     """
     tables = {t.lower(): df for t, df in tables.items() if t.lower().startswith(name_prefix.lower())}
+    return _profile(spark, {t: (df, table_type) for t, df in tables.items()}, countries)
+
+
+def _profile(spark: SparkSession, tables: dict[str, tuple[DataFrame, str]], countries: DataFrame | None) -> DataFrame:
     rows = [(t, table_type, i, f.name.lower(), f.dataType.simpleString(), *_suggest(t, f.name.lower()))
-            for t, df in sorted(tables.items()) for i, f in enumerate(df.schema.fields, 1)]
+            for t, (df, table_type) in sorted(tables.items(), key=lambda x: x[0]) for i, f in enumerate(df.schema.fields, 1)]
     out = spark.createDataFrame(rows, PROFILE_SCHEMA)
-    for t, df in tables.items():
+    for t, (df, table_type) in tables.items():
         fields = {f.name.lower(): f for f in df.schema.fields}
         if "dimensions" not in fields:
             continue
@@ -84,3 +89,27 @@ def profile_tables(spark: SparkSession, tables: dict[str, DataFrame], table_type
             F.when(known, F.concat(F.lit("json_key_accepted_values("), "k", F.lit(": "), accepted, F.lit(")")))
             .alias("suggested_check")))
     return out
+
+
+def profile_catalog(spark: SparkSession, schema: str | None = None, name_prefix: str = "",
+                    countries: DataFrame | None = None) -> DataFrame:
+    """The profile of the tables and views that the session's catalog lists in ``schema`` (its current one by
+    default, with temporary views), as :func:`profile_tables` gives it.
+
+    Tables come from ``spark.catalog`` with their own type (base table, view, temporary view), columns in order.
+    A table that cannot be read gives one row that says so; the others are not affected. The driver holds one
+    entry per table and column, as the catalog does."""
+    kinds = {"MANAGED": "base table", "EXTERNAL": "external table", "VIEW": "view", "TEMPORARY": "temporary view"}
+    listed = spark.catalog.listTables(schema) if schema else spark.catalog.listTables()
+    found, errors = {}, []
+    for table in sorted(listed, key=lambda t: t.name.lower()):
+        if not table.name.lower().startswith(name_prefix.lower()):
+            continue
+        parts = [table.name] if table.isTemporary else [*(table.namespace or []), table.name]
+        kind = kinds.get(table.tableType, "base table")
+        try:
+            found[table.name.lower()] = (spark.table(".".join(f"`{p}`" for p in parts)), kind)
+        except AnalysisException as e:
+            errors.append((table.name.lower(), kind, None, None, None, f"Error reading the table: {e.getCondition() or 'unknown'}", None))
+    out = _profile(spark, found, countries)
+    return out.unionByName(spark.createDataFrame(errors, PROFILE_SCHEMA)) if errors else out

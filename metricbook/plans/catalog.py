@@ -212,38 +212,62 @@ register("upsert_delete_insert", _upsert, f"""
 # ---------------------------------------------------------------- stage 7: profile and downstream jobs
 def _profile(spark, base):
     from metricbook.operators.profile import profile_tables
-    return profile_tables(spark, {"kpi__repository": TD.modules(spark, base)["orders_module"],
+    return profile_tables(spark, {"kpi__repository": TD.repository(spark, base, "week"),
                                   "KPI_Events": TD.events_module(spark, base, "day"),
                                   "kpi__geo": TD.orders_geo_module(spark, base, "month"),
                                   "other": TD.events_module(spark, base, "day")}, name_prefix="KPI_")
 
 
 def _profile_sql():
-    id_ = "primary_key; unique_combination_of_columns(id)"
-    columns = [("indicator", "string", "", None), ("dimensions", "string", "Measurement dimensional coordinates", "not_null"),
-               ("cycle", "string", "Reporting time period", "not_null; accepted_values(minute, hour, day, week, month, year)"),
-               ("cycle_timestamp", "timestamp_ntz", "Timestamp associated with the reporting time period start time", "not_null"),
-               ("value", "decimal(18,4)", "Metric measurement value observed at the reporting period.", "not_null"),
-               ("id", "string", "Unique record identifier", id_)]
-    tables = {"kpi__repository": O.orders_module("week"), "kpi_events": O.events_module("day"),
-              "kpi__geo": O.orders_geo_module("month")}
-    rows = ", ".join(f"({i}, {O.q(c)}, {O.q(t)}, {O.q(d)}, {'NULL' if k is None else O.q(k)})"
-                     for i, (c, t, d, k) in enumerate(columns, 1))
-    parts = [f"""SELECT '{name}' AS table_name, 'base table' AS table_type, position, column_name, data_type, description,
+    columns = _MODULE_COLUMNS
+    whole = [("_source_relation", "string", "", None), ("indicator", "string", "", None)] + columns[1:]
+    return _profile_rows({"kpi__repository": (O.repository(_mods_sql("week")), whole), "kpi_events": (O.events_module("day"), columns),
+                          "kpi__geo": (O.orders_geo_module("month"), columns)}, "base table")
+
+
+def _profile_rows(tables, table_type):
+    parts = []
+    for name, (sql, columns) in tables.items():
+        rows = ", ".join(f"({i}, {O.q(c)}, {O.q(t)}, {O.q(d)}, {'NULL' if k is None else O.q(k)})"
+                         for i, (c, t, d, k) in enumerate(columns, 1))
+        parts.append(f"""SELECT '{name}' AS table_name, '{table_type}' AS table_type, position, column_name, data_type, description,
                         suggested_check
                  FROM (VALUES {rows}) v(position, column_name, data_type, description, suggested_check)
                  UNION ALL
-                 SELECT DISTINCT '{name}', 'base table', CAST(NULL AS INTEGER), 'dimensions:' || k, 'string',
+                 SELECT DISTINCT '{name}', '{table_type}', CAST(NULL AS INTEGER), 'dimensions:' || k, 'string',
                         'dimension key ' || k, CASE k WHEN 'geo' THEN 'json_key_accepted_values(geo: US, ROW)' END
-                 FROM (SELECT unnest(json_keys(dimensions)) AS k FROM ({sql}) m) u""" for name, sql in tables.items()]
+                 FROM (SELECT unnest(json_keys(dimensions)) AS k FROM ({sql}) m) u""")
     return " UNION ALL ".join(parts)
 
 
+def _catalog_profile(spark, base):
+    """What the session's catalog lists, here temporary views of modules over the given tables."""
+    from metricbook.operators.profile import profile_catalog
+    views = {"KPI__catalog_orders": TD.orders_module(spark, base, "week"), "kpi__catalog_events": TD.events_module(spark, base, "day"),
+             "kpi__catalog_geo": TD.orders_geo_module(spark, base, "month"), "another_catalog": TD.events_module(spark, base, "day")}
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    try:
+        return profile_catalog(spark, name_prefix="kpi__CATALOG_")
+    finally:
+        for name in views:
+            spark.catalog.dropTempView(name)
+
+
+_MODULE_COLUMNS = [
+    ("indicator", "string", "", None), ("dimensions", "string", "Measurement dimensional coordinates", "not_null"),
+    ("cycle", "string", "Reporting time period", "not_null; accepted_values(minute, hour, day, week, month, year)"),
+    ("cycle_timestamp", "timestamp_ntz", "Timestamp associated with the reporting time period start time", "not_null"),
+    ("value", "decimal(18,4)", "Metric measurement value observed at the reporting period.", "not_null"),
+    ("id", "string", "Unique record identifier", "primary_key; unique_combination_of_columns(id)")]
 register("table_profile", _profile, _profile_sql())
+register("catalog_profile", _catalog_profile, _profile_rows(
+    {"kpi__catalog_orders": (O.orders_module("week"), _MODULE_COLUMNS), "kpi__catalog_events": (O.events_module("day"), _MODULE_COLUMNS),
+     "kpi__catalog_geo": (O.orders_geo_module("month"), _MODULE_COLUMNS)}, "temporary view"))
 
 
 def _profile_repository(spark, base):
-    """The weekly repository of both modules; ``table_profile`` has the orders module under that name."""
+    """The weekly repository of both modules by itself."""
     from metricbook.operators.profile import profile_tables
     return profile_tables(spark, {"kpi__repository": TD.repository(spark, base, "week")})
 
@@ -398,6 +422,46 @@ def _holiday(spark, base):
     return holiday_flag(TD.orders_module(spark, base, "day"), hol, default_country="US")
 
 
+def _movable_rules():
+    from metricbook.operators.insights import HolidayRule
+    return [HolidayRule("US", "Good Friday", offset=-2), HolidayRule("US", "Easter Monday", offset=1),
+            HolidayRule("US", "Super Bowl Sunday", 2, nth=1, weekday="Sun"), HolidayRule("US", "Memorial Day", 5, nth=-1, weekday="Mon"),
+            HolidayRule("US", "Thanksgiving", 11, nth=4, weekday="Thu"), HolidayRule("US", "Black Friday", 11, nth=4, weekday="Thu", offset=1),
+            HolidayRule("US", "Oktoberfest (End Date)", 10, nth=1, weekday="Sun", not_before=(10, 3)),
+            HolidayRule("US", "New Year's Day", 1, 1)]
+
+
+def _holiday_movable(spark, base):
+    from metricbook.operators.insights import holiday_flag, holidays_by_rule
+    days = holidays_by_rule(spark, _movable_rules(), TD.SPINE_START.year, TD.AS_OF.year)
+    return holiday_flag(TD.orders_module(spark, base, "day"), days, default_country="US")
+
+
+def _holiday_movable_sql():
+    """Easter by Gauss's rule with its constants for 1900 to 2099, weekdays by numbering the days of a month."""
+    return f"""
+    WITH y AS (SELECT unnest(range({TD.SPINE_START.year}, {TD.AS_OF.year + 1})) AS y),
+    g AS (SELECT y, (19 * (y % 19) + 24) % 30 AS d, (2 * (y % 4) + 4 * (y % 7) + 6 * ((19 * (y % 19) + 24) % 30) + 5) % 7 AS e FROM y),
+    easter AS (SELECT make_date(y, 3, 22) + CAST(d + e - CASE WHEN d = 29 AND e = 6 OR d = 28 AND e = 6 AND y % 19 > 10
+                                                              THEN 7 ELSE 0 END AS INTEGER) AS s FROM g),
+    days AS (SELECT CAST(unnest(range(make_date(min(y), 1, 1), make_date(max(y) + 1, 1, 1), INTERVAL 1 DAY)) AS DATE) AS d FROM y),
+    n AS (SELECT d, month(d) AS m, isodow(d) AS w, row_number() OVER p AS nth, count(*) OVER (PARTITION BY year(d), month(d), isodow(d)) AS times
+          FROM days WINDOW p AS (PARTITION BY year(d), month(d), isodow(d) ORDER BY d)),
+    hol AS (SELECT s - 2 AS date, 'Good Friday' AS holiday FROM easter UNION ALL SELECT s + 1, 'Easter Monday' FROM easter
+            UNION ALL SELECT d, 'Super Bowl Sunday' FROM n WHERE m = 2 AND w = 7 AND nth = 1
+            UNION ALL SELECT d, 'Memorial Day' FROM n WHERE m = 5 AND w = 1 AND nth = times
+            UNION ALL SELECT d, 'Thanksgiving' FROM n WHERE m = 11 AND w = 4 AND nth = 4
+            UNION ALL SELECT d + 1, 'Black Friday' FROM n WHERE m = 11 AND w = 4 AND nth = 4
+            UNION ALL SELECT greatest(d, make_date(year(d), 10, 3)), 'Oktoberfest (End Date)' FROM n WHERE m = 10 AND w = 7 AND nth = 1
+            UNION ALL SELECT make_date(y, 1, 1), 'New Year''s Day' FROM y),
+    hh AS (SELECT date, array_to_string(list_sort(list(DISTINCT holiday)), ', ') AS holiday FROM hol GROUP BY date)
+    SELECT m.*, hh.holiday IS NOT NULL AS is_holiday, hh.holiday
+    FROM ({O.orders_module('day')}) m LEFT JOIN hh ON CAST(m.cycle_timestamp AS DATE) = hh.date"""
+
+
+register("holiday_flag_movable", _holiday_movable, _holiday_movable_sql())
+
+
 def _holiday_sql():
     rules = ", ".join(f"({m}, {d}, {O.q(n)})" for m, d, n in US_FIXED_HOLIDAYS)
     return f"""
@@ -570,11 +634,10 @@ def _suite_modules(spark, base):
 
 
 def _suite(spark, base):
-    from metricbook.operators.checks import repository_checks, run_checks
+    from metricbook.operators.checks import repository_suite
     from metricbook.sources.tables import read_table
     countries = read_table(spark, base, "nation", ["n_name"]).withColumnRenamed("n_name", "alpha_2")
-    return run_checks(spark, repository_checks(_suite_modules(spark, base), TD.glossary(spark).where("indicator <> 'ORDERS'"),
-                                               countries, TD.ANCHOR))
+    return repository_suite(_suite_modules(spark, base), TD.glossary(spark).where("indicator <> 'ORDERS'"), countries, TD.ANCHOR)
 
 
 def _suite_sql():

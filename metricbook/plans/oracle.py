@@ -186,7 +186,8 @@ def only_clause(period: str, starts) -> str:
 
 def report(repo_sql: str, period: str = "week", anchor=None, aop_sql: str | None = None,
            aop_scope: str = "all", plan_anchor=TD.ANCHOR) -> str:
-    """Prior year by lookup: per emitted row a correlated ``arg_max`` over the series one year back."""
+    """Prior year by lookup: weeks through (year, ISO week) of the latest such period, others through the day a
+    year back. Repository and series are computed once (MATERIALIZED), so that daily reports end within seconds."""
     emitted = f"WHERE {only_clause(period, [last_complete(period, anchor)])}" if anchor is not None else ""
     plan = "CAST(NULL AS DECIMAL(18,8))"
     if aop_sql is not None:
@@ -197,21 +198,22 @@ def report(repo_sql: str, period: str = "week", anchor=None, aop_sql: str | None
                 f"AND {canon('t.dimensions')} = e.dimensions AND t.cycle = e.cycle "
                 f"AND CAST(t.cycle_timestamp AS TIMESTAMP) = e.cycle_timestamp{scope})")
     series = "p.indicator = e.indicator AND p.dimensions = e.dimensions AND p.cycle = e.cycle"
+    if period in ("week", "bi-week"):
+        prior = (f"LEFT JOIN (SELECT indicator, dimensions, cycle, year(cycle_timestamp) + 1 AS y, weekofyear(cycle_timestamp) AS w, "
+                 f"arg_max(value, cycle_timestamp) AS value FROM one GROUP BY ALL) p "
+                 f"ON {series} AND p.y = year(e.cycle_timestamp) AND p.w = weekofyear(e.cycle_timestamp)")
+    else:
+        prior = f"LEFT JOIN one p ON {series} AND p.cycle_timestamp = e.cycle_timestamp - INTERVAL 1 YEAR"
     return f"""
-    WITH one AS (SELECT indicator, dimensions, cycle, cycle_timestamp, min(id) AS id, arg_min(value, id) AS value
+    WITH one AS MATERIALIZED (
+                 SELECT indicator, dimensions, cycle, cycle_timestamp, min(id) AS id, arg_min(value, id) AS value
                  FROM ({repo_sql}) GROUP BY indicator, dimensions, cycle, cycle_timestamp),
     e AS (SELECT * FROM one {emitted}),
     looked_up AS (
-      SELECT e.*, {plan} AS aop_value,
-        CASE WHEN e.cycle IN ('week', 'bi-week')
-          THEN (SELECT arg_max(p.value, p.cycle_timestamp) FROM one p WHERE {series}
-                AND year(p.cycle_timestamp) + 1 = year(e.cycle_timestamp)
-                AND weekofyear(p.cycle_timestamp) = weekofyear(e.cycle_timestamp))
-          ELSE (SELECT max(p.value) FROM one p WHERE {series}
-                AND p.cycle_timestamp = e.cycle_timestamp - INTERVAL 1 YEAR) END AS prior_value,
+      SELECT e.*, {plan} AS aop_value, p.value AS prior_value,
         list_sort(json_keys(e.dimensions)) AS ks,
         list_transform(list_sort(json_keys(e.dimensions)), lambda k: e.dimensions->>k) AS vs
-      FROM e),
+      FROM e {prior}),
     worded AS (
       SELECT l.id, l.indicator, l.cycle, l.cycle_timestamp, l.dimensions,
         l.indicator || ' by ' || CASE WHEN len(ks) = 0 THEN '*' ELSE array_to_string(ks, ' x ') END AS metric,
@@ -240,7 +242,7 @@ def numbered(report_sql: str, period: str, spine_start, as_of) -> str:
     days AS (SELECT unnest(range(DATE '{spine_start}', DATE '{as_of}' + 1, INTERVAL 1 DAY)) AS d),
     periods AS (SELECT s, row_number() OVER (ORDER BY s) - 1 AS n
                 FROM (SELECT DISTINCT {period_start('d', period)} AS s FROM days)),
-    r AS (SELECT x.*, n FROM ({report_sql}) x JOIN periods ON s = x.cycle_timestamp WHERE x.cycle = '{period}')"""
+    r AS MATERIALIZED (SELECT x.*, n FROM ({report_sql}) x JOIN periods ON s = x.cycle_timestamp WHERE x.cycle = '{period}')"""
 
 
 def _previous(points: int) -> str:
@@ -252,19 +254,19 @@ def _previous(points: int) -> str:
 def timeseries(report_sql: str, period: str, spine_start, as_of, anchor=None) -> str:
     k = LOOKBACK[period]
     emitted = f"WHERE {only_clause(period, [last_complete(period, anchor)])}" if anchor is not None else ""
-    scaled = "CAST(p.current_value * 10000 AS HUGEINT)"
+    scaled = "CAST(current_value * 10000 AS HUGEINT)"
     rest = ", ".join(REPORT_REST)
     return f"""
     WITH {numbered(report_sql, period, spine_start, as_of)},
-    sums AS (SELECT c.indicator, c.dimensions, c.n, count(p.current_value) AS points,
-                    sum({scaled}) AS s1, sum({scaled} * {scaled}) AS s2
-             FROM {_previous(k)} GROUP BY c.indicator, c.dimensions, c.n),
-    bands AS (SELECT r.*, points = {k} AS has_history,
+    sums AS (SELECT *, count(current_value) OVER before AS points, sum({scaled}) OVER before AS s1,
+                    sum({scaled} * {scaled}) OVER before AS s2
+             FROM r WINDOW before AS (PARTITION BY indicator, dimensions ORDER BY n RANGE BETWEEN {k} PRECEDING AND 1 PRECEDING)),
+    bands AS (SELECT *, points = {k} AS has_history,
                      CASE WHEN points = {k} THEN CAST(CAST(s1 AS VARCHAR) AS DOUBLE) / ({k} * 10000.0) END AS mid,
                      CASE WHEN points = {k} THEN CAST((s1 * 200 + {k}) // (2 * {k}) AS DOUBLE) / 1000000 END AS midpoint,
                      CASE WHEN points = {k} THEN sqrt(CAST(CAST({k} * s2 - s1 * s1 AS VARCHAR) AS DOUBLE)
                                                       / (CAST({k} AS DOUBLE) * ({k} - 1) * 1e8)) END AS sd
-              FROM r JOIN sums USING (indicator, dimensions, n)),
+              FROM sums),
     judged AS (SELECT *, mid + 1.5 * sd AS hi, mid - 1.5 * sd AS lo, CAST(current_value AS DOUBLE) AS v FROM bands)
     SELECT {skey('indicator', 'dimensions', 'cycle', 'cycle_timestamp')} AS id, indicator, dimensions, cycle,
            cycle_timestamp, {rest}, CAST({k} AS INTEGER) AS historical_lookback, has_history, midpoint,

@@ -49,31 +49,34 @@ def _up(day: DataFrame, periods: list[str], keys: list[str], aggs: list[Column])
     return {p: grain(p) for p in periods}
 
 
-def all_cycles_module(facts: DataFrame, ts: str | Column, dims: dict[str, str | Column] | list[str], measures: list[Measure],
-                      periods=cycles.CYCLES, sets: list[tuple[str, ...]] | None = None) -> DataFrame:
-    """Module rows of every cycle in ``periods``; equal to the union of the modules of each."""
-    periods = _checked(periods)
-    dims = {d: d for d in dims} if isinstance(dims, (list, tuple)) else dict(dims)
-    names = list(dims)
+def one_distinct(measures: list[Measure]) -> list[int]:
+    """Places of the distinct counts; the values of two in one grain would multiply."""
+    found = [i for i, m in enumerate(measures) if m.kind not in ADDITIVE]
+    if len(found) > 1:
+        raise ValueError("one grain carries the values of one distinct count")
+    return found
+
+
+def partials(measures: list[Measure]) -> list[Column]:
+    """Aggregates of the day grain, over facts that are ``placed`` with the inputs of ``measures``."""
+    return [(F.count(f"__in_{i}") if m.kind == "count" else _merge(m.kind)(F.col(f"__in_{i}").cast(VALUE_TYPE)))
+            .cast(PARTIAL).alias(f"__p_{i}") for i, m in enumerate(measures) if m.kind in ADDITIVE]
+
+
+def inputs(measures: list[Measure]) -> list[Column]:
+    return [m.input.alias(f"__in_{i}") for i, m in enumerate(measures)]
+
+
+def modules_of_days(day: DataFrame, names: list[str], measures: list[Measure], periods=cycles.CYCLES,
+                    sets: list[tuple[str, ...]] | None = None) -> DataFrame:
+    """Module rows of every cycle from a day grain: (cycle_timestamp of the day, dimensions, the counted value of a
+    distinct count, partial values). Its rows may come in several parts, as from separate runs."""
     sets = [tuple(s) for s in (sets if sets is not None else all_subsets(names))]
-    distinct = [i for i, m in enumerate(measures) if m.kind not in ADDITIVE]
-    if len(distinct) > 1:
-        # The values of two distinct counts in one grain would multiply; each goes up the lattice by itself.
-        rest = [m for i, m in enumerate(measures) if i not in distinct[1:]]
-        out = all_cycles_module(facts, ts, dims, rest, periods, sets)
-        for i in distinct[1:]:
-            out = out.unionByName(all_cycles_module(facts, ts, dims, [measures[i]], periods, sets))
-        return out
-    base = placed(facts, ts, "day", dims, [m.input.alias(f"__in_{i}") for i, m in enumerate(measures)])
-    values = [f"__in_{i}" for i in distinct]
+    distinct = one_distinct(measures)
     additive = [(i, m) for i, m in enumerate(measures) if m.kind in ADDITIVE]
-    first = [(F.count(f"__in_{i}") if m.kind == "count" else _merge(m.kind)(F.col(f"__in_{i}").cast(VALUE_TYPE)))
-             .cast(PARTIAL).alias(f"__p_{i}") for i, m in additive]
     again = [_merge(m.kind)(f"__p_{i}").cast(PARTIAL).alias(f"__p_{i}") for i, m in additive]
-    day = base.groupBy(PERIOD, *names, *values)
-    day = day.agg(*first) if first else day.agg(F.lit(1).alias("__one")).drop("__one")
     out = None
-    for period, grain in _up(day, periods, names + values, again).items():
+    for period, grain in _up(day, _checked(periods), names + [f"__in_{i}" for i in distinct], again).items():
         wide = _grouping_sets(grain, names, sets, [_merge(m.kind)(f"__p_{i}").cast(VALUE_TYPE).alias(m.indicator) for i, m in additive]
                               + [F.count_distinct(f"__in_{i}").cast(VALUE_TYPE).alias(measures[i].indicator) for i in distinct])
         rows = to_module(wide.withColumn("cycle", F.lit(period)), names, [m.indicator for m in measures])
@@ -81,6 +84,23 @@ def all_cycles_module(facts: DataFrame, ts: str | Column, dims: dict[str, str |
     return out
 
 
+def all_cycles_module(facts: DataFrame, ts: str | Column, dims: dict[str, str | Column] | list[str], measures: list[Measure],
+                      periods=cycles.CYCLES, sets: list[tuple[str, ...]] | None = None) -> DataFrame:
+    """Module rows of every cycle in ``periods``; equal to the union of the modules of each."""
+    dims = {d: d for d in dims} if isinstance(dims, (list, tuple)) else dict(dims)
+    distinct = [m for m in measures if m.kind not in ADDITIVE]
+    if len(distinct) > 1:  # each further one goes up the lattice by itself
+        out = all_cycles_module(facts, ts, dims, [m for m in measures if m not in distinct[1:]], periods, sets)
+        for m in distinct[1:]:
+            out = out.unionByName(all_cycles_module(facts, ts, dims, [m], periods, sets))
+        return out
+    base = placed(facts, ts, "day", dims, inputs(measures))
+    grain = base.groupBy(PERIOD, *dims, *[f"__in_{i}" for i in one_distinct(measures)])
+    first = partials(measures)
+    day = grain.agg(*first) if first else grain.agg(F.lit(1).alias("__one")).drop("__one")
+    return modules_of_days(day, list(dims), measures, periods, sets)
+
+
 def sketch_days(facts: DataFrame, ts: str | Column, dims: dict[str, str | Column], entity: str, lg_k: int = LG_K) -> DataFrame:
     """(cycle_timestamp of the day, dimensions, sketch): what to store, one row per day and finest coordinate."""
     return (placed(facts, ts, "day", dims, [F.col(entity).alias("__entity")]).where("__entity IS NOT NULL")

@@ -550,6 +550,25 @@ def _pca_spectrum_sql():
 register("kpi_pca_spectrum", _pca_spectrum, _pca_spectrum_sql())
 
 
+def _pca_coordinates(spark, base):
+    """Orders against revenue at every coordinate: the first component's variance is 1 + |r|."""
+    from metricbook.operators.pca import kpi_pca_by_coordinate
+    scores = kpi_pca_by_coordinate(_report("week", spark, base), ["ORDERS", "REVENUE"], "week")
+    return scores.groupBy("dimensions").agg(
+        F.count("*").alias("periods"), F.round(F.max("variance_1"), 6).alias("variance_1"), F.round(F.max("variance_2"), 6).alias("variance_2"),
+        F.round(F.var_samp("pc1"), 3).alias("spread_1"), F.round(F.var_samp("pc2"), 3).alias("spread_2"))
+
+
+register("kpi_pca_coordinates", _pca_coordinates, f"""
+    WITH m AS (SELECT dimensions, cycle_timestamp, max(CASE WHEN indicator = 'ORDERS' THEN CAST(current_value AS DOUBLE) END) AS x,
+                      max(CASE WHEN indicator = 'REVENUE' THEN CAST(current_value AS DOUBLE) END) AS y
+               FROM ({_report_sql('week')}) r WHERE cycle = 'week' GROUP BY dimensions, cycle_timestamp),
+    c AS (SELECT dimensions, count(*) AS periods, abs(corr(x, y)) AS r FROM m WHERE x IS NOT NULL AND y IS NOT NULL
+          GROUP BY dimensions HAVING stddev_samp(x) > 0 AND stddev_samp(y) > 0)
+    SELECT dimensions, periods, round(1 + r, 6) AS variance_1, round(1 - r, 6) AS variance_2, round(1 + r, 3) AS spread_1,
+           round(1 - r, 3) AS spread_2 FROM c""")
+
+
 # ---------------------------------------------------------------- stage 8: repeated coordinates, options, suites
 def _restated(spark, base):
     """Two modules that repeat the all-up coordinates with other values and ids."""

@@ -152,3 +152,28 @@ def test_movable_holidays(spark):
     for wrong in (dict(month=2), dict(month=2, nth=5, weekday="Mon"), dict(month=2, nth=1, weekday="Montag")):
         with pytest.raises(ValueError):
             HolidayRule("US", "X", **wrong)
+
+
+def test_components_of_each_coordinate_are_those_of_it_alone(spark):
+    import random
+
+    from metricbook.operators.pca import kpi_pca, kpi_pca_by_coordinate
+    draw = random.Random(4)
+    rows = []
+    for c in range(12):
+        for w in range(2 if c == 3 else 30):
+            x = draw.gauss(0, 1)
+            values = (x, 2 * x + draw.gauss(0, 1) * c, draw.gauss(0, 3) if c != 5 else 1.0)
+            rows += [(i, f'{{"c":"{c}"}}', "week", dt.datetime(2024, 1, 1) + dt.timedelta(weeks=w), v) for i, v in zip("ABC", values)
+                     if draw.random() < 0.95]
+    report = spark.createDataFrame(rows, "indicator string, dimensions string, cycle string, cycle_timestamp timestamp_ntz, current_value double")
+    got = kpi_pca_by_coordinate(report, list("ABC"), "week", 2)
+    by = {}
+    for r in got.collect():
+        by.setdefault(r.dimensions, {})[r.cycle_timestamp] = (r.pc1, r.pc2)
+    for c in (0, 1, 2, 4, 5, 11):
+        alone = {r.cycle_timestamp: (r.pc1, r.pc2) for r in kpi_pca(report, list("ABC"), "week", f'{{"c":"{c}"}}').collect()}
+        mine = by.get(f'{{"c":"{c}"}}', {})
+        assert mine.keys() == alone.keys()
+        assert all(abs(a - b) < 1e-5 for t in alone for a, b in zip(alone[t], mine[t]))
+    assert '{"c":"5"}' not in by and len(by) >= 10

@@ -19,6 +19,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from metricbook.llm.common import materialise
+
 WORDS = 8
 KEYS_PER_BLOCK = 16  # 16 bits of filter for each key
 BROADCAST_BLOCKS = 1 << 18  # blocks of some 50 bytes: the filter is broadcast up to about 13 MB
@@ -82,18 +84,28 @@ def judge(pages: DataFrame, entries: DataFrame, keep: list[str], url: str = "url
         return rows.select(*out, "host", "path", F.lit(None).cast("string").alias("rule"), F.lit("allow").alias("verdict"))
     blocks = max(1, math.ceil(facts["n"] / KEYS_PER_BLOCK))
     bloom = bloom_filter(keys, blocks)
-    if blocks <= BROADCAST_BLOCKS:
-        bloom = F.broadcast(bloom)
     urls = rows.select("host", "path").distinct()
     tried = candidates(urls, facts["labels"], sorted(facts["lengths"])).withColumn("block", _block_of(F.col("key"), blocks))
-    maybe = tried.join(bloom, "block")
-    for i in range(WORDS):
-        maybe = maybe.where(F.col(f"w{i}").bitwiseAND(_bit_in(F.col("key"), i)) != 0)
-    fits = maybe.select("host", "path", "key").join(keys.select("key", "rule", "verdict"), "key")
+
+    def passed(some: DataFrame, bloom: DataFrame) -> DataFrame:
+        maybe = some.join(bloom, "block")
+        for i in range(WORDS):
+            maybe = maybe.where(F.col(f"w{i}").bitwiseAND(_bit_in(F.col("key"), i)) != 0)
+        return maybe
+
+    entries_ = keys.select("key", "rule", "verdict")
+    if blocks <= BROADCAST_BLOCKS:
+        fits = passed(tried, F.broadcast(bloom)).select("host", "path", "key").join(entries_, "key")
+    else:
+        # Filter and list move, and so do the candidates: each key once, however many urls share it (as they do
+        # top-level hosts). Written, the few listed ones meet the candidates of all urls in a join that can be split.
+        hit = materialise(passed(tried.select("key", "block").distinct(), bloom).select("key").join(entries_, "key"), "url-hits")
+        fits = tried.select("host", "path", "key").join(hit, "key")
     # Longest entry; between equal lengths the longer host, then the text.
     best = F.max_by(F.struct("rule", "verdict"),
                     F.struct(F.char_length("key"), F.char_length(F.substring_index("key", "/", 1)), F.col("key")))
-    winner = fits.groupBy("host", "path").agg(best.alias("_w"))
+    # Written, so that the join below can be split where many rows have one url, or none.
+    winner = materialise(fits.groupBy("host", "path").agg(best.alias("_w")), "url-verdicts")
     return (rows.join(winner, ["host", "path"], "left")
             .select(*out, "host", "path", F.col("_w.rule").alias("rule"),
                     F.coalesce("_w.verdict", F.lit("allow")).alias("verdict")))

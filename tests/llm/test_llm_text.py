@@ -64,7 +64,9 @@ def test_next_row_with_ties_nulls_and_gaps(spark):
 
 
 # ------------------------------------------------------------------ urls
-def test_urls_by_brute_force(spark):
+@pytest.mark.parametrize("most", [urlfilter.BROADCAST_BLOCKS, 0])
+def test_urls_by_brute_force(spark, monkeypatch, most):
+    monkeypatch.setattr(urlfilter, "BROADCAST_BLOCKS", most)
     rules = Q.URL_RULES + [("b.a.org/x", "block"), ("a.org/", "allow"), ("a.org/xy", "block"), ("org/x/", "block"), ("localhost/", "block")]
     hosts = ["a.org", "B.A.ORG", "c.b.a.org", "xa.org", "www.example.com", "example.com", "m.www.example.com", "x.net", "net", "localhost", ""]
     urls = [f"http://{h}{p}" for h in hosts for p in ("", "/", "/x", "/xy", "/x/1?q=/en/", "/en/", "/en", "/es/#/", "/fr/a", "?x", "#/en/")]

@@ -229,4 +229,45 @@ FROM l, (VALUES ('too_few_words', 1), ('repeated_words', 2), ('symbols', 4), ('d
 GROUP BY rule
 """
 
-ORACLE = {"rule_ablations": _OP9_ABLATIONS, "op3_url_filter": _OP3, "op6_warc": _OP6, "op9_quality_rules": _OP9, "op13_source_divergence": _OP13}
+def _crc_entry(n: int) -> int:
+    for _ in range(8):
+        n = n >> 1 ^ (0xEDB88320 if n & 1 else 0)
+    return n
+
+
+_OP11 = rf"""
+WITH RECURSIVE g AS (
+    SELECT doc_id, run, count(*) AS n, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS k
+    FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                   '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents)
+    GROUP BY doc_id, run
+), b AS (
+    SELECT run, n, list_transform(range(octet_length(encode(k))), lambda i: CAST('0x' || substr(hex(encode(k)), 2 * i + 1, 2) AS BIGINT)) AS bytes FROM g
+), h AS (
+    SELECT run, n, xor(list_reduce(list_concat([4294967295::BIGINT], bytes), lambda c, x:
+        xor(c >> 8, list_extract(CAST({[_crc_entry(n) for n in range(256)]} AS BIGINT[]), (xor(c, x) & 255) + 1))), 4294967295::BIGINT) AS h FROM b
+), w AS (
+    SELECT word, sum(n)::BIGINT AS n
+    FROM (SELECT n, CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM h)
+    WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), v AS (
+    SELECT word, n, length(word) AS size, i, left(word, i) || substr(word, i + 2) AS cut
+    FROM (SELECT word, n, unnest(range(length(word))) AS i FROM w)
+), longer AS (
+    SELECT DISTINCT v.word AS long, v.n AS long_n, w.word AS short, w.n AS short_n FROM v JOIN w ON w.word = v.cut
+), near AS (
+    SELECT x.word, y.word AS near, y.n AS near_n FROM v x JOIN v y ON x.i = y.i AND x.cut = y.cut AND x.size = y.size AND x.word <> y.word
+    UNION ALL SELECT long, short, short_n FROM longer UNION ALL SELECT short, long, long_n FROM longer
+), best AS (
+    SELECT word, near, near_n, count(*) OVER (PARTITION BY word) AS n_near FROM near
+    QUALIFY row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) = 1
+), f AS (
+    SELECT w.word, CASE WHEN near_n >= 2 * n THEN near END AS form, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * n THEN near_n END AS form_n
+    FROM w LEFT JOIN best USING (word)
+), r(word, root) AS (
+    SELECT word, word FROM f WHERE form IS NULL UNION ALL SELECT f.word, r.root FROM f JOIN r ON f.form = r.word
+)
+SELECT f.word, form, root, n, n_near, form_n FROM f JOIN r USING (word)
+"""
+
+ORACLE = {"op11_variants": _OP11, "rule_ablations": _OP9_ABLATIONS, "op3_url_filter": _OP3, "op6_warc": _OP6, "op9_quality_rules": _OP9, "op13_source_divergence": _OP13}

@@ -39,7 +39,7 @@ from metricbook.llm.common import materialise
 SCALE = 1_000_000_000
 MIN_DOCS = 3
 TOP = 200
-HELD = 1 << 18  # distinct (group, term) entries a task holds before it writes them
+HELD = 1 << 19  # distinct (group, term) entries a task holds before it writes them
 PAIRS_AT_ONCE = 1 << 18  # pairs of sources handled in one numpy step
 DIGEST_BITS = 64
 TERM = ["lid", "tid", "split"]

@@ -106,6 +106,7 @@ def judge(pages: DataFrame, entries: DataFrame, keep: list[str], url: str = "url
                     F.struct(F.char_length("key"), F.char_length(F.substring_index("key", "/", 1)), F.col("key")))
     # Written, so that the join below can be split where many rows have one url, or none.
     winner = materialise(fits.groupBy("host", "path").agg(best.alias("_w")), "url-verdicts")
-    return (rows.join(winner, ["host", "path"], "left")
+    # The file is small for what it holds (urls compress well), so its size must not decide for a broadcast.
+    return (rows.join(winner.hint("merge"), ["host", "path"], "left")
             .select(*out, "host", "path", F.col("_w.rule").alias("rule"),
                     F.coalesce("_w.verdict", F.lit("allow")).alias("verdict")))

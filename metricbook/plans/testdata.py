@@ -124,7 +124,9 @@ def repository(spark: SparkSession, base: str, period: str, shadow_rows=None, ru
 
 
 def aop_from(repo: DataFrame) -> DataFrame:
-    """Plan targets derived from the data: 1.05 x REVENUE for every period and coordinate."""
+    """Plan targets derived from the data: 1.05 x REVENUE for every period and coordinate.
+
+    Any value of a module (14 digits before the point) has its plan, so they are wider than a seed's."""
     return repo.where(F.col("indicator") == "REVENUE").select(
-        "cycle_timestamp", (F.col("value") * F.lit(Decimal("1.05"))).cast("decimal(18,8)").alias("plan"),
+        "cycle_timestamp", (F.col("value") * F.lit(Decimal("1.05"))).cast("decimal(28,8)").alias("plan"),
         "indicator", "dimensions", "cycle")

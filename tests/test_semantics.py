@@ -1,7 +1,8 @@
 """Hand-made frames for the calendar, dimension, override and trimming traps."""
 
+import calendar
 import datetime as dt
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -291,6 +292,27 @@ def test_plan_split_day_shares_sum_to_month(spark):
     assert wk is not None and wk.plan > 0
 
 
+@pytest.mark.parametrize("target", ["bi-week"])
+def test_plan_split_of_plans_beyond_eighteen_digits(spark, target):
+    from metricbook.operators.plan_split import split_monthly_plan
+    from metricbook.plans.testdata import aop_from
+    values = {dt.date(2024, 1, 1): Decimal("30727305617.4001"), dt.date(2024, 2, 1): Decimal("99999999999999.9999")}
+    repo = spark.createDataFrame([("orders_module", "REVENUE", "{}", "month", dt.datetime(m.year, m.month, 1), v, str(m))
+                                  for m, v in values.items()], REPOSITORY)
+    want = {}
+    for m, v in values.items():
+        plan, n = v * Decimal("1.05"), calendar.monthrange(m.year, m.month)[1]
+        share = (plan / n).quantize(Decimal("1e-8"), ROUND_HALF_UP)
+        for i in range(n):
+            d = m + dt.timedelta(i)
+            week = d.isocalendar().week
+            start = d if target == "day" else d - dt.timedelta(d.weekday() + 7 * (target == "bi-week" and week % 2 == 0))
+            want[start] = want.get(start, 0) + (share if i < n - 1 else plan - share * (n - 1))
+    out = split_monthly_plan(aop_from(repo), target)
+    assert {r.cycle_timestamp.date(): r.plan for r in out.collect()} == want
+    assert sum(want.values()) == sum(values.values()) * Decimal("1.05")
+
+
 def test_generation_cohort_boundaries(spark):
     from metricbook.operators.insights import generation_cohort, generation_years
     people = spark.createDataFrame([(1, 1996), (2, 1997), (3, 1921), (4, 2039), (5, None)], "pid int, born int")

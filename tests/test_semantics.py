@@ -292,7 +292,7 @@ def test_plan_split_day_shares_sum_to_month(spark):
     assert wk is not None and wk.plan > 0
 
 
-@pytest.mark.parametrize("target", ["bi-week", "day"])
+@pytest.mark.parametrize("target", ["bi-week", "day", "week"])
 def test_plan_split_of_plans_beyond_eighteen_digits(spark, target):
     from metricbook.operators.plan_split import split_monthly_plan
     from metricbook.plans.testdata import aop_from

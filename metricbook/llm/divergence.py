@@ -1,11 +1,13 @@
 """Divergence audit of sources: how far the term shares of each source lie from those of the other sources
 of its language, and which terms it over-uses.
 
-Strings are materialised late. Texts are read once; each task writes its term counts with the strings
-beside 64-bit digests. Everything that counts, joins or ranks then reads and shuffles fixed-width columns
-only (digests of group, language and term, and numbers). The one pass over strings goes from digest to
-smallest and largest string; where these differ, several terms share a digest, and only their rows get a
-second key, the place of the term among the terms of that digest. Strings come back for kept outputs only.
+Strings are materialised late. Texts are read once; each task writes its term counts under 64-bit digests
+and each term's string only where it first meets it. Everything that counts, joins or ranks then reads and
+shuffles fixed-width columns only (digests of group, language and term, and numbers). The one pass over
+strings goes from the digests with enough documents to smallest and largest string (a kept term's digest is
+always among them). Where these differ, several terms share a digest: the texts are then counted once more
+with the string in every row, and the rows of such digests get a second key, the place of the term among
+the terms of that digest. Strings come back for kept outputs only.
 
 A sum over all kept terms for each pair of sources is taken apart, so that no zero count is ever a row.
 With f00 for a term that neither has, and ``both`` for the terms that both have:
@@ -25,8 +27,9 @@ empty table gives an empty result; ties rank by the item's UTF-8 bytes; other co
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +42,14 @@ from metricbook.llm.common import materialise
 SCALE = 1_000_000_000
 MIN_DOCS = 3
 TOP = 200
-HELD = 1 << 18  # distinct (group, term) entries a task holds before it writes them
+HELD = 1 << 22  # occurrences of terms a task holds before it counts and writes them
+HELD_BYTES = 1 << 25  # bytes of text, likewise: terms may be long
+KNOWN = 1 << 20  # terms a task has numbered at most; it begins anew from half of them
+KNOWN_BYTES = 1 << 27  # bytes of text after which it does so too
+ROWS_AT_ONCE = 1 << 16  # rows in a batch that a task returns
 PAIRS_AT_ONCE = 1 << 18  # pairs of sources handled in one numpy step
 DIGEST_BITS = 64
-TERM = ["lid", "tid", "split"]
+TERM = ["tid", "lid", "split"]
 
 _UPPER, _LOWER = range(0x41, 0x5B), range(0x61, 0x7B)
 #: Bytes of a term stay, A-Z become a-z, all others a blank. Bytes from 0x80 belong to characters beyond ASCII.
@@ -70,61 +77,109 @@ def _group_ids(seed: int) -> list[Column]:
     return [F.xxhash64(F.lit(seed), "lang", "source").alias("gid"), F.xxhash64(F.lit(seed), "lang").alias("lid")]
 
 
-def task_counts(docs: DataFrame, seed: int, digest_bits: int = DIGEST_BITS) -> DataFrame:
-    """Per task: (gid, lid, tid, n occurrences, docs with the term, term); one key may come several times."""
+def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values in ascending order, and how often each occurs."""
+    values = np.sort(values)
+    first = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
+    return values[first], np.diff(np.append(first, len(values)))
+
+
+def task_counts(docs: DataFrame, seed: int, digest_bits: int = DIGEST_BITS, every: bool = False) -> DataFrame:
+    """Per task: (gid, lid, tid, n occurrences, docs with the term, term); one key may come several times.
+
+    ``term`` is null but in one row of each term of a task; with ``every`` each row has it."""
     schema = "gid long, lid long, tid long, n long, docs long, term string"
     mask = (1 << digest_bits) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[int, int], tuple[Counter, Counter]] = {}
-        entries = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for (gid, lid), (n, d) in held.items():
-                strings = list(n)
-                tid = np.fromiter((xxhash.xxh64_intdigest(t) & mask for t in strings), np.uint64, len(strings))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(strings), gid)), pa.array(np.full(len(strings), lid)), pa.array(tid.view(np.int64)),
-                     pa.array(np.fromiter(n.values(), np.int64, len(strings))),
-                     pa.array(np.fromiter(map(d.__getitem__, strings), np.int64, len(strings))),
-                     pa.array(strings, pa.binary()).cast(pa.string())],
-                    names=["gid", "lid", "tid", "n", "docs", "term"])
-            held.clear()
+        numbers: defaultdict[bytes, int] = defaultdict(count().__next__)  # of the terms, in order of first sight
+        tids = np.empty(0, np.uint64)  # of the terms already written
+        groups: dict[tuple[int, int], int] = {}
+        held: list[np.ndarray] = []  # the terms of each text by number
+        group_of: list[int] = []
+        occurrences = size = seen = 0
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            nonlocal tids
+            written, terms_ = len(tids), len(numbers)
+            fresh = list(islice(numbers, written, None))
+            tids = np.concatenate((tids, np.fromiter((xxhash.xxh64_intdigest(t) & mask for t in fresh), np.uint64, len(fresh))))
+            ids, sizes, of = np.concatenate(held), np.fromiter(map(len, held), np.int64, len(held)), np.array(group_of)
+            keys, n = _runs(np.repeat(of * terms_, sizes) + ids)
+            once, _ = _runs(np.repeat(np.arange(len(held)) * terms_, sizes) + ids)
+            doc, number = np.divmod(once, terms_)
+            _, n_docs = _runs(of[doc] * terms_ + number)  # has the same keys
+            group, number = np.divmod(keys, terms_)
+            if every:
+                strings, chosen = pa.array(numbers, pa.binary()), pa.array(number)
+            else:
+                where = np.flatnonzero(number >= written)
+                place = np.empty(len(fresh), np.int64)
+                place[number[where] - written] = where  # one row per fresh term, the last one assigned
+                other = np.ones(len(keys), bool)
+                other[place] = False
+                strings, chosen = pa.array(fresh, pa.binary()), pa.array(np.where(other, 0, number - written), mask=other)
+            ends = np.array(list(groups), np.int64)
+            table = pa.table([pa.array(ends[group, 0]), pa.array(ends[group, 1]), pa.array(tids[number].view(np.int64)), pa.array(n),
+                              pa.array(n_docs), strings.cast(pa.string()).take(chosen)],
+                             names=["gid", "lid", "tid", "n", "docs", "term"])
+            yield from table.to_batches(max_chunksize=ROWS_AT_ONCE)
 
         for batch in batches:
             for gid, lid, text in zip(*(batch.column(c) for c in ("gid", "lid", "text"))):
-                n, d = held.setdefault((gid.as_py(), lid.as_py()), (Counter(), Counter()))
-                own = terms(text.as_py())
-                before = len(n)
-                n.update(own)
-                d.update(set(own))
-                entries += len(n) - before
-                if entries > HELD:
-                    yield from flush()
-                    entries = 0
-        yield from flush()
+                text = text.as_py()
+                own = terms(text)
+                if own:
+                    held.append(np.fromiter(map(numbers.__getitem__, own), np.int32, len(own)))
+                    group_of.append(groups.setdefault((gid.as_py(), lid.as_py()), len(groups)))
+                    occurrences += len(own)
+                    size += len(text)
+                if occurrences > HELD or size > HELD_BYTES or len(numbers) > KNOWN:
+                    yield from counted()
+                    held, group_of, groups, seen, occurrences, size = [], [], {}, seen + size, 0, 0
+                    if len(numbers) > KNOWN // 2 or seen > KNOWN_BYTES:
+                        numbers, tids, seen = defaultdict(count().__next__), tids[:0], 0
+        if held:
+            yield from counted()
 
     return docs.select(*_group_ids(seed), F.col("text").cast("binary").alias("text")).mapInArrow(run, schema)
 
 
-def _split_collisions(partial: DataFrame, vocabulary: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``partial`` with ``split`` (0 where a digest has one term), and (tid, split, term)."""
+def _kept(partial: DataFrame, min_docs: int) -> DataFrame:
+    """Per group and term of at least ``min_docs`` documents of the language: (gid, TERM, n, lang_n, first).
+    ``first`` holds in one row of each term of a language. Partitioned by term once, so that all of it is one shuffle."""
+    of_term = Window.partitionBy(*TERM)
+    return (partial.repartition(*TERM).groupBy("gid", *TERM).agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+            .select("gid", *TERM, "n", F.sum("n").over(of_term).alias("lang_n"), F.sum("docs").over(of_term).alias("docs"),
+                    (F.col("gid") == F.min("gid").over(of_term)).alias("first"))
+            .where(F.col("docs") >= min_docs).drop("docs"))
+
+
+def _kept_terms(docs: DataFrame, seed: int, digest_bits: int, min_docs: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``_kept``, with ``split`` 0 where a digest has one term, and (tid, split, term)."""
+    partial = materialise(task_counts(docs, seed, digest_bits), "divergence-tasks")
+    rows = materialise(_kept(partial.withColumn("split", F.lit(0)), min_docs), "divergence-rows")
+    vocabulary = materialise(partial.where("term is not null").select("tid", "term")
+                             .join(rows.where("first").select("tid"), "tid", "left_semi")
+                             .groupBy("tid").agg(F.min("term").alias("least_term"), F.max("term").alias("greatest_term")),
+                             "divergence-vocabulary")
     shared = materialise(vocabulary.where("least_term <> greatest_term").select("tid"), "divergence-collisions")
     names = vocabulary.where("least_term = greatest_term").select("tid", F.lit(0).alias("split"), F.col("least_term").alias("term"))
     if shared.isEmpty():
-        return partial.withColumn("split", F.lit(0)), names
+        return rows, names
+    partial = materialise(task_counts(docs, seed, digest_bits, every=True), "divergence-tasks")
     place = F.row_number().over(Window.partitionBy("tid").orderBy("term"))
     spread = materialise(partial.join(shared, "tid", "left_semi").select("tid", "term").distinct()
                          .select("tid", "term", place.alias("split")), "divergence-splits")
     alone = partial.join(shared, "tid", "left_anti").withColumn("split", F.lit(0))
-    return (alone.unionByName(partial.join(spread, ["tid", "term"])),
-            names.unionByName(spread.select("tid", "split", "term")))
+    rows = _kept(alone.unionByName(partial.join(spread, ["tid", "term"])), min_docs)
+    return materialise(rows, "divergence-rows"), names.unionByName(spread.select("tid", "split", "term"))
 
 
 def _share(count: Column, total: Column) -> Column:
-    """1 + floor(SCALE * (count + 1) / total), exact."""
-    return F.lit(1) + F.call_function("div", F.lit(SCALE).cast("decimal(10,0)") * (count + 1).cast("decimal(19,0)"),
-                                      total.cast("decimal(20,0)"))
+    """1 + floor(SCALE * (count + 1) / total), exact; by decimals where a product may pass 64 bits."""
+    wide = F.call_function("div", F.lit(SCALE).cast("decimal(10,0)") * (count + 1).cast("decimal(19,0)"), total.cast("decimal(20,0)"))
+    return F.lit(1) + F.when(count < 9 * SCALE, F.call_function("div", F.lit(SCALE).cast("long") * (count + 1), total)).otherwise(wide)
 
 
 def _f(p: str, q: str) -> Column:
@@ -140,7 +195,21 @@ def _sums_over_both(rows: DataFrame) -> DataFrame:
     names = ["s", "t", "n_both", "a", "b", "c"]
 
     def f(p: np.ndarray, q: np.ndarray) -> np.ndarray:
-        return (p - q) ** 2 // q
+        d = p - q
+        return ((d * d).view(np.uint64) // q.view(np.uint64)).view(np.int64)  # quicker than signed, both are positive
+
+    def added(s: np.ndarray, t: np.ndarray, gids: np.ndarray, *values: np.ndarray) -> np.ndarray:
+        """One block of pairs (places in ``gids``), added up at once where that takes no more room than the block may."""
+        if len(gids) ** 2 > PAIRS_AT_ONCE:
+            return np.column_stack((gids[s], gids[t], np.ones(len(s), np.int64), *values))
+        key = s * len(gids) + t
+        n = np.bincount(key, minlength=len(gids) ** 2)
+        met = np.flatnonzero(n)
+        sums = np.zeros((len(values), len(n)), np.int64)
+        for total, value in zip(sums, values):
+            np.add.at(total, key, value)
+        s, t = np.divmod(met, len(gids))
+        return np.column_stack((gids[s], gids[t], n[met], *(total[met] for total in sums)))
 
     def summed(parts: list[np.ndarray]) -> np.ndarray:
         rows = np.concatenate(parts)
@@ -154,7 +223,9 @@ def _sums_over_both(rows: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(x[:, i]) for i in range(6)], names=names)
 
     def pairs_of(x: np.ndarray) -> Iterator[np.ndarray]:
-        """Blocks of pairs from whole terms (columns lid, tid, split, gid, p, p0)."""
+        """Blocks of pairs from whole terms (columns tid, lid, split, gid, p, p0)."""
+        gids, group = np.unique(x[:, 3], return_inverse=True)
+        all_p, all_p0 = np.ascontiguousarray(x[:, 4]), np.ascontiguousarray(x[:, 5])
         begin = np.flatnonzero(np.concatenate(([True], (x[1:, :3] != x[:-1, :3]).any(axis=1))))
         size = np.diff(np.append(begin, len(x)))
         wide, start = np.repeat(size, size), np.repeat(begin, size)  # each row meets the rows of its term
@@ -166,8 +237,8 @@ def _sums_over_both(rows: DataFrame) -> DataFrame:
             left = np.repeat(np.arange(at, stop), w)
             right = np.arange(w.sum()) - np.repeat(np.cumsum(w) - w - start[at:stop], w)
             left, right = left[left != right], right[left != right]
-            p, q, p0, q0 = x[left, 4], x[right, 4], x[left, 5], x[right, 5]
-            yield np.column_stack((x[left, 3], x[right, 3], np.ones(len(left), np.int64), f(p, q), f(p, q0), f(p0, q)))
+            p, q, p0, q0 = all_p[left], all_p[right], all_p0[left], all_p0[right]
+            yield added(group[left], group[right], gids, f(p, q), f(p, q0), f(p0, q))
             at = stop
 
     def whole_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
@@ -210,16 +281,9 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     ``digest_bits`` below 64 serves tests: collisions are then common, the result is the same."""
     docs = docs.select(*[F.coalesce(F.col(c), F.lit("")).alias(name) for c, name in ((text, "text"), (lang, "lang"), (source, "source"))])
     groups, seed = _groups(docs)
-    partial = materialise(task_counts(docs, seed, digest_bits), "divergence-tasks")
-    vocabulary = materialise(partial.groupBy("tid").agg(F.min("term").alias("least_term"), F.max("term").alias("greatest_term")),
-                             "divergence-vocabulary")
-    keyed, names = _split_collisions(partial, vocabulary)
-    counts = materialise(keyed.groupBy("gid", *TERM).agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "divergence-counts")
-    kept = materialise(counts.groupBy(*TERM).agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs"))
-                       .where(F.col("docs") >= min_docs).drop("docs"), "divergence-kept")
-    rows = materialise(counts.drop("docs").join(kept, TERM), "divergence-rows")
+    rows, names = _kept_terms(docs, seed, digest_bits, min_docs)
 
-    of_lang = kept.groupBy("lid").agg(F.count("*").alias("v"), F.sum("lang_n").alias("lang_total"))
+    of_lang = rows.groupBy("lid").agg(F.count_if("first").alias("v"), F.sum("n").alias("lang_total"))
     of_group = rows.groupBy("gid").agg(F.count("*").alias("k"), F.sum("n").alias("total"))
     # A language without kept terms has no share; 1 stands for its denominator, which nothing uses.
     over = {c: F.greatest(F.col(c) + F.col("v"), F.lit(1)) for c in ("total", "lang_total")}

@@ -268,3 +268,49 @@ def test_divergence_shares_are_exact_beyond_64_bits(spark):
     n, total = 2 ** 62 - 5, 2 ** 62 + 12_345
     row = spark.createDataFrame([(n, total)], "n long, total long").select(divergence._share(*map(divergence.F.col, ("n", "total"))).alias("p")).first()
     assert row.p == 1 + 10 ** 9 * (n + 1) // total
+
+
+def _task_rows(df, **options):
+    text = "lower(regexp_replace(coalesce(text, ''), '[^A-Za-z]+', ' '))"  # the rows below have ASCII letters only
+    found = divergence.task_counts(df.selectExpr(f"{text} text", "coalesce(lang, '') lang", "coalesce(source, '') source"), 0, **options).collect()
+    n = Counter()
+    for r in found:
+        n[r.gid, r.lid, r.tid] += r.n
+        n[r.gid, r.lid, r.tid, "docs"] += r.docs
+    return found, n
+
+
+def test_divergence_tasks_write_a_string_once_per_term(spark, monkeypatch):
+    docs = [("to be or not to be", "en", f"s{k % 3}") for k in range(9)] + [("or so", "de", "s0"), ("", "en", "s1"), (None, None, None)]
+    df = spark.createDataFrame(docs, "text string, lang string, source string").coalesce(1)
+    found, n = _task_rows(df)
+    assert len(found) == 3 * 4 + 2  # terms of the three groups of en and of the one of de
+    assert sorted(r.term for r in found if r.term is not None) == ["be", "not", "or", "so", "to"]
+    assert sorted(n.values()) == sorted(3 * [6, 3, 6, 3, 3, 3, 3, 3] + 4 * [1])
+    every, same = _task_rows(df, every=True)
+    assert same == n and Counter(r.term for r in every) == {"to": 3, "be": 3, "or": 4, "not": 3, "so": 1}
+    for limits in ({"HELD": 7}, {"HELD_BYTES": 7}, {"KNOWN": 3}, {"HELD": 7, "KNOWN_BYTES": 7}):
+        with monkeypatch.context() as m:
+            for name, value in limits.items():
+                m.setattr(divergence, name, value)
+            for option in ({}, {"every": True}):
+                pieces, same = _task_rows(df, **option)
+                assert same == n and len(pieces) > len(found)
+                assert {r.term for r in pieces} >= {"be", "not", "or", "so", "to"}
+                assert not option or all(r.term is not None for r in pieces)
+
+
+def test_divergence_pairs_of_many_and_of_few_groups_agree(spark, monkeypatch):
+    docs = _mixed_docs()
+    df = spark.createDataFrame(docs, "text string, lang string, source string")
+    want = _audit_by_hand(docs)
+    for at_once in (1, 30, 1 << 18):  # every block has more groups than room, some have, none has
+        monkeypatch.setattr(divergence, "PAIRS_AT_ONCE", at_once)
+        assert _audit(df) == want
+
+
+def test_divergence_shares_on_both_sides_of_64_bits(spark):
+    counts = [0, 1, 9 * 10 ** 9 - 1, 9 * 10 ** 9, 9 * 10 ** 9 + 1, 2 ** 62]
+    df = spark.createDataFrame([(n, n + d) for n in counts for d in (1, 7, 10 ** 9)], "n long, total long")
+    out = df.select("n", "total", divergence._share(divergence.F.col("n"), divergence.F.col("total")).alias("p")).collect()
+    assert all(r.p == 1 + 10 ** 9 * (r.n + 1) // r.total for r in out)

@@ -145,12 +145,12 @@ def task_counts(docs: DataFrame, seed: int, digest_bits: int = DIGEST_BITS, ever
     return docs.select(*_group_ids(seed), F.col("text").cast("binary").alias("text")).mapInArrow(run, schema)
 
 
-def _kept(partial: DataFrame, min_docs: int) -> DataFrame:
-    """Per group and term of at least ``min_docs`` documents of the language: (gid, TERM, n, lang_n, first).
+def _kept(partial: DataFrame, keys: list[str], min_docs: int) -> DataFrame:
+    """Per group and term (``keys``) of at least ``min_docs`` documents of the language: (gid, keys, n, lang_n, first).
     ``first`` holds in one row of each term of a language. Partitioned by term once, so that all of it is one shuffle."""
-    of_term = Window.partitionBy(*TERM)
-    return (partial.repartition(*TERM).groupBy("gid", *TERM).agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-            .select("gid", *TERM, "n", F.sum("n").over(of_term).alias("lang_n"), F.sum("docs").over(of_term).alias("docs"),
+    of_term = Window.partitionBy(*keys)
+    return (partial.repartition(*keys).groupBy("gid", *keys).agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+            .select("gid", *keys, "n", F.sum("n").over(of_term).alias("lang_n"), F.sum("docs").over(of_term).alias("docs"),
                     (F.col("gid") == F.min("gid").over(of_term)).alias("first"))
             .where(F.col("docs") >= min_docs).drop("docs"))
 
@@ -158,7 +158,7 @@ def _kept(partial: DataFrame, min_docs: int) -> DataFrame:
 def _kept_terms(docs: DataFrame, seed: int, digest_bits: int, min_docs: int) -> tuple[DataFrame, DataFrame]:
     """The rows of ``_kept``, with ``split`` 0 where a digest has one term, and (tid, split, term)."""
     partial = materialise(task_counts(docs, seed, digest_bits), "divergence-tasks")
-    rows = materialise(_kept(partial.withColumn("split", F.lit(0)), min_docs), "divergence-rows")
+    rows = materialise(_kept(partial, ["tid", "lid"], min_docs).withColumn("split", F.lit(0)), "divergence-rows")
     vocabulary = materialise(partial.where("term is not null").select("tid", "term")
                              .join(rows.where("first").select("tid"), "tid", "left_semi")
                              .groupBy("tid").agg(F.min("term").alias("least_term"), F.max("term").alias("greatest_term")),
@@ -172,7 +172,7 @@ def _kept_terms(docs: DataFrame, seed: int, digest_bits: int, min_docs: int) ->
     spread = materialise(partial.join(shared, "tid", "left_semi").select("tid", "term").distinct()
                          .select("tid", "term", place.alias("split")), "divergence-splits")
     alone = partial.join(shared, "tid", "left_anti").withColumn("split", F.lit(0))
-    rows = _kept(alone.unionByName(partial.join(spread, ["tid", "term"])), min_docs)
+    rows = _kept(alone.unionByName(partial.join(spread, ["tid", "term"])), TERM, min_docs)
     return materialise(rows, "divergence-rows"), names.unionByName(spread.select("tid", "split", "term"))
 
 
